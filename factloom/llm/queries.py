@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from factloom.llm import packing
+from factloom.llm import language_id, packing, toxicity, url_filter
 from factloom.session import table
 
 QUERIES: dict = {
     "op1_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), capacity=2048),
+    "op4_toxicity": lambda spark, sf_dir: toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op6_url_filters": lambda spark, sf_dir: url_filter.judge(table(spark, sf_dir, "pages")),
+    "op10_language_id": lambda spark, sf_dir: language_id.identify(table(spark, sf_dir, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
