@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from factloom.llm import fingerprints, language_id, packing, toxicity, url_filter
+from factloom.llm import fingerprints, html_extract, language_id, packing, toxicity, url_filter
 from factloom.session import table
 
 QUERIES: dict = {
     "op1_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), capacity=2048),
+    "op2_html_extraction": lambda spark, sf_dir: html_extract.extract(table(spark, sf_dir, "pages")),
     "op4_toxicity": lambda spark, sf_dir: toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op6_url_filters": lambda spark, sf_dir: url_filter.judge(table(spark, sf_dir, "pages")),
     "op8_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint(table(spark, sf_dir, "documents")),
