@@ -21,45 +21,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.arrow import slices_of
+from factloom.llm.hashing import ODD, mixed, powers
 from factloom.session import shuffle_partitions, written
 
 #: Cells of the fingerprint itself, a multiple of 3.
 CELLS = 18
 _LENGTH_BITS = np.uint64((1 << 20) - 1)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = np.uint64(0xD1342543DE82EF95)
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707345, 0xA4093822299F31D1))
 _CHECK = np.uint64(0x452821E638D01377)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (multiply and shift)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def mean_length(n_chars: int) -> int:
     """Mean paragraph length in characters: short texts are cut finer."""
     return 4 if n_chars < 256 else 16 if n_chars < 2048 else 64
 
 
-class Powers:
-    """Powers of the base and of its inverse, modulo 2**64, as far as needed."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def to(self, n: int) -> None:
-        if len(self.up) < n:
-            inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-            n = max(n, 1 << 16)
-            self.up, self.down = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)])) for b in (_BASE, inverse))
-
-
-_powers = Powers()
-
-
 def digests(text: str, mean: int) -> np.ndarray:
     """Distinct paragraph digests; the low 20 bits are the paragraph's length.
 
@@ -69,12 +45,12 @@ def digests(text: str, mean: int) -> np.ndarray:
     n = len(code)
     if not n:
         return np.zeros(0, np.uint64)
-    _powers.to(n + 1)
+    powers.to(n + 1)
     window = code * np.uint64(0x100000001B3)
     window[1:] += code[:-1] * np.uint64(0x1F123BB5)
     window[2:] += code[:-2] * np.uint64(0x5BD1E995)
     window[3:] += code[:-3] * np.uint64(0x2545F491)
-    window *= _ODD
+    window *= ODD
     cut = ((window >> np.uint64(40)) & np.uint64(mean - 1)) == 0
     cut |= code == 10
     cut[-1] = True
@@ -87,13 +63,13 @@ def digests(text: str, mean: int) -> np.ndarray:
         begun = np.cumsum(more + 1) - more - 1
         starts = starts + (np.arange(len(starts)) - np.repeat(begun, more + 1)) * longest
         ends = np.concatenate([starts[1:], ends[-1:]])
-    mass = np.concatenate([np.zeros(1, np.uint64), np.cumsum((code + np.uint64(1)) * _ODD * _powers.up[:n], dtype=np.uint64)])
-    found = mixed((mass[ends] - mass[starts]) * _powers.down[starts])
+    mass = np.concatenate([np.zeros(1, np.uint64), np.cumsum((code + np.uint64(1)) * ODD * powers.up[:n], dtype=np.uint64)])
+    found = mixed((mass[ends] - mass[starts]) * powers.down[starts])
     order = np.argsort(found, kind="stable")
     ranked = found[order]
     first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     times = np.arange(n_ := len(ranked)) - np.maximum.accumulate(np.where(first, np.arange(n_), 0))
-    ranked = np.where(times > 0, mixed(ranked + times.astype(np.uint64) * _ODD), ranked)
+    ranked = np.where(times > 0, mixed(ranked + times.astype(np.uint64) * ODD), ranked)
     length = np.minimum((ends - starts)[order].astype(np.uint64), _LENGTH_BITS)
     return (ranked & ~_LENGTH_BITS) | length
 
