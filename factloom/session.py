@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once, so that their Python workers can import it wherever they start."""
+    context = spark.sparkContext
+    if not getattr(context, "_factloom_shipped", False):
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="factloom-code-"), "factloom.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.join("factloom", os.path.relpath(full, root)))
+        context.addPyFile(path)
+        context._factloom_shipped = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; only Spark's own readers touch the path."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    shipped(spark)
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="factloom-")
