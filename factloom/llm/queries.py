@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from factloom.llm import fingerprints, html_extract, jaccard_join, language_id, packing, toxicity, url_filter
+from factloom.llm import fingerprints, html_extract, jaccard_join, language_id, packing, suffix_dedup, toxicity, url_filter
 from factloom.session import table
 
 QUERIES: dict = {
     "op1_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents"), capacity=2048),
     "op2_html_extraction": lambda spark, sf_dir: html_extract.extract(table(spark, sf_dir, "pages")),
+    "op3_suffix_array_dedup": lambda spark, sf_dir: suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), length=100),
     "op4_toxicity": lambda spark, sf_dir: toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op5_ngram_jaccard_join": lambda spark, sf_dir: jaccard_join.join(table(spark, sf_dir, "documents")),
     "op6_url_filters": lambda spark, sf_dir: url_filter.judge(table(spark, sf_dir, "pages")),
