@@ -49,16 +49,18 @@ def spans(mass: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mixed((mass[ends] - mass[starts]) * powers.down[starts])
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes between words: white space, or everything in ASCII but letters and digits.
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all white-space separated words of the lower-cased texts, and where each text's begin (one more entry than texts)."""
+def words(texts: list[str], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the lower-cased texts, and where each text's begin (one more entry than texts)."""
     parts = [t.lower().encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b"\n".join([*parts, b""]) or b"\n", np.uint8)
     edges = np.cumsum([0] + [len(p) + 1 for p in parts])
-    space = _SPACE[data]
+    space = between[data]
     begin = ~space
     begin[1:] &= space[:-1]
     end = space.copy()
