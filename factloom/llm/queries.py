@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factloom.llm import decontaminate, fingerprints, html_extract, jaccard_join, language_id, packing, suffix_dedup, toxicity, url_filter
+from factloom.llm import decontaminate, fingerprints, html_extract, jaccard_join, language_id, lm_score, packing, suffix_dedup, toxicity, url_filter
 from factloom.session import table
 
 QUERIES: dict = {
@@ -14,6 +14,7 @@ QUERIES: dict = {
     "op6_url_filters": lambda spark, sf_dir: url_filter.judge(table(spark, sf_dir, "pages")),
     "op7_benchmark_decontamination": lambda spark, sf_dir: decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op8_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint(table(spark, sf_dir, "documents")),
+    "op9_lm_scoring": lambda spark, sf_dir: lm_score.scores(table(spark, sf_dir, "documents")),
     "op10_language_id": lambda spark, sf_dir: language_id.identify(table(spark, sf_dir, "documents")),
 }
 
