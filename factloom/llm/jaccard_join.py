@@ -205,24 +205,23 @@ def _components(edges: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("row"), "least")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs with class_id (the smallest row number of its group), row (its own) and n_links added.
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs that stay if every group of near duplicates keeps one: that of the smallest doc_id (a row without one comes last).
 
-    Word 5-grams of the lower-cased text; a text of one to four words is one gram; all
-    texts without words are equal.  n_links counts the other rows that are linked with
-    this one, copies included.  Groups are the connected components of the links.
-    A null text counts as empty; repeated rows are copies of one another; columns
-    named class_id, row or n_links are replaced; an empty table stays empty.
+    Groups as in join(); texts without words are one group.  docs must give its rows in
+    the same order whenever it is read, as a written table does.
     """
-    docs = docs.drop("class_id", "row", "n_links")
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    described = written(_described(numbered.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text")), "sets")
-    return _joined(numbered, described, similarity)
+    numbered, members = _members(docs, similarity)
+    first = members.groupBy("class_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "row")).alias("first"))
+    return numbered.join(first.select(F.col("first.row").alias("_row")), "_row", "left_semi").drop("_row")
 
 
-def _joined(numbered: DataFrame, described: DataFrame, similarity: float) -> DataFrame:
-    members = _classified(numbered, described, similarity)
-    return numbered.join(members.select("row", "class_id", "n_links"), "row")
+def _members(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """docs with a number _row for each row; row, doc_id, class_id, n_links of each."""
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    slim = numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    described = written(_described(slim), "sets")
+    return numbered, written(_classified(slim, described, similarity), "members")
 
 
 def _classified(numbered: DataFrame, described: DataFrame, similarity: float) -> DataFrame:
@@ -283,9 +282,15 @@ def _classified(numbered: DataFrame, described: DataFrame, similarity: float) ->
 
 
 def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id and n_links for every row; class_id is the smallest doc_id of its group, null if none has one."""
-    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", F.monotonically_increasing_id())
-    described = written(_described(numbered), "sets")
-    members = written(_classified(numbered, described, similarity), "members")
+    """doc_id, class_id and n_links for every row; class_id is the smallest doc_id of its group, null if none has one.
+
+    Word 5-grams of the lower-cased text; a text of one to four words is one gram; all
+    texts without words are equal.  n_links counts the other rows that are linked with
+    this one, copies included.  Groups are the connected components of the links.  A null
+    text counts as empty; repeated rows are copies of one another; other columns are
+    ignored; an empty table stays empty.  docs must give its rows in the same order
+    whenever it is read, as a written table does.
+    """
+    _, members = _members(docs, similarity)
     names = members.groupBy("class_id").agg(F.min("doc_id").alias("least"))
     return members.join(names, "class_id").select("doc_id", F.col("least").alias("class_id"), "n_links")
