@@ -1,4 +1,478 @@
-"""Registry of the fact-graph queries and their SQL."""
+"""Registry of the fact-graph queries and, for each, SQL that DuckDB runs on the same tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factloom.functions import lexicons as lex
+from factloom.functions import scalars as fn
+from factloom.operators import chains as ch
+from factloom.operators import contradictions as contra
+from factloom.operators import edges as ed
+from factloom.operators import pages as pg
+from factloom.operators import questions as qs
+from factloom.operators import resolve, verify
+from factloom.session import table
+from factloom.sources.evidence import evidence
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return register
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ed.edges(evidence(spark, sf_dir))
+
+
+def _joined(column: str):
+    return F.array_join(F.array_sort(column), "|")
+
+
+NETLOC = "regexp_replace(lower(regexp_extract(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www[.]', '')"
+PATH = "regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+CANONICAL = "regexp_replace(split_part(split_part({0}, '?', 1), '#', 1), '/$', '')"
+YEAR = "TRY_CAST(nullif(regexp_extract({0}, '\\b(1[0-9]{{3}}|20[0-2][0-9])\\b', 1), '') AS INT)"
+NONE = "CAST(NULL AS VARCHAR)"
+
+EV = f"""WITH f AS (
+  SELECT CAST(s_suppkey AS BIGINT) seq, upper(trim(s_name)) subject, 'LOCATED_IN' rel, upper(trim(n_name)) object, {NONE} role, 'CORPORATE' context, {NONE} date FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT l_orderkey * 7 + l_linenumber, upper(trim(n_name)), 'ACQUIRED', upper(trim(p_brand)), {NONE}, 'CORPORATE', CAST(year(l_shipdate) AS VARCHAR)
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
+  UNION ALL SELECT p_partkey, upper(trim(p_brand)), 'RELEASED', upper(trim(p_type)), {NONE}, 'CORPORATE', CAST(1900 + p_size AS VARCHAR) FROM part
+  UNION ALL SELECT c_custkey, upper(trim(c_name)), 'WAS_ROLE_OF', upper(trim(n_name)), c_mktsegment, 'BIOGRAPHICAL', {NONE} FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT event_id, upper(trim(event_type)), 'LED_TO', upper(trim(nxt)), {NONE}, 'HISTORICAL', CAST(year(ts) AS VARCHAR)
+    FROM (SELECT *, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) nxt FROM events) WHERE nxt <> event_type
+), ev AS (SELECT f.*, url source_url, {NETLOC.format("url")} domain FROM f JOIN pages ON page_id = seq % (SELECT count(*) FROM pages) WHERE length(subject) > 1 AND length(object) > 1)
+"""
+EDGES = EV + """, e AS (SELECT subject, rel, object, role, list(DISTINCT source_url) sources, list(DISTINCT domain) domains, count(*) occurrences,
+  first(context ORDER BY seq, context) context, first(date ORDER BY seq, date) FILTER (WHERE date IS NOT NULL) date FROM ev GROUP BY ALL)
+"""
+CHAINS = EDGES + """, c AS (SELECT a.subject entity_a, a.rel action_1, a.role role_1, a.object entity_b, b.rel action_2, b.role role_2, b.object entity_c, a.date date_1, b.date date_2,
+  len(a.domains) + len(b.domains) domain_count FROM e a JOIN e b ON a.object = b.subject WHERE a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object)
+"""
+CHAIN_COLUMNS = ["entity_a", "action_1", "entity_b", "action_2", "entity_c", "date_1", "date_2", "domain_count"]
+CHAIN_SQL = ", ".join(CHAIN_COLUMNS)
+
+
+# -- URLs and pages ---------------------------------------------------------------------------------------------------
+
+
+@query("netloc", f"SELECT page_id, {NETLOC.format('url')} AS domain FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", fn.netloc(F.col("url")).alias("domain"))
+
+
+@query("canonical_url", f"SELECT page_id, {CANONICAL.format('url')} AS canonical FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", fn.canonical_url(F.col("url")).alias("canonical"))
+
+
+def _any(words) -> str:
+    return "|".join(w.replace(".", "[.]") for w in words)
+
+
+VALID = f"""SELECT page_id, CASE WHEN NOT regexp_matches(url, '^(?i)https?://[^/?#]+') THEN 'scheme'
+  WHEN regexp_matches(p, '\\.({"|".join(lex.REJECTED_ENDINGS)})$') THEN 'ending' WHEN regexp_matches(p, '{_any(lex.DELIVERY_PARTS)}') THEN 'delivery'
+  WHEN regexp_matches(h, '(^|[.])({_any(lex.BLOCKED_DOMAINS)})$') THEN 'blocked' WHEN regexp_matches(p, '^({"|".join(lex.FEED_PATHS)})(/|$)') THEN 'feed'
+  WHEN h NOT IN ({", ".join(f"'{d}'" for d in lex.ALLOWED_DOMAINS)}) AND regexp_matches(p, '{_any(lex.NOISY_PARTS)}') THEN 'noisy' ELSE 'ok' END AS verdict
+  FROM (SELECT page_id, url, lower({PATH.format("url")}) p, {NETLOC.format("url")} h FROM pages)"""
+
+
+@query("valid_url", VALID)
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pg.url_verdict(F.col("url")).alias("verdict"))
+
+
+@query("rate_limit", f"SELECT page_id, CASE h WHEN 'thther.example.org' THEN 1.0 WHEN 'ththen.example.com' THEN 4.0 ELSE 2.0 END::DOUBLE AS seconds FROM (SELECT page_id, {NETLOC.format('url')} h FROM pages)")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pg.rate_limit(fn.netloc(F.col("url"))).alias("seconds"))
+
+
+@query("thin_page", "SELECT page_id, len(list_filter(regexp_split_to_array(html, '\\s+'), lambda w: w <> '')) AS n_tokens, n_tokens < 300 AS thin FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", fn.word_count(F.col("html")).cast("long").alias("n_tokens"), pg.is_thin(F.col("html")).alias("thin"))
+
+
+@query("content_hash", "SELECT page_id, sha256(html) AS content_hash FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pg.content_hash(F.col("html")).alias("content_hash"))
+
+
+PAGE_DEDUP = f"""WITH i AS (SELECT page_id, {CANONICAL.format("url")} url, html, sha256(html) content_hash FROM pages),
+  x AS (SELECT url, content_hash FROM i WHERE page_id % 10 = 0), n AS (SELECT * FROM i WHERE url NOT IN (SELECT url FROM x) AND content_hash NOT IN (SELECT content_hash FROM x)),
+  u AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) r FROM n), h AS (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY page_id) q FROM u WHERE r = 1)
+  SELECT page_id, url, content_hash FROM h WHERE q = 1"""
+
+
+@query("page_dedup", PAGE_DEDUP)
+def _(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", fn.canonical_url(F.col("url")).alias("url"), "html")
+    known = pages.where("page_id % 10 = 0").select("url", pg.content_hash(F.col("html")).alias("content_hash"))
+    return pg.new_pages(pages, known).select("page_id", "url", "content_hash")
+
+
+@query("pages_per_domain", f"SELECT {NETLOC.format('url')} AS domain, count(*) AS n_pages FROM pages GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def _(spark, sf):
+    return pg.per_domain(table(spark, sf, "pages"))
+
+
+LINKS = f"""SELECT DISTINCT page_id, {CANONICAL.format("regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href")} AS link
+  FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\\b[^>]*?href="([^"]*)"', 1)) AS href FROM pages) WHERE href <> ''"""
+
+
+@query("link_extract", LINKS)
+def _(spark, sf):
+    return pg.links(table(spark, sf, "pages"))
+
+
+@query("page_status", "SELECT count(*) AS n_pages, count_if(page_id % 10 = 0) AS n_processed, count_if(page_id % 10 <> 0) AS n_open FROM pages")
+def _(spark, sf):
+    done = F.col("page_id") % 10 == 0
+    return table(spark, sf, "pages").agg(F.count("*").alias("n_pages"), F.count_if(done).alias("n_processed"), F.count_if(~done).alias("n_open"))
+
+
+# -- edges ------------------------------------------------------------------------------------------------------------
+
+
+def _edge_rows(e: DataFrame) -> DataFrame:
+    return e.select("subject", "rel", "object", "role", _joined("sources").alias("sources"), F.size("domains").cast("long").alias("n_domains"), "occurrences", "context", "date")
+
+
+EDGE_SQL = "SELECT subject, rel, object, role, array_to_string(list_sort(sources), '|') AS sources, len(domains) AS n_domains, occurrences, context, date FROM e"
+
+
+@query("edge_upsert", EDGES + EDGE_SQL)
+def _(spark, sf):
+    return _edge_rows(_edges(spark, sf))
+
+
+@query("role_upsert", EDGES + EDGE_SQL + " WHERE rel = 'WAS_ROLE_OF'")
+def _(spark, sf):
+    return _edge_rows(ed.edges(evidence(spark, sf).where("rel = 'WAS_ROLE_OF'")))
+
+
+@query("consequence_upsert", EDGES + EDGE_SQL + " WHERE rel = 'LED_TO'")
+def _(spark, sf):
+    return _edge_rows(ed.edges(evidence(spark, sf).where("rel = 'LED_TO'")))
+
+
+@query("rel_counts", EDGES + "SELECT rel, count(*) AS n, CAST(sum(occurrences) AS BIGINT) AS occurrences, CAST(max(len(domains)) AS INT) AS max_domains FROM e GROUP BY rel")
+def _(spark, sf):
+    return ed.relation_counts(_edges(spark, sf))
+
+
+@query("domain_hist", EDGES + "SELECT CAST(len(domains) AS INT) AS n_domains, count(*) AS n_edges FROM e GROUP BY 1 ORDER BY 1 DESC LIMIT 10")
+def _(spark, sf):
+    return ed.domain_histogram(_edges(spark, sf))
+
+
+@query("domain_freq", EDGES + "SELECT domain, count(*) AS n_edges FROM (SELECT unnest(domains) AS domain FROM e) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def _(spark, sf):
+    return ed.domain_frequency(_edges(spark, sf))
+
+
+@query("entities", EV + "SELECT DISTINCT name FROM (SELECT subject AS name FROM ev UNION ALL SELECT object FROM ev)")
+def _(spark, sf):
+    ev = evidence(spark, sf).where("length(subject) > 1 AND length(object) > 1")
+    return ev.select(F.col("subject").alias("name")).union(ev.select("object")).distinct()
+
+
+@query("consolidate", EDGES + "SELECT subject, rel, object, CAST(sum(occurrences) AS BIGINT) AS occurrences, count(*) AS merged, len(list_distinct(flatten(list(domains)))) AS n_domains FROM e GROUP BY 1, 2, 3")
+def _(spark, sf):
+    return ed.consolidated(_edges(spark, sf)).select("subject", "rel", "object", "occurrences", "merged", F.size("domains").cast("long").alias("n_domains"))
+
+
+def _aliases(spark, sf) -> DataFrame:
+    return table(spark, sf, "nation").where("n_nationkey % 5 = 1").select(F.upper("n_name").alias("old"), F.concat(F.lit("LAND "), F.col("n_regionkey").cast("string")).alias("canonical"))
+
+
+ALIASED = EV + """, m AS (SELECT upper(n_name) AS o, 'LAND ' || n_regionkey AS canonical FROM nation WHERE n_nationkey % 5 = 1), d AS (SELECT upper(n_name) AS name FROM nation WHERE n_nationkey = 0),
+  r AS (SELECT coalesce(a.canonical, subject) AS subject, rel, coalesce(b.canonical, object) AS object FROM ev LEFT JOIN m a ON a.o = subject LEFT JOIN m b ON b.o = object
+    WHERE subject NOT IN (SELECT name FROM d) AND object NOT IN (SELECT name FROM d))
+  SELECT subject, rel, object, count(*) AS occurrences FROM r WHERE subject <> object GROUP BY 1, 2, 3"""
+
+
+@query("alias_apply", ALIASED)
+def _(spark, sf):
+    discarded = table(spark, sf, "nation").where("n_nationkey = 0").select(F.upper("n_name").alias("name"))
+    ev = evidence(spark, sf).where("length(subject) > 1 AND length(object) > 1")
+    return ed.aliased(ev, _aliases(spark, sf), discarded).groupBy("subject", "rel", "object").agg(F.count("*").alias("occurrences"))
+
+
+# -- chains -----------------------------------------------------------------------------------------------------------
+
+
+@query("chains_2hop", CHAINS + f"SELECT {CHAIN_SQL} FROM c")
+def _(spark, sf):
+    return ch.two_hop(_edges(spark, sf)).select(*CHAIN_COLUMNS)
+
+
+THREE = EDGES + """SELECT a.subject AS entity_a, a.rel AS action_1, a.object AS entity_b, b.rel AS action_2, b.object AS entity_c, d.rel AS action_3, d.object AS entity_d, len(a.domains) + len(b.domains) + len(d.domains) AS domain_count
+  FROM e a JOIN e b ON a.object = b.subject JOIN e d ON b.object = d.subject WHERE a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object AND d.subject <> d.object AND b.subject <> d.object AND a.subject <> d.object"""
+
+
+@query("chains_3hop", THREE)
+def _(spark, sf):
+    return ch.three_hop(_edges(spark, sf)).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "action_3", "entity_d", "domain_count")
+
+
+@query("chains_role", CHAINS + f"SELECT {CHAIN_SQL} FROM c WHERE action_1 = 'WAS_ROLE_OF'")
+def _(spark, sf):
+    return ch.two_hop(_edges(spark, sf), first="WAS_ROLE_OF").select(*CHAIN_COLUMNS)
+
+
+@query("chains_consequence", CHAINS + f"SELECT {CHAIN_SQL} FROM c WHERE action_1 = 'LED_TO'")
+def _(spark, sf):
+    return ch.two_hop(_edges(spark, sf), first="LED_TO").select(*CHAIN_COLUMNS)
+
+
+@query("chain_dedup", CHAINS + "SELECT DISTINCT entity_a, action_1, entity_b, action_2, entity_c, 'SVO' AS kind FROM c")
+def _(spark, sf):
+    return ch.all_chains(_edges(spark, sf)).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "kind")
+
+
+@query("chain_thresholds", CHAINS + "SELECT t AS min_domains, count_if(domain_count >= t) AS n_chains FROM c, (SELECT unnest([1, 2, 3, 6, 8]) AS t) GROUP BY 1")
+def _(spark, sf):
+    return ch.thresholds(ch.two_hop(_edges(spark, sf)))
+
+
+@query("chain_top", CHAINS + "SELECT entity_a, action_1, entity_b, action_2, entity_c, domain_count FROM c ORDER BY domain_count DESC, entity_a, action_1, entity_b, action_2, entity_c, role_1 NULLS FIRST, role_2 NULLS FIRST, date_1 NULLS FIRST, date_2 NULLS FIRST LIMIT 15")
+def _(spark, sf):
+    return ch.top_by_domains(ch.two_hop(_edges(spark, sf)), 15).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "domain_count")
+
+
+def _plain_sql(x: str) -> str:
+    out = f"trim(lower(trim({x})), '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~')"
+    for s in lex.COMPANY_SUFFIXES:
+        out = f"regexp_replace({out}, ' {s}$', '')"
+    return f"trim({out})"
+
+
+@query("uniqueness", CHAINS + f"SELECT entity_a, action_1, action_2, entity_c, count(DISTINCT {_plain_sql('entity_b')}) AS n_middles, n_middles <= 1 AS is_unique FROM c GROUP BY 1, 2, 3, 4")
+def _(spark, sf):
+    return ch.uniqueness(ch.two_hop(_edges(spark, sf)))
+
+
+PRIORITY = "CASE WHEN least(y1, y2) < 1950 THEN 3 WHEN least(y1, y2) < 2000 THEN 2 WHEN least(y1, y2) IS NOT NULL THEN 1 ELSE 0 END"
+YEARS = f"(SELECT *, {YEAR.format('date_1')} y1, {YEAR.format('date_2')} y2 FROM c)"
+
+
+@query("priority", CHAINS + f"SELECT {PRIORITY} AS priority, count(*) AS n_chains FROM {YEARS} GROUP BY 1")
+def _(spark, sf):
+    chains = ch.two_hop(_edges(spark, sf))
+    return chains.groupBy(fn.priority(F.col("date_1"), F.col("date_2")).alias("priority")).agg(F.count("*").alias("n_chains"))
+
+
+@query("min_year", CHAINS + f"SELECT {CHAIN_SQL} FROM {YEARS} WHERE coalesce(greatest(y1, y2), 0) < 1997")
+def _(spark, sf):
+    latest = F.greatest(fn.parse_year(F.col("date_1")), fn.parse_year(F.col("date_2")))
+    return ch.two_hop(_edges(spark, sf)).where(F.coalesce(latest, F.lit(0)) < 1997).select(*CHAIN_COLUMNS)
+
+
+GENERIC = ", ".join(f"'{g}'" for g in lex.GENERIC_ANSWERS)
+QUALITY = f"""CASE WHEN length({_plain_sql("entity_b")}) < 4 OR {_plain_sql("entity_a")} IN ({GENERIC}) OR {_plain_sql("entity_c")} IN ({GENERIC}) THEN 0 ELSE greatest(0, least(10, 10
+  - CASE WHEN action_1 = 'LED_TO' AND NOT contains(entity_a, ' ') OR action_2 = 'LED_TO' AND NOT contains(entity_b, ' ') THEN 4 ELSE 0 END - CASE WHEN action_1 = 'LED_TO' AND action_2 = 'LED_TO' THEN 3 ELSE 0 END
+  - CASE WHEN contains(n, '''') OR regexp_matches(n, '(^|\\|)THE ') THEN 2 ELSE 0 END + CASE WHEN date_1 IS NOT NULL AND date_2 IS NOT NULL THEN 1 ELSE 0 END - CASE WHEN date_1 IS NULL AND date_2 IS NULL THEN 2 ELSE 0 END
+  + CASE WHEN least(y1, y2) < 1950 THEN 1 ELSE 0 END - CASE WHEN least(y1, y2) IS NULL THEN 1 ELSE 0 END + CASE WHEN domain_count >= 4 THEN 1 ELSE 0 END - CASE WHEN domain_count = 1 THEN 1 ELSE 0 END)) END"""
+NAMED = f"(SELECT *, concat_ws('|', entity_a, entity_b, entity_c) n FROM {YEARS})"
+
+
+@query("quality", CHAINS + f"SELECT {CHAIN_SQL}, CAST({QUALITY} AS INT) AS quality FROM {NAMED}")
+def _(spark, sf):
+    chains = ch.two_hop(_edges(spark, sf))
+    return chains.select(*CHAIN_COLUMNS, ch.quality(chains).alias("quality"))
+
+
+HASH = "substr(sha256(concat_ws('|', entity_a, action_1, entity_b, action_2, entity_c)), 1, 8)"
+
+
+@query("chain_hash", CHAINS + f"SELECT DISTINCT {HASH} AS chain_hash, CAST(('0x' || {HASH})::BIGINT % 5 AS INT) AS variant FROM c")
+def _(spark, sf):
+    named = ch.two_hop(_edges(spark, sf)).select(fn.chain_hash(*(F.col(c) for c in ch.KEY)).alias("chain_hash")).distinct()
+    return named.withColumn("variant", fn.variant_offset(F.col("chain_hash")))
+
+
+BAD = "|".join(lex.BAD_ANSWER_PARTS)
+FUNNEL = CHAINS + f"""SELECT CASE WHEN {QUALITY} < 5 THEN 'quality' WHEN regexp_matches(lower(entity_b), '{BAD}') OR {_plain_sql("entity_b")} IN ({GENERIC}) OR length(entity_b) < 3 THEN 'answer'
+  WHEN greatest(y1, y2) >= 1997 THEN 'year' ELSE 'kept' END AS gate, count(*) AS n_chains FROM {NAMED} GROUP BY 1"""
+
+
+@query("gate_funnel", FUNNEL)
+def _(spark, sf):
+    return ch.funnel(ch.gated(ch.two_hop(_edges(spark, sf)), min_year=1997))
+
+
+def _entity_sql(x: str) -> str:
+    whens = " ".join(f"WHEN regexp_matches(lower({x}), '{'|'.join(keys)}') THEN '{kind}'" for kind, keys in lex.ENTITY_KEYS)
+    return f"CASE {whens} WHEN len(regexp_split_to_array(trim({x}), '\\s+')) = 1 THEN 'entity' ELSE 'organisation' END"
+
+
+@query("entity_type", EV + f"SELECT DISTINCT subject AS name, {_entity_sql('subject')} AS kind FROM ev")
+def _(spark, sf):
+    return evidence(spark, sf).where("length(subject) > 1 AND length(object) > 1").select(F.col("subject").alias("name")).distinct().withColumn("kind", fn.entity_type(F.col("name")))
+
+
+PICK = EV + f""", o AS (SELECT subject, rel, object, role, source_url, domain, min(seq) AS s FROM ev WHERE rel = 'RELEASED' GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY subject, rel, object, domain ORDER BY s, source_url) n FROM o)
+  SELECT subject, object, string_agg(source_url, '|' ORDER BY s, source_url) AS urls FROM r WHERE n = 1 GROUP BY 1, 2"""
+
+
+@query("pick_url", PICK)
+def _(spark, sf):
+    e = ed.edges(evidence(spark, sf).where("rel = 'RELEASED'"))
+    return e.select("subject", "object", F.array_join(fn.first_url_per_domain(F.col("sources")), "|").alias("urls"))
+
+
+def _resolver_sql(x: str) -> str:
+    out = f"trim(upper(trim({x})), '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~')"
+    for a in ("THE", "A", "AN"):
+        out = f"regexp_replace({out}, '^{a} ', '')"
+    for s in lex.COMPANY_SUFFIXES:
+        out = f"regexp_replace({out}, ' {s.upper()}$', '')"
+    return f"trim({out})"
+
+
+FUZZY = f"""WITH n AS (SELECT DISTINCT name, {_resolver_sql("name")} AS plain FROM (SELECT p_name AS name FROM part UNION ALL SELECT r_name FROM region UNION ALL SELECT n_name FROM nation))
+  SELECT x.name AS a, y.name AS b, round(1 - levenshtein(x.plain, y.plain) / greatest(length(x.plain), length(y.plain)), 6) AS similarity FROM n x JOIN n y ON x.name < y.name
+  WHERE x.plain <> y.plain AND x.plain <> '' AND y.plain <> '' AND 1 - levenshtein(x.plain, y.plain) / greatest(length(x.plain), length(y.plain)) >= 0.85 - 1e-12"""
+
+
+def _names(spark, sf) -> DataFrame:
+    return table(spark, sf, "part").select(F.col("p_name").alias("name")).union(table(spark, sf, "region").select("r_name")).union(table(spark, sf, "nation").select("n_name"))
+
+
+@query("fuzzy_pairs", FUZZY)
+def _(spark, sf):
+    return resolve.fuzzy_pairs(_names(spark, sf), 0.85).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("greedy_merge")
+def _(spark, sf):
+    return resolve.greedy_aliases(resolve.fuzzy_pairs(_names(spark, sf).union(table(spark, sf, "customer").where("c_custkey % 50 = 0").select("c_name")), 0.85))
+
+
+# -- contradictions ---------------------------------------------------------------------------------------------------
+
+URL_YEAR = f"CASE WHEN {YEAR.format('u')} BETWEEN 1700 AND 2024 THEN {YEAR.format('u')} END"
+CONTRA_YEARS = EDGES + f""", y AS (SELECT subject, rel, object, role, date, min(v) lo, max(v) hi FROM (SELECT *, {URL_YEAR} v FROM (SELECT subject, rel, object, role, date, unnest(sources) u FROM e WHERE date IS NOT NULL)) GROUP BY ALL)
+  SELECT subject, rel, object, hi - lo AS spread, CASE WHEN hi - lo > 10 THEN 'high' ELSE 'medium' END AS severity FROM y WHERE hi - lo >= 3"""
+
+
+@query("contra_url_year", CONTRA_YEARS)
+def _(spark, sf):
+    return contra.url_years(_edges(spark, sf)).select("subject", "rel", "object", "spread", "severity")
+
+
+SINGLE = ", ".join(f"'{r}'" for r in lex.SINGLE_TARGET)
+CONTRA_TARGETS = EDGES + f"""SELECT subject, rel, targets, n_dates FROM (SELECT subject, rel, string_agg(DISTINCT object, '|' ORDER BY object) AS targets, count(DISTINCT object) AS n, count(DISTINCT date) AS n_dates FROM e WHERE rel IN ({SINGLE})
+  GROUP BY 1, 2 HAVING n > 1 ORDER BY n DESC, subject, rel LIMIT 50) WHERE n_dates <= 1"""
+
+
+@query("contra_targets", CONTRA_TARGETS)
+def _(spark, sf):
+    return contra.several_targets(_edges(spark, sf)).select("subject", "rel", F.array_join("targets", "|").alias("targets"), "n_dates")
+
+
+@query("contra_roles", EDGES + "SELECT subject, object, string_agg(DISTINCT role, '|' ORDER BY role) AS roles FROM e WHERE rel = 'WAS_ROLE_OF' AND role <> '' GROUP BY 1, 2 HAVING count(DISTINCT role) > 1")
+def _(spark, sf):
+    return contra.several_roles(_edges(spark, sf)).select("subject", "object", F.array_join("roles", "|").alias("roles"))
+
+
+FOUNDING = ", ".join(f"'{r}'" for r in lex.FOUNDING)
+
+
+@query("contra_temporal", CHAINS + f"SELECT entity_a, action_1, entity_b, action_2, entity_c, y1 AS year_1, y2 AS year_2 FROM {YEARS} WHERE action_1 IN ({FOUNDING}) AND y2 < y1")
+def _(spark, sf):
+    return contra.impossible_order(_edges(spark, sf)).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "year_1", "year_2")
+
+
+@query("contra_report")
+def _(spark, sf):
+    return contra.severities(contra.report(_edges(spark, sf)))
+
+
+# -- verification, enrichment, questions ------------------------------------------------------------------------------
+
+TERMS = CHAINS + """SELECT DISTINCT entity_a, action_1, entity_b, action_2, entity_c, array_to_string(list_sort(list_distinct(list_filter([entity_a, entity_b, entity_c, lower(replace(action_1, '_', ' ')), lower(replace(action_2, '_', ' ')), date_1, date_2],
+  lambda x: x IS NOT NULL AND trim(x) <> ''))), '|') AS terms FROM c"""
+
+
+@query("key_terms", TERMS)
+def _(spark, sf):
+    return ch.two_hop(_edges(spark, sf)).withColumn("terms", verify.key_terms()).select(*ch.KEY, _joined("terms").alias("terms")).distinct()
+
+
+VERIFY = """WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS low, len(list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda w: w <> '')) AS n_words FROM documents),
+  m AS (SELECT *, list_filter(['therea', 'ingly', 'onsh', 'quele', 'xyzzy'], lambda k: contains(low, k) OR (length(k) >= 4 AND contains(low, k[1:4]))) AS hit FROM t)
+  SELECT doc_id, CAST(n_words AS INT) AS word_count, array_to_string(hit, '|') AS matched, n_words >= 100 AND len(hit) >= 2 AS verified FROM m"""
+
+
+@query("verify_gate", VERIFY)
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("url"), F.lit(200).alias("status_code"), "text")
+    terms = F.array(*map(F.lit, ("therea", "ingly", "onsh", "quele", "xyzzy")))
+    found = verify.checked(docs.select(F.col("url").alias("chain_hash"), "url", terms.alias("terms")), docs)
+    return found.select(F.col("url").cast("long").alias("doc_id"), "word_count", F.array_join("matched_terms", "|").alias("matched"), "verified")
+
+
+@query("under_covered", EDGES + "SELECT subject, rel, object, role, CAST(len(domains) AS INT) AS n_domains FROM e WHERE len(domains) < 6")
+def _(spark, sf):
+    return verify.under_covered(_edges(spark, sf), 6).select("subject", "rel", "object", "role", F.size("domains").alias("n_domains"))
+
+
+ENRICH = EDGES + f""", w AS (SELECT * FROM e WHERE rel = 'RELEASED'), p AS (SELECT url, p_name AS text FROM pages JOIN part ON p_partkey = page_id),
+  h AS (SELECT subject, rel, object, url FROM w, p WHERE NOT list_contains(sources, url) AND (len(list_filter(regexp_split_to_array(lower(subject), '\\s+'), lambda x: length(x) >= 4 AND contains(lower(text), x))) > 0
+    OR len(list_filter(regexp_split_to_array(lower(object), '\\s+'), lambda x: length(x) >= 4 AND contains(lower(text), x))) > 0))
+  SELECT subject, rel, object, url AS source_url, {NETLOC.format("url")} AS domain FROM h"""
+
+
+@query("enrich", ENRICH)
+def _(spark, sf):
+    work = ed.edges(evidence(spark, sf).where("rel = 'RELEASED'"))
+    pages = table(spark, sf, "pages").join(table(spark, sf, "part"), F.col("page_id") == F.col("p_partkey")).select("url", F.col("p_name").alias("text"))
+    return verify.confirmations(work, pages)
+
+
+DIFFICULTY = """WITH v AS (SELECT conv_id AS question, CASE WHEN role = 'user' THEN NULL ELSE length(text) % 2 = 0 END AS correct FROM conversations),
+  g AS (SELECT question, count(correct) AS total, count_if(correct) AS n_correct FROM v GROUP BY 1), s AS (SELECT *, CASE WHEN total = 0 THEN 0.5 ELSE round(1 - n_correct / total, 2) END::DOUBLE AS score FROM g)
+  SELECT question, total, n_correct, score, CASE WHEN total = 0 THEN 'unknown' WHEN score >= 0.8 THEN 'HARD' WHEN score >= 0.5 THEN 'MEDIUM' WHEN score >= 0.2 THEN 'EASY' ELSE 'TRIVIAL' END AS label FROM s"""
+
+
+@query("difficulty", DIFFICULTY)
+def _(spark, sf):
+    correct = F.when(F.col("role") != "user", F.length("text") % 2 == 0)
+    return qs.difficulty(table(spark, sf, "conversations").select(F.col("conv_id").alias("question"), correct.alias("correct")))
+
+
+def _questions(spark, sf) -> DataFrame:
+    e = _edges(spark, sf)
+    chains = ch.deduplicated(ch.two_hop(e, 20).withColumn("query_rank", F.lit(0)))
+    kept = ch.gated(chains).where("reject_reason IS NULL")
+    unique = ch.uniqueness(ch.two_hop(e)).where("is_unique").select("entity_a", "action_1", "action_2", "entity_c")
+    cited = ch.with_sources(kept.join(unique, ["entity_a", "action_1", "action_2", "entity_c"], "left_semi"), e)
+    picked = cited.withColumn("sources", fn.first_url_per_domain(F.array_sort("sources"), 20)).where(F.size("sources") >= 6)
+    return qs.documents(qs.rendered(picked))
+
+
+@query("questions")
+def _(spark, sf):
+    return _questions(spark, sf).select("chain_hash", "answer", "prompt", "explanation", "quality", F.size("sources").alias("n_sources"))
+
+
+for _name, _export in (("json", qs.export_json), ("csv", qs.export_csv), ("huggingface", qs.export_huggingface), ("squad", qs.export_squad), ("hotpotqa", qs.export_hotpotqa), ("markdown", qs.export_markdown)):
+    query(f"export_{_name}")(lambda spark, sf, export=_export: export(_questions(spark, sf)))
+
+
+@query("question_files")
+def _(spark, sf):
+    return qs.parsed(qs.as_text(_questions(spark, sf)))
