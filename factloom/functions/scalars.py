@@ -117,7 +117,7 @@ def parse_year(date: Column) -> Column:
 
 def normalise_date(date: Column) -> Column:
     year, decade = F.regexp_extract(date, _YEAR, 1), F.regexp_extract(date, _DECADE, 1)
-    return F.when(year != "", year).when(decade != "", F.concat(decade, F.lit("s"))).otherwise(date)
+    return F.when(decade != "", F.concat(decade, F.lit("s"))).when(year != "", year).otherwise(date)
 
 
 def best_date(dates: Column) -> Column:
