@@ -25,6 +25,8 @@ def shipped(spark: SparkSession) -> SparkSession:
                         z.write(full, os.path.join("factloom", os.path.relpath(full, root)))
         context.addPyFile(path)
         context._factloom_shipped = True
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # whole texts: smaller batches keep the Python workers small
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     return spark
 
 
