@@ -32,13 +32,15 @@ from pyspark.sql import types as T
 from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import ODD, masses, mixed, powers, spans
 from factloom.llm.suffix_array import repeated_windows
-from factloom.session import shuffle_partitions, written
+from factloom.session import release, shuffle_partitions, written
 
-LENGTH, GRAM = 100, 20
+LENGTH, GRAM = 100, 48
 #: log2 of the bits of each of the two bitmaps (8 MB each).
 BITS = 26
 #: Contents of one representative that one task sorts at most.
 HOT = 4096
+#: log2 of the bits of the bitmap of representatives with more.
+HOT_BITS = 20
 #: Bytes of text whose suffixes are sorted at once.
 CHUNK = 1 << 20
 _SECOND = mixed(np.arange(301, 557, dtype=np.uint64) * ODD)
@@ -132,26 +134,98 @@ def ordered(docs: DataFrame) -> DataFrame:
     return written(ranged.mapInArrow(number, T.StructType([*docs.schema.fields, T.StructField("place", T.LongType())])), "ordered")
 
 
+def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(keys) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(buckets: int, keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """The columns of each bucket's keys as bytes."""
+    bucket = _bucket_of(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        mine = order[cuts[b] : cuts[b + 1]]
+        yield b, *(c[mine].tobytes() for c in (keys, *columns))
+
+
+def _unpacked(rows: pa.Table, column: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in rows.column(column).to_pylist())])
+
+
+def _kinds(key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (key, content) pairs that occur, at most two of each key, and of each whether it occurred again."""
+    order = np.lexsort((content, key))
+    key, content = key[order], content[order]
+    new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    new = new_key | np.concatenate([[True], content[1:] != content[:-1]])
+    first = np.flatnonzero(new)
+    again = np.diff(np.append(first, len(key))) > 1
+    rank = np.arange(len(first)) - np.maximum.accumulate(np.where(new_key[first], np.arange(len(first)), 0))
+    keep = rank < 2
+    return first[keep], again[keep], key, content
+
+
 def _bitmaps(slim: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Step 1: the marked representatives, and among them those with several contents."""
+    """Step 1: the marked representatives, and among them those with several contents.
+
+    Each task reduces its texts' stretches to at most two contents of a representative
+    before they are dealt out, so a very frequent one costs each task two entries.
+    """
+    buckets = shuffle_partitions(slim.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, contents = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for b in _sliced(batches):
             s = Stretches(_texts(b.column(1)), length)
-            yield pa.RecordBatch.from_arrays([pa.array(s.key.view(np.int64)), pa.array(s.content.view(np.int64)), pa.array(s.inner)], names=["key", "content", "inner"])
-
-    found = slim.mapInArrow(count, "key long, content long, inner boolean")
-    keys = found.groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"), F.max(F.col("inner").cast("int")).alias("inner")).where("n > 1 OR inner = 1")
-    at = F.shiftrightunsigned("key", 64 - BITS)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITS}) & 63 as int))")
-    several = F.when((F.col("a") != F.col("b")) | (F.col("inner") == 1), bit).otherwise(F.lit(0).cast("long"))
-    words = keys.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("any"), F.bit_or(several).alias("several")).toArrow()  # at most 2**(BITS - 6) rows
+            # a stretch that may repeat within counts as two contents
+            keys += [s.key, s.key[s.inner]]
+            contents += [s.content, ~s.content[s.inner]]
+        key, content = np.concatenate(keys), np.concatenate(contents)
+        if len(key):
+            first, again, key, content = _kinds(key, content)
+            # an entry that occurred again goes out twice
+            first = np.concatenate([first, first[again]])
+            rows = list(zip(*_dealt(buckets, key[first], content[first]), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())], names=["bucket", "keys", "contents"])
+
+    def mark(rows: pa.Table) -> pa.Table:
+        key, content = _unpacked(rows, "keys", np.uint64), _unpacked(rows, "contents", np.uint64)
+        first, again, key, _ = _kinds(key, content)
+        owner = key[first]
+        same = np.concatenate([owner[1:] == owner[:-1], [False]])
+        several = same | np.concatenate([[False], same[:-1]])
+        at = owner >> np.uint64(64 - BITS)
+        word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+        marked, mixed_up = np.zeros(1 << (BITS - 6), np.uint64), np.zeros(1 << (BITS - 6), np.uint64)
+        np.bitwise_or.at(marked, word[several | again], bit[several | again])
+        np.bitwise_or.at(mixed_up, word[several], bit[several])
+        used = np.flatnonzero(marked)
+        return pa.table({"word": pa.array(used), "any": pa.array(marked[used].view(np.int64)), "several": pa.array(mixed_up[used].view(np.int64))})
+
+    found = slim.mapInArrow(count, "bucket int, keys binary, contents binary").groupBy("bucket").applyInArrow(mark, "word long, any long, several long")
+    words = found.groupBy("word").agg(F.bit_or("any").alias("any"), F.bit_or("several").alias("several")).toArrow()  # at most 2**(BITS - 6) rows
     marked, mixed_up = np.zeros(1 << (BITS - 6), np.int64), np.zeros(1 << (BITS - 6), np.int64)
     index = words.column("word").to_numpy()
     marked[index], mixed_up[index] = words.column("any").to_numpy(), words.column("several").to_numpy()
     return marked, mixed_up
 
 
+def _hot_bitmap(contents: DataFrame) -> np.ndarray:
+    """Marks the representatives with more than HOT contents; what shares a mark with one is resolved the same way."""
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - HOT_BITS}) & 63 as int))")
+    many = contents.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    words = many.groupBy(F.shiftrightunsigned("key", 64 - HOT_BITS + 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()  # at most 2**(HOT_BITS - 6) rows
+    made = np.zeros(1 << (HOT_BITS - 6), np.int64)
+    for r in words:
+        made[r["word"]] = r["bits"]
+    return made
+
+
+def _in_hot(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys.view(np.uint64) >> np.uint64(64 - HOT_BITS)
+    return (bitmap.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _hit(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = keys >> np.uint64(64 - BITS)
     return (bitmap.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
@@ -188,31 +262,104 @@ def _batch(cols: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["place", "start", "end"])
 
 
+def _firsts(key: np.ndarray, content: np.ndarray, place: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal (key, content): the earliest by (place, start), and all others."""
+    order = np.lexsort((start, place, content, key))
+    a, b = key[order], content[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order[new], order[~new]
+
+
+def _joined_ranges(place: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of one place that touch become one; those that only overlap through a third do too."""
+    if not len(place):
+        return place, start, end
+    order = np.lexsort((end, start, place))
+    place, start, end = place[order], start[order], end[order]
+    _, number = np.unique(place, return_inverse=True)
+    span = int(end.max()) + 1
+    reach = np.maximum.accumulate(end + number * span)  # ends of earlier places lie below
+    new = np.ones(len(place), bool)
+    new[1:] = start[1:] + number[1:] * span > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(place)) - 1
+    return place[first], start[first], reach[last] - number[last] * span
+
+
+_KEPT = "bucket int, keys binary, contents binary, places binary, starts binary, sizes binary, key long, content long, place long, start long, bytes binary"
+_KEPT_TYPES = (pa.int32(), *(pa.binary(),) * 5, *(pa.int64(),) * 4, pa.binary())
+_KEPT_NAMES = [c.split()[0] for c in _KEPT.split(", ")]
+
+
+def _kept(bucket: list, packed: list[tuple], rows: list) -> pa.RecordBatch:
+    """Either packed stretches of a bucket, or stretches with their bytes."""
+    n = len(bucket)
+    columns = [bucket, *map(list, zip(*packed, strict=True)), *([None] * n if r is None else r for r in rows)]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KEPT_TYPES, strict=True)], names=_KEPT_NAMES)
+
+
+def _ranges_out(place: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Ranges as rows of place, start and (in content) end."""
+    place, start, end = _joined_ranges(place, start, end)
+    for i in range(0, len(place), 8192):
+        part = slice(i, i + 8192)
+        n = len(place[part])
+        yield _kept([None] * n, [(None,) * 5] * n, [None, end[part], place[part], start[part], None])
+
+
 def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
     """place, start, end of byte ranges (they may overlap) that earlier text repeats; placed has place (unique, in order) and text."""
     spark = placed.sparkSession
     slim = placed.select("place", "text")
     maps = spark.sparkContext.broadcast(_bitmaps(slim, length))
+    release(spark)
+    buckets = shuffle_partitions(spark)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked, several = maps.value
+        columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
+        held: list[bytes | None] = []
         for b in _sliced(batches):
-            texts = _texts(b.column(1))
-            s = Stretches(texts, length)
+            s = Stretches(_texts(b.column(1)), length)
             at = np.flatnonzero(_hit(marked, s.key))
+            place = b.column(0).to_numpy(zero_copy_only=False)[s.doc[at]]
+            for column, x in zip(columns, (s.key[at], s.content[at], place, s.start[at], s.end[at]), strict=True):
+                column.append(x)
             mixed_up = _hit(several, s.key[at])
-            bytes_of = [s.data[p : p + e - a].tobytes() if m else None for p, a, e, m in zip(s.place[at].tolist(), s.start[at].tolist(), s.end[at].tolist(), mixed_up.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s.key[at].view(np.int64)), pa.array(s.content[at].view(np.int64)), pa.array(b.column(0).to_numpy(zero_copy_only=False)[s.doc[at]]), pa.array(s.start[at]), pa.array(s.end[at]), pa.array(bytes_of, pa.binary())],
-                names=["key", "content", "place", "start", "end", "bytes"],
-            )
-
-    stretches = written(slim.mapInArrow(keep, "key long, content long, place long, start long, end long, bytes binary"), "stretches")
-    first = stretches.groupBy("key", "content").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n"))
-    flagged = stretches.join(first, ["key", "content"]).withColumn("is_first", (F.col("place") == F.col("first.place")) & (F.col("start") == F.col("first.start")))
-    whole = flagged.where("n > 1 AND NOT is_first").select("place", "start", "end")
-    contents = written(flagged.where("is_first AND bytes IS NOT NULL").select("key", "place", "start", "bytes"), "contents")
-    hot = contents.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key")
+            held += [s.data[p : p + e - a].tobytes() if m else None for p, a, e, m in zip(s.place[at].tolist(), s.start[at].tolist(), s.end[at].tolist(), mixed_up.tolist(), strict=True)]
+        key, content, place, start, end = (np.concatenate(c) for c in columns)
+        first, later = _firsts(key, content, place, start)
+        yield from _ranges_out(place[later], start[later], end[later])
+        for row in _dealt(buckets, key[first], content[first], place[first], start[first].astype(np.uint32), (end - start)[first].astype(np.uint32)):
+            yield _kept([row[0]], [row[1:]], [None] * 5)
+        own = [i for i in first.tolist() if held[i] is not None]
+        for i in range(0, len(own), 1024):
+            part = np.array(own[i : i + 1024], np.int64)
+            n = len(part)
+            yield _kept([None] * n, [(None,) * 5] * n, [key[part].view(np.int64), content[part].view(np.int64), place[part], start[part], [held[k] for k in part.tolist()]])
+
+    kept = written(slim.mapInArrow(keep, _KEPT), "stretches")
+    local = kept.where("bucket IS NULL AND bytes IS NULL").select("place", "start", F.col("content").alias("end"))
+
+    def later(rows: pa.Table) -> pa.Table:
+        key, content = _unpacked(rows, "keys", np.uint64), _unpacked(rows, "contents", np.uint64)
+        place = _unpacked(rows, "places", np.int64)
+        start, size = (_unpacked(rows, c, np.uint32).astype(np.int64) for c in ("starts", "sizes"))
+        end = start + size
+        _, again = _firsts(key, content, place, start)
+        return pa.Table.from_batches([_batch(_joined_ranges(place[again], start[again], end[again]))])
+
+    whole = kept.where("bucket IS NOT NULL").select("bucket", "keys", "contents", "places", "starts", "sizes").groupBy("bucket").applyInArrow(later, "place long, start long, end long").unionByName(local)
+    contents = kept.where("bytes IS NOT NULL").select("key", "place", "start", "bytes")
+    hot = spark.sparkContext.broadcast(_hot_bitmap(contents))
+
+    def part_of(wanted: bool):
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(_in_hot(hot.value, b.column(0).to_numpy()) == wanted))
+
+        return contents.mapInArrow(take, contents.schema)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -232,8 +379,8 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
         return _batch(_sorted_repeats(np.array(place), np.array(start), list(contents), length))
 
     ranges = "place long, start long, end long"
-    by_key = contents.join(hot, "key", "left_anti").repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
-    by_suffix = by_key.select("key", "place", "start", "bytes").mapInArrow(sort, ranges)
+    by_key = part_of(False).repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
+    by_suffix = by_key.mapInArrow(sort, ranges)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices_of(batches, 512):
@@ -248,7 +395,9 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
             names = (spans(masses(data), at, at + length), spans(other, at, at + length))
             yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in names), pa.array(b.column(0).to_numpy()[row]), pa.array(b.column(1).to_numpy()[row] + offset)], names=["a", "b", "place", "start"])
 
-    exploded = contents.join(hot, "key", "left_semi").select("place", "start", "bytes").mapInArrow(windows, "a long, b long, place long, start long")
+    if not hot.value.any():
+        return whole.unionByName(by_suffix)
+    exploded = part_of(True).select("place", "start", "bytes").mapInArrow(windows, "a long, b long, place long, start long")
     earliest = exploded.groupBy("a", "b").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     by_window = exploded.join(earliest, ["a", "b"]).where((F.col("place") != F.col("first.place")) | (F.col("start") != F.col("first.start"))).select("place", "start", (F.col("start") + length).alias("end"))
     return whole.unionByName(by_suffix).unionByName(by_window)
