@@ -17,16 +17,16 @@ rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import ODD, mixed, shingles
-from factloom.session import written
+from factloom.session import shuffle_partitions, written
 
 RUNS, DEPTH = 24, 4
 SMALL, BLOCK = 160, 160
@@ -63,62 +63,82 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), RUNS * DEPTH)
 
 
-def _first_common_run(sig_a: np.ndarray, sig_b: np.ndarray, depth_a: np.ndarray, depth_b: np.ndarray) -> np.ndarray:
-    """The first run in which each row of a shares its last bucket with each row of b; RUNS if none."""
-    first = np.full((len(sig_a), len(sig_b)), RUNS, np.int64)
+def _first_common_run(sig: np.ndarray, depth: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first run in which row i shares its last bucket with row j, for each pair; RUNS if none."""
+    first = np.full(len(i), RUNS, np.int64)
     for run in range(RUNS - 1, -1, -1):
-        same = (depth_a[:, run, None] == depth_b[None, :, run]) & (depth_a[:, run, None] > 0)
+        deep = depth[i, run]
+        same = (deep == depth[j, run]) & (deep > 0)
         for d in range(DEPTH):
             column = d * RUNS + run
-            same &= (sig_a[:, column, None] == sig_b[None, :, column]) | (depth_a[:, run, None] <= d)
+            same &= (sig[i, column] == sig[j, column]) | (deep <= d)
         first[same] = run
     return first
 
 
-def _candidates(sig_a: np.ndarray, sig_b: np.ndarray, depth_a: np.ndarray, depth_b: np.ndarray, run: int) -> np.ndarray:
-    agree = np.zeros((len(sig_a), len(sig_b)), np.int32)
-    for c in range(RUNS * DEPTH):
-        agree += sig_a[:, c, None] == sig_b[None, :, c]
-    found = agree >= ESTIMATE * RUNS * DEPTH
-    if found.any():
-        found &= _first_common_run(sig_a, sig_b, depth_a, depth_b) == run
-    return found
+def _pairs(tile: np.ndarray, block: np.ndarray, across: np.ndarray, sig: np.ndarray, depth: np.ndarray, run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows i < j of one tile whose signatures agree enough and whose first common run is the tile's.
 
-
-def _similar(sets_a: list[np.ndarray], sets_b: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Exact: which sets of a and b reach the similarity."""
-    everything = np.concatenate([*sets_a, *sets_b])
-    _, name, times = np.unique(everything, return_inverse=True, return_counts=True)
-    sizes = np.array([len(s) for s in (*sets_a, *sets_b)])
+    tile is sorted; a tile across two blocks pairs only rows of different blocks.
+    """
+    n = len(tile)
+    end = np.searchsorted(tile, tile, side="right")
+    rest = end - np.arange(n) - 1
+    total = np.concatenate([[0], np.cumsum(rest)])
+    low = 0
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(total, total[low] + 40_000, side="right")) - 1)
+        i = np.repeat(np.arange(low, high), rest[low:high])
+        j = i + 1 + np.arange(len(i)) - np.repeat(total[low:high] - total[low], rest[low:high])
+        keep = ~across[i] | (block[i] != block[j])
+        i, j = i[keep], j[keep]
+        good = (sig[i] == sig[j]).sum(axis=1) >= ESTIMATE * RUNS * DEPTH
+        i, j = i[good], j[good]
+        good = _first_common_run(sig, depth, i, j) == run[i]
+        yield i[good], j[good]
+        low = high
+
+
+def _similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Exact: which pairs of sets reach the similarity."""
+    common = np.array([np.isin(sets[a], sets[b], assume_unique=True).sum() for a, b in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+    sizes = np.array([len(s) for s in sets])
+    return common >= similarity * (sizes[i] + sizes[j] - common) - 1e-9
+
+
+def _all_similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Exact: the matrix of which sets reach the similarity, for tiles where most pairs are candidates."""
+    sizes = np.array([len(s) for s in sets])
+    _, name, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     shared = times[name] > 1
-    name, owner = name[shared], owner[shared]
-    _, name = np.unique(name, return_inverse=True)
-    n_a, common = len(sets_a), np.zeros((len(sets_a), len(sets_b)), np.float64)
+    owner = owner[shared]
+    _, name = np.unique(name[shared], return_inverse=True)
+    common = np.zeros((len(sets), len(sets)), np.float64)
     for low in range(0, int(name.max(initial=-1)) + 1, 8192):
         now = (name >= low) & (name < low + 8192)
         dense = np.zeros((len(sizes), 8192), np.float32)
         dense[owner[now], name[now] - low] = 1
-        common += dense[:n_a] @ dense[n_a:].T
-    union = sizes[:n_a, None] + sizes[None, n_a:] - common
-    return common >= similarity * union - 1e-9
+        common += dense @ dense.T
+    return common >= similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-9
 
 
-def _forest(links: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges (id, smaller id of its component) that connect what the links connect."""
-    parent = {int(i): int(i) for i in (*ids_a, *ids_b)}
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (id, smaller id of its component) that connect what the links (a, b) connect."""
+    parent: dict[int, int] = {}
 
     def root(x: int) -> int:
+        parent.setdefault(x, x)
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    for i, j in zip(*np.nonzero(links), strict=True):
-        a, b = root(int(ids_a[i])), root(int(ids_b[j]))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return [(x, root(x)) for x in parent if root(x) != x]
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    return [(x, root(x)) for x in list(parent) if root(x) != x]
 
 
 def _described(docs: DataFrame) -> DataFrame:
@@ -174,21 +194,54 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return dealt.withColumns({"block_a": F.least("block", "other"), "block_b": F.greatest("block", "other")}).drop("other", "n")
 
 
-def _sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
-    a, b = int(pdf["block_a"].iloc[0]), int(pdf["block_b"].iloc[0])
-    block = pdf["block"].to_numpy()
-    return np.flatnonzero(block == a), np.flatnonzero(block == b), a == b
+_TILE = ["run", "bucket", "block_a", "block_b"]
 
 
-def _tile_candidates(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    left, right, same = _sides(pdf)
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), RUNS * DEPTH)
-    depth = np.frombuffer(b"".join(pdf["depths"]), np.int8).reshape(len(pdf), RUNS)
-    found = _candidates(sig[left], sig[right], depth[left], depth[right], int(pdf["run"].iloc[0]))
-    return left, right, np.triu(found, 1) if same else found
+@dataclass
+class _Rows:
+    """Rows of whole tiles, sorted by tile; tiles are numbered."""
 
+    batch: pa.RecordBatch
+    tile: np.ndarray
 
-_TILE = ["run", "bucket", "block_a", "block_b"]
+    def column(self, name: str) -> pa.Array:
+        return self.batch.column(self.batch.schema.get_field_index(name))
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        a, b, block, run = (self.column(c).to_numpy() for c in ("block_a", "block_b", "block", "run"))
+        depth = np.frombuffer(b"".join(self.column("depths").to_pylist()), np.int8).reshape(-1, RUNS)
+        return _pairs(self.tile, block, a != b, _signatures(self.column("sig")), depth, run)
+
+
+def _tiles_of(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[_Rows]:
+    """Whole tiles, at least `rows` rows together; a tile has at most two blocks."""
+
+    def keys(t: pa.Table) -> np.ndarray:
+        return np.stack([t.column(c).to_numpy().astype(np.int64) for c in _TILE], axis=1)
+
+    held: list[pa.RecordBatch] = []
+    for b in slices_of(batches, 1024):
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            t = pa.Table.from_batches(held)
+            k = keys(t)
+            cut = np.flatnonzero((k[1:] != k[:-1]).any(axis=1))
+            if len(cut):
+                n = int(cut[-1]) + 1
+                yield _whole(t.slice(0, n), k[:n])
+                held = t.slice(n).combine_chunks().to_batches()
+    if held:
+        t = pa.Table.from_batches(held)
+        yield _whole(t, keys(t))
+
+
+def _whole(t: pa.Table, keys: np.ndarray) -> _Rows:
+    new = np.concatenate([[0], (keys[1:] != keys[:-1]).any(axis=1).astype(np.int64)])
+    return _Rows(pa.RecordBatch.from_arrays([c.combine_chunks() for c in t.columns], names=t.column_names), np.cumsum(new))
+
+
+def _by_tile(rows: DataFrame) -> DataFrame:
+    return rows.repartition(shuffle_partitions(rows.sparkSession), *_TILE).sortWithinPartitions(*_TILE, "block")
 
 
 def _components(edges: DataFrame) -> DataFrame:
@@ -241,13 +294,15 @@ def _classified(numbered: DataFrame, described: DataFrame, similarity: float) ->
     described_rows = leaves.groupBy("row").agg(F.collect_list(F.col("run") * 16 + F.col("depth")).alias("pairs")).join(classes.select("row", "sig", "copies"), "row").select("row", "sig", "copies", "pairs")
     paths = written(described_rows.mapInArrow(depths, "row long, sig binary, copies long, depths binary"), "depths")
 
-    def active(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right, found = _tile_candidates(pdf)
-        keep = np.union1d(left[found.any(axis=1)], right[found.any(axis=0)])
-        return pdf.iloc[keep][[*_TILE, "block", "row"]]
+    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _tiles_of(batches):
+            keep = np.zeros(len(r.tile), bool)
+            for i, j in r.pairs():
+                keep[i] = keep[j] = True
+            yield r.batch.filter(pa.array(keep)).select([*_TILE, "block", "row"])
 
     tiled = _tiles(leaves.select("row", "run", "bucket", "n")).join(paths.select("row", "sig", "depths"), "row").select(*_TILE, "block", "row", "sig", "depths")
-    alive = written(tiled.groupBy(*_TILE).applyInPandas(active, "run int, bucket long, block_a int, block_b int, block int, row long"), "alive")
+    alive = written(_by_tile(tiled).mapInArrow(active, "run int, bucket long, block_a int, block_b int, block int, row long"), "alive")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices_of(batches, 128):
@@ -256,24 +311,35 @@ def _classified(numbered: DataFrame, described: DataFrame, similarity: float) ->
     wanted = alive.select("row").distinct()
     grams = written(numbered.select("row", "text").join(wanted, "row").select("row", "text").mapInArrow(sets, "row long, grams binary"), "grams")
 
-    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right, found = _tile_candidates(pdf)
-        ids, copies = pdf["row"].to_numpy(), pdf["copies"].to_numpy()
-        tokens = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
-        links = found & _similar([tokens[i] for i in left], [tokens[i] for i in right], similarity)
-        counts = np.zeros(len(pdf), np.int64)
-        np.add.at(counts, left, links @ copies[right])
-        np.add.at(counts, right, links.T @ copies[left])
-        hit = np.flatnonzero(counts)
-        forest = _forest(links, ids[left], ids[right])
-        return pd.DataFrame({
-            "row": np.concatenate([ids[hit], np.array([a for a, _ in forest], np.int64)]),
-            "n": np.concatenate([counts[hit], np.zeros(len(forest), np.int64)]),
-            "other": pd.array([None] * len(hit) + [b for _, b in forest], dtype="Int64"),
-        })
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in _tiles_of(batches, 1024):
+            ids, copies = r.column("row").to_numpy(), r.column("copies").to_numpy()
+            tokens = [np.frombuffer(g, np.uint64) for g in r.column("grams").to_pylist()]
+            counts, a, b = np.zeros(len(ids), np.int64), [], []
+            first = np.searchsorted(r.tile, np.arange(r.tile[-1] + 2)) if len(r.tile) else []
+            for i, j in r.pairs():
+                good = np.zeros(len(i), bool)
+                for tile, start, n in zip(*np.unique(r.tile[i], return_index=True, return_counts=True), strict=True):
+                    mine = np.arange(start, start + n)
+                    low, high = int(first[tile]), int(first[tile + 1])
+                    if n > 4 * (high - low):
+                        good[mine] = _all_similar(tokens[low:high], similarity)[i[mine] - low, j[mine] - low]
+                    else:
+                        good[mine] = _similar(tokens, i[mine], j[mine], similarity)
+                i, j = i[good], j[good]
+                np.add.at(counts, i, copies[j])
+                np.add.at(counts, j, copies[i])
+                a.append(ids[i])
+                b.append(ids[j])
+            hit = np.flatnonzero(counts)
+            forest = _forest(np.concatenate(a), np.concatenate(b)) if a else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*ids[hit].tolist(), *(x for x, _ in forest)], pa.int64()), pa.array([*counts[hit].tolist(), *[0] * len(forest)], pa.int64()), pa.array([*[None] * len(hit), *(x for _, x in forest)], pa.int64())],
+                names=["row", "n", "other"],
+            )
 
     full = alive.join(paths, "row").join(grams, "row").select(*_TILE, "block", "row", "sig", "copies", "depths", "grams")
-    found = written(full.groupBy(*_TILE).applyInPandas(linked, "row long, n long, other long"), "links")
+    found = written(_by_tile(full).mapInArrow(linked, "row long, n long, other long"), "links")
     counts = found.where("n > 0").groupBy("row").agg(F.sum("n").alias("n"))
     least = _components(found.where("other IS NOT NULL").select(F.col("row").alias("a"), F.col("other").alias("b")))
     labelled = classes.select(*name, "row", "copies").join(least, "row", "left").join(counts, "row", "left")
