@@ -223,11 +223,22 @@ def _search(hits: DataFrame, items: list[Item], space: Space) -> DataFrame:
             found: dict[tuple[int, int], tuple] = {}
             if len(used):
                 owner, mass = _sums(passage[used], space.idf[feature[used]] ** 2)
-                _, latent = _sums(passage[used], space.basis[feature[used]])
-                follows = np.flatnonzero(np.concatenate([owner[1:] == owner[:-1] + 1, [False]]))
-                latent[follows], mass[follows] = latent[follows] + latent[follows + 1], mass[follows] + mass[follows + 1]
+                follows = np.concatenate([owner[1:] == owner[:-1] + 1, [False]])
+                mass[follows] += mass[1:][follows[:-1]]
                 heavy = np.flatnonzero(mass >= floor * floor)
-                dots = latent[heavy] @ space.queries.T
+                # only passages of windows heavy enough for some item are projected
+                double = heavy[follows[heavy]]
+                needed = np.zeros(len(owner), bool)
+                needed[heavy] = needed[double + 1] = True
+                hit = used[needed[np.searchsorted(owner, passage[used])]]
+                number = np.cumsum(needed) - 1
+                if len(hit):
+                    _, projected = _sums(passage[hit], space.basis[feature[hit]])
+                else:
+                    projected = np.zeros((0, space.basis.shape[1]), np.float32)
+                latent = projected[number[heavy]]
+                latent[follows[heavy]] += projected[number[double + 1]]
+                dots = latent @ space.queries.T
                 good = (dots >= COSINE * np.sqrt(mass[heavy])[:, None] * space.norms) & (dots >= WEIGHT * space.norms**2)
                 begin = np.searchsorted(row, np.arange(b.num_rows + 1))
                 for w, q in zip(*np.nonzero(good), strict=True):
