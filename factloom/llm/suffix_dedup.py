@@ -35,8 +35,8 @@ from factloom.llm.suffix_array import repeated_windows
 from factloom.session import release, shuffle_partitions, written
 
 LENGTH, GRAM = 100, 48
-#: log2 of the bits of each of the two bitmaps (8 MB each).
-BITS = 26
+#: log2 of the bits of each of the two bitmaps (16 MB each).
+BITS = 27
 #: Contents of one representative that one task sorts at most.
 HOT = 4096
 #: log2 of the bits of the bitmap of representatives with more.
@@ -89,11 +89,14 @@ class Stretches:
         self.doc = np.searchsorted(edges, first, side="right") - 1
         self.start = first - edges[self.doc]
         self.end = last + length - edges[self.doc]
-        # A representative that stands twice in its stretch: more chosen pieces than stretches in the text.
+        # A representative that stands twice in its stretch: two chosen pieces in the stretch's reach have its hash.
         padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         chosen = np.flatnonzero(grams == _sliding(padded, width, np.maximum, 0))
-        chosen_in = np.bincount(np.searchsorted(edges, chosen, side="right") - 1, minlength=len(texts))
-        self.inner = (chosen_in > np.bincount(self.doc, minlength=len(texts)))[self.doc]
+        low, high = np.searchsorted(last, chosen - width + 1), np.searchsorted(first, chosen, side="right")
+        n_near = np.maximum(high - low, 0)
+        near = np.repeat(low, n_near) + np.arange(n_near.sum()) - np.repeat(np.cumsum(n_near) - n_near, n_near)
+        own = self.key[near] == np.repeat(grams[chosen], n_near)
+        self.inner = np.bincount(near[own], minlength=len(first)) > 1
 
 
 def _texts(column: pa.Array) -> list[bytes]:
