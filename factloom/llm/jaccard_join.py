@@ -29,7 +29,9 @@ from factloom.llm.hashing import ODD, mixed, shingles
 from factloom.session import shuffle_partitions, written
 
 RUNS, DEPTH = 24, 4
-SMALL, BLOCK = 160, 160
+SMALL, BLOCK = 160, 384
+#: Depths at which buckets are looked at: a large bucket is split on all its other sampled tokens at once.
+LEVELS = (1, DEPTH)
 WORDS, SIMILARITY = 5, 0.8
 #: Classes whose signatures agree less are not compared; 0.8 - 0.58 is over five standard deviations.
 ESTIMATE = 0.58
@@ -176,13 +178,13 @@ def _leaves(classes: DataFrame) -> DataFrame:
     slim = classes.where("size > 0").select("row", "sig")
     rows = slim.mapInArrow(first, "row long, run int, bucket long")
     done = None
-    for depth in range(1, DEPTH + 1):
+    for depth, deeper_still in zip(LEVELS, (*LEVELS[1:], None), strict=True):
         shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         counted = written(rows.join(shared, "bucket").select("row", "run", F.lit(depth).alias("depth"), "bucket", "n"), f"paths{depth}")
-        leaf = counted if depth == DEPTH else counted.where(F.col("n") <= SMALL)
+        leaf = counted if deeper_still is None else counted.where(F.col("n") <= SMALL)
         done = leaf if done is None else done.unionByName(leaf)
-        if depth < DEPTH:
-            rows = counted.where(F.col("n") > SMALL).select("row", "run").join(slim, "row").select("row", "run", "sig").mapInArrow(deeper(depth + 1), "row long, run int, bucket long")
+        if deeper_still is not None:
+            rows = counted.where(F.col("n") > SMALL).select("row", "run").join(slim, "row").select("row", "run", "sig").mapInArrow(deeper(deeper_still), "row long, run int, bucket long")
     return done
 
 
