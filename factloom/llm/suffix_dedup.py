@@ -426,7 +426,8 @@ def _cut(text: bytes, ranges: list | None) -> tuple[bytes, int, int]:
 
 def _with_ranges(docs: DataFrame, length: int) -> DataFrame:
     placed = ordered(docs)
-    by_doc = repeats(placed, length).groupBy("place").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    by_doc = written(repeats(placed, length).groupBy("place").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
+    release(docs.sparkSession)  # the texts are dealt out only when the stretches' shuffles are gone
     return placed.join(by_doc, "place", "left")
 
 
