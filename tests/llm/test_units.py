@@ -115,3 +115,15 @@ def test_model_probabilities_sum_to_one():
 def test_crc_of_pieces_is_of_little_endian_ids():
     ids = encoder()("hello world") + b"\0\0\0\0"
     assert zlib.crc32(ids) == zlib.crc32(np.frombuffer(ids, "<u4").tobytes())
+
+
+def test_lm_counts_cover_every_training_document(spark, monkeypatch):
+    import zlib
+
+    monkeypatch.setattr(lm_score, "SLICE", 7)  # many slices: counts must meet across them
+    texts = [" ".join(rng.choice("alpha beta gamma delta unbelievable unbelievably reading re-read x1 zyzzyva".split()) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    model = lm_score.fit([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1], epochs=1)
+    few = lm_score.scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model.attention)
+    expected = model.score(lm_score.sliced(texts))
+    found = {r["doc_id"]: r["score"] for r in few.collect()}
+    assert np.allclose([found[i] for i in range(60)], expected, rtol=1e-4, atol=1e-4)
