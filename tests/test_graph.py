@@ -69,6 +69,24 @@ def test_greedy_merge_is_one_pass_over_ordered_pairs(spark):
     assert {tuple(r) for r in found.collect()} == {("A2", "A1"), ("A4", "A3"), ("B22", "B1")}
 
 
+def test_greedy_merge_goes_on_until_no_pair_is_left(spark):
+    import random
+
+    rng = random.Random(4)
+    hub = [("A0", f"B{i:03}") for i in range(300)]
+    mixed = [tuple(sorted(rng.sample([f"{c}{'x' * rng.randint(0, 2)}{i}" for c in "CD" for i in range(40)], 2))) for _ in range(150)]
+    pairs = sorted(set(hub + mixed + [("B000", "C"), ("E1", "E2"), ("E2", "E3"), ("E3", "E4"), ("E4", "E5")]))
+    expected = {}
+    for a, b in pairs:
+        canonical, old = (a, b) if len(a) <= len(b) else (b, a)
+        if canonical not in expected and old not in expected:
+            expected[old] = canonical
+    assert sum(c == "A0" for c in expected.values()) >= 299
+    for alone in (0, 20, 20_000):
+        found = resolve.greedy_aliases(spark.createDataFrame(pairs, "a string, b string"), alone).collect()
+        assert len(found) == len(expected) and {r["old"]: r["canonical"] for r in found} == expected
+
+
 def test_contradictions(spark):
     rows = [("XX", "FOUNDED", "BB", None, "X", "1920", "http://a.org/1870/x"), ("XX", "FOUNDED", "BB", None, "X", "1920", "http://b.org/1882/x"), ("BB", "ACQUIRED", "CC", None, "X", "1890", "http://a.org/1"), ("XX", "FOUNDED", "CC", None, "X", "1920", "http://a.org/1")]
     rows += [("PP", "WAS_ROLE_OF", "OO", r, "X", None, "http://a.org/1") for r in ("CEO", "CHAIR")]
