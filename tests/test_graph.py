@@ -132,3 +132,24 @@ def test_streaming_equals_batch(spark, tmp_path):
     ingest.run(ingest.read(spark, f"{tmp_path}/in", files=1), f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
     streamed = {tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").drop("batch").collect()}
     assert streamed == {tuple(r) for r in ingest.evidence_of(pages).collect()} and len(streamed) == 4
+
+
+def test_greedy_merge_takes_every_customer(spark):
+    from factloom.functions import scalars as fn
+    from factloom.plans import catalog
+    from factloom.session import table
+
+    sf = "/root/testdata/sf0.001"
+    names = catalog._names(spark, sf).union(table(spark, sf, "customer").select("c_name")).distinct()
+    plain = {r["name"]: r["plain"] for r in names.withColumn("plain", fn.resolver_name(F.col("name"))).collect()}
+    expected = {}
+    for a, b in itertools.combinations(sorted(n for n in plain if plain[n]), 2):
+        x, y = plain[a], plain[b]
+        n = max(len(x), len(y))
+        if x == y or abs(len(x) - len(y)) > 0.15 * n + 1e-9 or 1 - _distance(x, y) / n < 0.85 - 1e-12:
+            continue
+        canonical, old = (a, b) if len(x) <= len(y) else (b, a)
+        if canonical not in expected and old not in expected:
+            expected[old] = canonical
+    assert {r["old"]: r["canonical"] for r in catalog.QUERIES["greedy_merge"](spark, sf).collect()} == expected
+    assert sum(x.startswith("Customer#") for x in expected) > 100
