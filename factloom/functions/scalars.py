@@ -165,6 +165,14 @@ def first_url_per_domain(urls: Column, most: int | None = None) -> Column:
     return kept if most is None else F.slice(kept, 1, most)
 
 
+def least_url_per_domain(urls: Column) -> Column:
+    """The least URL of each netloc, in order; one pass over the URLs sorted by netloc."""
+    sites = F.array_sort(F.transform(urls, lambda u: F.struct(netloc(u).alias("site"), u.alias("url"))))
+    start = F.struct(F.lit(None).cast("string").alias("site"), F.array().cast("array<string>").alias("urls"))
+    step = lambda acc, x: F.when(acc["site"].eqNullSafe(x["site"]), acc).otherwise(F.struct(x["site"].alias("site"), F.array_append(acc["urls"], x["url"]).alias("urls")))
+    return F.array_sort(F.aggregate(sites, start, step, lambda acc: acc["urls"]))
+
+
 def clean_markup(value: Column) -> Column:
     """Wiki markup to plain text: references, tags, templates, links, quote marks, white space."""
     for pattern, by in ((r"(?s)<ref[^>]*?/>|<ref.*?</ref>", ""), (r"<[^>]+>", " "), (r"\{\{[^{}]*\}\}", ""), (r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"), (r"'{2,}", ""), (r"\s+", " ")):

@@ -50,12 +50,18 @@ def all_chains(found: DataFrame, min_domains: int = 0) -> DataFrame:
 KEY = ["entity_a", "action_1", "entity_b", "action_2", "entity_c"]
 
 
+def key_of(chains: DataFrame) -> list[str]:
+    """The key's columns; a chain of three edges has two more."""
+    return KEY + [c for c in ("action_3", "entity_d") if c in chains.columns]
+
+
 def deduplicated(chains: DataFrame) -> DataFrame:
     """The first chain of each key in rank order, then by roles and dates; a partial minimum, no sort."""
-    rest = [c for c in chains.columns if c not in KEY and c != "query_rank"]
+    key = key_of(chains)
+    rest = [c for c in chains.columns if c not in key and c != "query_rank"]
     order = F.struct("query_rank", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{c}") for c in ("role_1", "role_2", "date_1", "date_2")), *rest)
-    kept = chains.groupBy(*KEY).agg(F.min(order).alias("_first"))
-    return kept.select(*KEY, "_first.query_rank", *(F.col(f"_first.{c}").alias(c) for c in rest))
+    kept = chains.groupBy(*key).agg(F.min(order).alias("_first"))
+    return kept.select(*key, "_first.query_rank", *(F.col(f"_first.{c}").alias(c) for c in rest))
 
 
 def thresholds(chains: DataFrame, steps=(1, 2, 3, 6, 8)) -> DataFrame:
@@ -71,12 +77,13 @@ def uniqueness(chains: DataFrame) -> DataFrame:
 
 
 def with_sources(chains: DataFrame, found: DataFrame) -> DataFrame:
-    """Chains with the URLs and domains of their first two edges, joined by edge key after every filter."""
+    """Chains with the URLs and domains of their edges, joined by edge key after every filter."""
     def side(k: int, a: str, b: str) -> DataFrame:
         return found.select(F.col("subject").alias(f"entity_{a}"), F.col("rel").alias(f"action_{k}"), F.col("object").alias(f"entity_{b}"), F.col("role").alias(f"_role_{k}"), F.col("sources").alias(f"_s{k}"), F.col("domains").alias(f"_d{k}"))
 
     joined = chains
-    for k, (a, b) in enumerate((("a", "b"), ("b", "c")), 1):
+    legs = (("a", "b"), ("b", "c"), ("c", "d"))[: 3 if "entity_d" in chains.columns else 2]
+    for k, (a, b) in enumerate(legs, 1):
         right = side(k, a, b)
         keys = [f"entity_{a}", f"action_{k}", f"entity_{b}"]
         right = right.withColumnsRenamed({x: f"_{x}" for x in keys})
@@ -84,12 +91,13 @@ def with_sources(chains: DataFrame, found: DataFrame) -> DataFrame:
         for x in keys:
             same &= F.col(x) == F.col(f"_{x}")
         joined = joined.join(right, same).drop(f"_role_{k}", *(f"_{x}" for x in keys))
-    return joined.withColumns({"sources": F.array_union("_s1", "_s2"), "domains": F.array_union("_d1", "_d2")}).drop("_s1", "_s2", "_d1", "_d2")
+    union = lambda x: F.array_distinct(F.concat(*(f"_{x}{k}" for k in range(1, len(legs) + 1))))
+    return joined.withColumns({"sources": union("s"), "domains": union("d")}).drop(*(f"_{x}{k}" for x in "sd" for k in range(1, len(legs) + 1)))
 
 
 def gated(chains: DataFrame, min_year: int | None = None, known_hashes: DataFrame | None = None) -> DataFrame:
     """Chains with quality and the first gate that rejects each one (null: none)."""
-    tagged = chains.withColumn("chain_hash", fn.chain_hash(*(F.col(c) for c in KEY))).withColumn("quality", quality(chains))
+    tagged = chains.withColumn("chain_hash", fn.chain_hash(*(F.col(c) for c in key_of(chains)))).withColumn("quality", quality(chains))
     answer = F.lower("entity_b")
     if known_hashes is not None:
         tagged = tagged.join(known_hashes.select(F.col("hash").alias("chain_hash"), F.lit(True).alias("_seen")), "chain_hash", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import lexicons as lex
 from factloom.functions import scalars as fn
 
-#: Five wordings by kind; {a} and {c} are names, {r1} and {r2} actions, {t} the answer's class, {d} a date clause.
+#: Five wordings by kind; {a}, {c} and {e} are names, {r1} to {r3} actions, {t} the answer's class, {d} a date clause.
 TEMPLATES = {
     "SVO": (
         "Name the {t} that links two records. According to one of them {a} {r1} it{d}; according to the other it {r2} {c}. Work out from both records which {t} is meant, and give its full name as the sources print it.",
@@ -31,6 +31,13 @@ TEMPLATES = {
         "What did {a} bring about{d} that afterwards {r2} {c}? Both links of this chain are on record, in different places; name the {t} that has to stand between them for both to hold.",
         "Between {a} and {c} lies one {t}. It came out of the former{d}, and it {r2} the latter. Give the name of the {t}, as the two records that make up this chain give it.",
     ),
+    "THREE_HOP": (
+        "Three records form one chain. {a} {r1} a certain {t}{d}; that {t} {r2} {c}; and {c} in turn {r3} {e}. Work out which {t} is meant, and give its full name as the sources print it.",
+        "Begin with {a}, which {r1} a {t}{d}. The same {t} {r2} {c}, of which a third record says that it {r3} {e}. Name the {t} in this chain exactly as it stands in the cited pages.",
+        "A chain of three links runs from {a} to {e}. The first: {a} {r1} a {t}{d}. The second: this {t} {r2} {c}. The third: {c} {r3} {e}. Which {t} fits the first two links at once?",
+        "One page says that {a} {r1} a {t}{d}, another that this {t} {r2} {c}, and a third that {c} {r3} {e}. Put all three together and name the {t} that the first two pages speak about.",
+        "Go back from {e}: it is on record that {c} {r3} it, that a certain {t} {r2} {c}, and that {a} {r1} this {t}{d}. Find the {t} and state its name as it appears in the sources.",
+    ),
 }
 MIN_WORDS, MAX_WORDS = 30, 300
 
@@ -49,6 +56,8 @@ def rendered(chains: DataFrame) -> DataFrame:
         wordings = F.when(kind == name, F.array(*map(F.lit, texts))).otherwise(wordings)
     dated = F.coalesce(F.concat(F.lit(" (dated "), F.col("date_1"), F.lit(")")), F.lit(""))
     fill = {"{a}": fn.title_case(F.col("entity_a")), "{c}": fn.title_case(F.col("entity_c")), "{r1}": fn.humanise(F.col("action_1")), "{r2}": fn.humanise(F.col("action_2")), "{t}": fn.entity_type(F.col("entity_b")), "{d}": dated}
+    if "entity_d" in chains.columns:
+        fill |= {"{e}": F.coalesce(fn.title_case(F.col("entity_d")), F.lit("")), "{r3}": F.coalesce(fn.humanise(F.col("action_3")), F.lit(""))}
 
     def filled(text: Column) -> Column:
         for mark, value in fill.items():
@@ -66,9 +75,10 @@ def documents(questions: DataFrame) -> DataFrame:
     c, name = F.col, lambda k: fn.title_case(F.col(f"entity_{k}"))
     step = lambda x, r, y, d: F.concat(name(x), F.lit(" "), fn.humanise(c(r)), F.lit(" "), name(y), F.coalesce(F.concat(F.lit(", dated "), c(d)), F.lit("")))
     one, two = step("a", "action_1", "b", "date_1"), step("b", "action_2", "c", "date_2")
-    facts = F.array(one, two, F.concat(F.lit("The answer is of the class "), fn.entity_type(c("entity_b"))), F.concat(F.lit("Domains that agree: "), F.array_size("domains").cast("string")), F.concat(F.lit("First source: "), F.coalesce(F.get("sources", F.lit(0)), F.lit("none"))))
+    three = step("c", "action_3", "d", "date_3") if "entity_d" in questions.columns else F.lit(None).cast("string")
+    facts = F.array_compact(F.array(one, two, three, F.concat(F.lit("The answer is of the class "), fn.entity_type(c("entity_b"))), F.concat(F.lit("Domains that agree: "), F.array_size("domains").cast("string")), F.concat(F.lit("First source: "), F.coalesce(F.get("sources", F.lit(0)), F.lit("none")))))
     search = F.array(F.concat(F.lit("look up "), name("a")), F.concat(F.lit("list what it "), fn.humanise(c("action_1"))), F.concat(F.lit("look up "), name("c")), F.concat(F.lit("list what "), fn.humanise(c("action_2")), F.lit(" it")), F.lit("keep what is on both lists"))
-    return questions.withColumns({"explanation": F.concat(one, F.lit("; "), two, F.lit(".")), "fact_fanout": F.slice(facts, 1, 12), "search_trajectory": search, "year": fn.parse_year(c("date_1"))})
+    return questions.withColumns({"explanation": F.concat(F.concat_ws("; ", one, two, three), F.lit(".")), "fact_fanout": F.slice(facts, 1, 12), "search_trajectory": search, "year": fn.parse_year(c("date_1"))})
 
 
 SECTIONS = ("PROMPT", "SOURCES", "ANSWER", "EXPLANATION", "FACT_FANOUT", "SEARCH_TRAJECTORY")

@@ -456,12 +456,15 @@ def _(spark, sf):
 
 def _questions(spark, sf) -> DataFrame:
     e = _edges(spark, sf)
-    chains = ch.deduplicated(ch.two_hop(e, 20).withColumn("query_rank", F.lit(0)))
-    kept = ch.gated(chains).where("reject_reason IS NULL")
+    near = e.withColumn("sources", fn.first_url_per_domain(F.array_sort("sources")))  # a chain's first URL of a domain is the first of one of its edges
     unique = ch.uniqueness(ch.two_hop(e)).where("is_unique").select("entity_a", "action_1", "action_2", "entity_c")
-    cited = ch.with_sources(kept.join(unique, ["entity_a", "action_1", "action_2", "entity_c"], "left_semi"), e)
-    picked = cited.withColumn("sources", fn.first_url_per_domain(F.array_sort("sources"), 20)).where(F.size("sources") >= 6)
-    return qs.documents(qs.rendered(picked))
+
+    def cited(chains: DataFrame) -> DataFrame:
+        kept = ch.gated(ch.deduplicated(chains.withColumn("query_rank", F.lit(0)))).where("reject_reason IS NULL")
+        found = ch.with_sources(kept.join(unique, ["entity_a", "action_1", "action_2", "entity_c"], "left_semi"), near)
+        return found.withColumn("sources", fn.least_url_per_domain(F.col("sources"))).where(F.size("sources") >= 6)
+
+    return qs.documents(qs.rendered(cited(ch.two_hop(e, 6)).unionByName(cited(ch.three_hop(e, 6)), allowMissingColumns=True)))
 
 
 @query("questions")

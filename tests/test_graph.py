@@ -153,3 +153,15 @@ def test_greedy_merge_takes_every_customer(spark):
             expected[old] = canonical
     assert {r["old"]: r["canonical"] for r in catalog.QUERIES["greedy_merge"](spark, sf).collect()} == expected
     assert sum(x.startswith("Customer#") for x in expected) > 100
+
+
+def test_questions_take_six_domains_three_hops_and_every_source(spark, monkeypatch):
+    from factloom.plans import catalog
+
+    edge = lambda a, r, b, site, n: [(a, r, b, None, "X", "1887", f"http://{site}{i:02}.org/1") for i in range(n)]
+    rows = edge("RED MILL", "ACQUIRED", "NORTH MILL", "a", 3) + edge("NORTH MILL", "RELEASED", "BLUE LINE", "b", 4) + edge("BLUE LINE", "ACQUIRED", "GREEN WORKS", "c", 25)
+    monkeypatch.setattr(catalog, "_edges", lambda *_: ed.edges(ev(spark, rows)))
+    found = {(r["entity_b"], r["entity_d"]): r for r in catalog._questions(spark, None).collect()}
+    assert {k: len(r["sources"]) for k, r in found.items()} == {("NORTH MILL", None): 7, ("BLUE LINE", None): 29, ("NORTH MILL", "GREEN WORKS"): 32}
+    three = found["NORTH MILL", "GREEN WORKS"]
+    assert "Green Works" in three["prompt"] and "Green Works" in three["explanation"] and len({r["chain_hash"] for r in found.values()}) == 3
