@@ -35,15 +35,52 @@ _NOISE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head",
 _BLOCK = {"address", "article", "blockquote", "body", "caption", "center", "dd", "details", "dir", "div", "dl", "dt", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul"} | _NOISE
 _CELL = {"br", "td", "th"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-#: Parts of class, id and role that mark what is not the article.
+#: Whole names of class, id and role that mark what is not the article.
 _NOISE_MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "reply", "replies", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
-_SPLIT = re.compile(r"[^a-z0-9]+")
+#: Pairs that sites use for the same.
+_NOISE_MARKS |= {f"{a}-{b}" for a in ("ad", "ads", "advert", "banner", "comment", "comments", "cookie", "footer", "menu", "nav", "newsletter", "notice", "promo", "related", "search", "share", "sidebar", "social", "sponsor", "subscribe", "widget") for b in ("area", "bar", "block", "box", "buttons", "container", "content", "form", "links", "list", "section", "slot", "unit", "wrapper")} | {f"{a}-{b}" for a in ("cookie", "site", "page", "main", "top", "left", "right", "share", "social", "nav", "author") for b in ("banner", "footer", "menu", "nav", "navigation", "sidebar", "bar", "notice", "consent")} | {"related-posts", "related-articles", "back-to-top", "skip-link", "site-header", "page-header", "top-header"}
+_PLACED = re.compile(r"<(?:article|main)(?=[\s/>])|\brole\s*=\s*[\"']?main\b|\barticlebody\b", re.IGNORECASE)
 
 
 def _marks(attributes: str) -> set[str]:
     if "=" not in attributes:
         return set()
-    return {part for m in _MARK.finditer(attributes) for part in _SPLIT.split((m[1] or m[2] or m[3] or "").lower())}
+    return {part.replace("_", "-") for m in _MARK.finditer(attributes) for part in (m[1] or m[2] or m[3] or "").lower().split()}
+
+
+def _holders(page: str) -> set[int]:
+    """Where the tags end that are noise by name of class, id or role only and still hold an article or main element."""
+    out: set[int] = set()
+    if not _PLACED.search(page):
+        return out
+    stack: list[tuple[str, int]] = []
+    lower = page.lower() if len(page.lower()) == len(page) else page
+    at, raw_end = 0, {}
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name, attributes = (m[2] or m[5] or "").lower(), m[3] or m[6] or ""
+        if not name:
+            continue
+        if m[1] or m[4]:
+            if any(n == name for n, _ in stack):
+                while stack.pop()[0] != name:
+                    pass
+            continue
+        if name in _RAW:
+            if name not in raw_end or 0 <= raw_end[name] < at:
+                raw_end[name] = lower.find(f"</{name}", at)
+            at = raw_end[name] if raw_end[name] >= 0 else (len(page) if name in {"script", "style"} else at)
+            continue
+        if name in _VOID or attributes.endswith("/"):
+            continue
+        if _article(name, _marks(attributes)):
+            out.update(x for _, x in stack)
+        stack.append((name, at))
+    return out
+
+
+def _article(name: str, marks: set[str]) -> bool:
+    return name in {"article", "main"} or "main" in marks or "articlebody" in marks
 
 
 def blocks_of(page: str) -> tuple[list[str], list[str]]:
@@ -51,6 +88,7 @@ def blocks_of(page: str) -> tuple[list[str], list[str]]:
     article: list[str] = []
     loose: list[str] = []
     text: list[str] = []
+    holders = _holders(page)
     #: open elements that matter: name, +1 for an article, -1 for noise, 0 else
     stack: list[tuple[str, int]] = []
     inside = noise = 0
@@ -107,10 +145,12 @@ def blocks_of(page: str) -> tuple[list[str], list[str]]:
         kind = 0
         attributes = m[3] or m[6] or ""
         marks = _marks(attributes)
-        if name in _NOISE or name == "header" or (marks & _NOISE_MARKS and name not in {"html", "body"}):
+        if name in _NOISE or name == "header":
             kind = -1
-        elif name in {"article", "main"} or "main" in marks or "articlebody" in marks:
+        elif _article(name, marks):
             kind = 1
+        elif marks & _NOISE_MARKS and name not in {"html", "body"} and at not in holders:
+            kind = -1
         if kind or any(n == name for n, _ in stack):
             stack.append((name, kind))
             inside += kind > 0

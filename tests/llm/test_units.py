@@ -127,3 +127,16 @@ def test_lm_counts_cover_every_training_document(spark, monkeypatch):
     expected = model.score(lm_score.sliced(texts))
     found = {r["doc_id"]: r["score"] for r in few.collect()}
     assert np.allclose([found[i] for i in range(60)], expected, rtol=1e-4, atol=1e-4)
+
+
+def test_articles_win_over_names_of_classes():
+    for page in (
+        "<article class='post comments-open'>kept</article>",
+        "<main class='with-sidebar'>kept</main>",
+        "<div id='page' class='no-sidebar'><article>kept</article></div>",
+        "<div class='search-results'><article>kept</article></div>",
+        "<div class='sidebar'><main class='search'>kept<div class='share'>gone</div><div class='comment-form'>gone</div></main></div>",
+        "<div class='banner'><p>kept not, unplaced<article>kept</article></div><div class='ad'>gone</div>",
+    ):
+        assert html_extract.blocks_of(page)[0] == ["kept"]
+    assert html_extract.blocks_of("<div class='no-sidebar'>kept</div><div class='sidebar'>gone</div><nav>gone</nav>") == ([], ["kept"])
