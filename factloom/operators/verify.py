@@ -47,12 +47,18 @@ def under_covered(found: DataFrame, target: int, entity: str | None = None, most
 def confirmations(worklist: DataFrame, pages: DataFrame, strict: bool = False) -> DataFrame:
     """(subject, rel, object, source_url, domain) of pages that name the edge's ends and are not yet its sources.
 
-    Pages meet edges on a shared word of four letters or more, never all with all; a
-    page's words and an edge's words are distinct, so a meeting counts once.
+    A word of four characters or more that stands anywhere in a text has all its
+    four-character pieces there; so words meet texts on their first piece, which misses
+    none, never all with all, and the rule decides.  Distinct words are looked up once
+    for all edges that have them.
     """
-    words = lambda *cols: F.array_distinct(F.filter(F.split(F.lower(F.concat_ws(" ", *cols)), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 4))
-    edge_words = worklist.select("subject", "rel", "object", "sources", F.explode(words("subject", "object")).alias("word"))
-    page_words = pages.select("url", "text", F.explode(words("text")).alias("word")).select("url", "word")
-    met = edge_words.join(page_words, "word").groupBy("subject", "rel", "object", "url").agg(F.first("sources").alias("sources"))
+    ends = [F.explode(F.array_distinct(F.filter(F.split(F.lower(F.concat_ws(" ", "subject", "object")), r"\s+"), lambda w: F.length(w) >= 4))).alias("word")]
+    edge_words = worklist.select("subject", "rel", "object", "sources", *ends)
+    words = edge_words.select("word", F.left("word", F.lit(4)).alias("piece")).distinct()
+    low = F.lower("text")
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 3), lambda i: F.substring(low, i, F.lit(4))))
+    page_pieces = pages.where(F.length(low) >= 4).select("url", low.alias("low"), F.explode(pieces).alias("piece"))
+    hits = page_pieces.join(words, "piece").where(F.contains("low", F.col("word"))).select("url", "word").distinct()
+    met = edge_words.join(hits, "word").groupBy("subject", "rel", "object", "url").agg(F.first("sources").alias("sources"))
     full = met.join(pages.select("url", "text"), "url").where(fn.confirms(F.col("text"), F.col("subject"), F.col("object"), strict))
     return full.where(~F.array_contains("sources", F.col("url"))).select("subject", "rel", "object", F.col("url").alias("source_url"), fn.netloc(F.col("url")).alias("domain"))

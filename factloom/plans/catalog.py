@@ -333,6 +333,12 @@ def _(spark, sf):
     return e.select("subject", "object", F.array_join(fn.first_url_per_domain(F.col("sources")), "|").alias("urls"))
 
 
+@query("pick_url_all")
+def _(spark, sf):
+    """Every edge's first URL of each domain."""
+    return _edges(spark, sf).select("subject", "rel", "object", "role", F.array_join(fn.first_url_per_domain(F.col("sources")), "|").alias("urls"))
+
+
 def _resolver_sql(x: str) -> str:
     out = f"trim(upper(trim({x})), '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~')"
     for a in ("THE", "A", "AN"):
@@ -443,6 +449,13 @@ def _(spark, sf):
     return verify.confirmations(work, pages)
 
 
+@query("enrich_all")
+def _(spark, sf):
+    """Every edge against every page's visible text."""
+    pages = table(spark, sf, "pages").select("url", pg.visible_text(F.col("html")).alias("text"))
+    return verify.confirmations(ed.consolidated(_edges(spark, sf)), pages)
+
+
 DIFFICULTY = """WITH v AS (SELECT conv_id AS question, CASE WHEN role = 'user' THEN NULL ELSE length(text) % 2 = 0 END AS correct FROM conversations),
   g AS (SELECT question, count(correct) AS total, count_if(correct) AS n_correct FROM v GROUP BY 1), s AS (SELECT *, CASE WHEN total = 0 THEN 0.5 ELSE round(1 - n_correct / total, 2) END::DOUBLE AS score FROM g)
   SELECT question, total, n_correct, score, CASE WHEN total = 0 THEN 'unknown' WHEN score >= 0.8 THEN 'HARD' WHEN score >= 0.5 THEN 'MEDIUM' WHEN score >= 0.2 THEN 'EASY' ELSE 'TRIVIAL' END AS label FROM s"""

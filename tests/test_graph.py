@@ -165,3 +165,24 @@ def test_questions_take_six_domains_three_hops_and_every_source(spark, monkeypat
     assert {k: len(r["sources"]) for k, r in found.items()} == {("NORTH MILL", None): 7, ("BLUE LINE", None): 29, ("NORTH MILL", "GREEN WORKS"): 32}
     three = found["NORTH MILL", "GREEN WORKS"]
     assert "Green Works" in three["prompt"] and "Green Works" in three["explanation"] and len({r["chain_hash"] for r in found.values()}) == 3
+
+
+def test_confirmations_miss_no_substring(spark):
+    from factloom.operators import verify
+
+    edges = spark.createDataFrame([("RAILWAY", "ACQUIRED", "J.P. CO", ["http://z.org"]), ("X-RAY J.P.M", "LED_TO", "ABC", ["http://z.org"]), ("AB", "R", "CD", [])], "subject string, rel string, object string, sources array<string>")
+    texts = {"http://a.org/1": "two Railways met", "http://b.org/1": "by j.p.m. and (x-ray)", "http://c.org/1": "rail way", "http://d.org/1": "abc", "http://e.org/1": "", "http://z.org": "railway"}
+    found = verify.confirmations(edges, spark.createDataFrame(list(texts.items()), "url string, text string")).collect()
+    expected = {(r["subject"], u) for r in edges.collect() for u, t in texts.items() if u not in r["sources"] and any(len(w) >= 4 and w in t.lower() for end in (r["subject"], r["object"]) for w in end.lower().split())}
+    assert {(r["subject"], r["source_url"]) for r in found} == expected == {("RAILWAY", "http://a.org/1"), ("RAILWAY", "http://b.org/1"), ("X-RAY J.P.M", "http://b.org/1")} and len(found) == 3
+
+
+def test_whole_enrichment_takes_every_edge(spark):
+    from factloom.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    urls, rels = catalog.QUERIES["pick_url_all"](spark, sf), {r["rel"] for r in catalog._edges(spark, sf).select("rel").distinct().collect()}
+    assert {r["rel"] for r in urls.select("rel").distinct().collect()} == rels and len(rels) > 1
+    released = urls.where("rel = 'RELEASED'").select("subject", "object", "urls").collect()
+    assert sorted(map(tuple, released)) == sorted(map(tuple, catalog.QUERIES["pick_url"](spark, sf).collect()))
+    assert set(catalog.QUERIES["enrich_all"](spark, sf).columns) == {"subject", "rel", "object", "source_url", "domain"}
