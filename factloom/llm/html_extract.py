@@ -195,7 +195,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null html counts as empty; a page without text gets an empty one; a null or odd
     url has the empty host; rows of one page_id count as one page when repeats are
-    sought; repeated rows stay; other columns are ignored; an empty table stays empty.
+    sought, and so do pages of equal text; repeated rows stay; other columns are ignored; an empty table stays empty.
     """
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,18 +209,18 @@ def extract(pages: DataFrame) -> DataFrame:
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     made = written(slim.mapInArrow(parsed, "page_id long, url string, host string, text string, loose array<string>").withColumn("row", F.monotonically_increasing_id()), "blocks")
     placed = made.where("loose IS NULL OR size(loose) = 0").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    unplaced = made.where("size(loose) > 0").select("row", "page_id", "url", "host", "loose")
+    unplaced = made.where("size(loose) > 0").select("row", "page_id", "url", "host", "loose", F.xxhash64("loose").alias("whole"))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices_of(batches, 128):
-            out = [(row, page, host, name) for row, page, host, loose in zip(*(c.to_pylist() for c in b.columns), strict=True) for name in {n for block in loose for n in prefixes(block)}]
-            cols = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["row", "page_id", "host", "name"])
+            out = [(row, page, host, whole, name) for row, page, host, loose, whole in zip(*(c.to_pylist() for c in b.columns), strict=True) for name in {n for block in loose for n in prefixes(block)}]
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["row", "page_id", "host", "whole", "name"])
 
-    suffixes = unplaced.select("row", "page_id", "host", "loose").mapInArrow(named, "row long, page_id long, host string, name long")
-    # Suffixes of one host with one name are neighbours in its suffix array; a partial minimum and maximum tell whether they are of distinct pages.
+    suffixes = unplaced.select("row", "page_id", "host", "loose", "whole").mapInArrow(named, "row long, page_id long, host string, whole long, name long")
+    # Suffixes of one host with one name are neighbours in its suffix array; a partial minimum and maximum tell whether they are of distinct pages; pages whose whole text is equal are one.
     page = F.coalesce(F.col("page_id"), F.lit(-1))
-    repeats = suffixes.groupBy("host", "name").agg(F.min(page).alias("a"), F.max(page).alias("b")).where("a < b").select("host", "name")
+    repeats = suffixes.groupBy("host", "name").agg(F.min(page).alias("a"), F.max(page).alias("b"), F.min("whole").alias("c"), F.max("whole").alias("d")).where("a < b AND c < d").select("host", "name")
     covered = suffixes.select("row", "host", "name").join(repeats, ["host", "name"]).groupBy("row").agg(F.collect_list("name").alias("names"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -168,6 +168,13 @@ def test_main_text(spark):
     assert all(texts[i].startswith(f"page {i} ") for i in range(3)) and texts[4] == same
 
 
+def test_unplaced_copies_keep_their_text(spark):
+    same, copy = " ".join(f"boiler{i}" for i in range(12)), prose(40)
+    pages = [(i, f"http://h.org/{i}", f"<div>{copy}</div>") for i in range(2)] + [(i, f"http://g.org/{i}", f"<div>{same}</div><div>page {i} {prose(20)}</div>") for i in range(2, 4)]
+    texts = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert texts[0] == texts[1] == " ".join(copy.split()) and all("boiler" not in texts[i] and texts[i] for i in (2, 3))
+
+
 def test_lm_scores(spark, docs):
     import math
     import zlib
