@@ -49,20 +49,46 @@ def test_plan_places_every_piece_without_overlap():
     assert len(used) <= 11 / 9 * least + 1
 
 
+def alike(a, b):
+    """Likeness by sets of paragraphs, without sketches."""
+    x, y = ({(k, n) for k, n in zip(key.tolist(), n.tolist(), strict=True)} for _, key, n in (fingerprints.digests([a]), fingerprints.digests([b])))
+    return 1 - sum(n for _, n in x ^ y) / max(1, len(a) + len(b))
+
+
+def test_likeness_of_fingerprints_equals_that_of_paragraph_sets():
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (0, 1, 3, 30, 300, 3000, 300, 30, 3)] + ["", "ab\n" * 5000, "x" * 90_000, "x" * 50_000, "é\n" * 300]
+    texts += [texts[4][:900] + texts[5], texts[5][:-700]]
+    changed = [fingerprints.edited(a, b) for a, b in zip(texts, texts[1:] + texts[:1], strict=True)]
+    own, new = fingerprints.Fingerprints.of(texts), fingerprints.Fingerprints.of(changed)
+    at, after = np.arange(len(texts)), np.roll(np.arange(len(texts)), -1)
+    assert np.allclose(fingerprints.likeness(own, at, new, at), [alike(a, b) for a, b in zip(texts, changed, strict=True)])
+    assert np.allclose(fingerprints.likeness(own, at, own, after), [alike(a, b) for a, b in zip(texts, texts[1:] + texts[:1], strict=True)])
+    # the strings alone are enough
+    read, reread = fingerprints.Fingerprints.read(own.written()), fingerprints.Fingerprints.read(new.written())
+    assert (fingerprints.likeness(read, at, reread, at) == fingerprints.likeness(own, at, new, at)).all()
+
+
 @pytest.mark.parametrize("a,b", [("", ""), ("x", ""), ("abc " * 500, "abc " * 500), ("a" * 5000, "a" * 3000)])
 def test_likeness_bounds(a, b):
-    value = fingerprints.likeness([a], [b])[0]
-    assert 0 <= value <= 1 and (value == 1) == (a == b)
+    made = fingerprints.Fingerprints.of([a, b])
+    value = fingerprints.likeness(made, np.array([0]), made, np.array([1]))[0]
+    assert 0 <= value <= 1 and (value == 1) == (a == b) == (made.written()[0] == made.written()[1])
 
 
 def test_sketch_peels_to_the_difference():
     words = [f"word{rng.randint(0, 10**6)}" for _ in range(900)]
     a, b = " ".join(words), " ".join(words[:450] + ["other"] * 3 + words[450:])
-    assert fingerprints.likeness([a], [b])[0] > 0.95
-    assert fingerprints.fingerprints([a, a])[0] == fingerprints.fingerprints([a, a])[1]
-    x, y = fingerprints.digests(a, 16), fingerprints.digests(b, 16)
-    owner, key, done = fingerprints._sketch([x], 300).subtract(fingerprints._sketch([y], 300)).peel()
-    assert done[0] and set(key.tolist()) == set(x.tolist()) ^ set(y.tolist())
+    (_, x, n), (_, y, m) = fingerprints.digests([a]), fingerprints.digests([b])
+    made = [fingerprints.Sketches.of(np.zeros(len(k), np.int64), k, size, np.array([256])) for k, size in ((x, n), (y, m))]
+    folded = [s.folded(np.array([0]), np.array([32])) for s in made]
+    owner, key, length, done = folded[0].minus(folded[1]).peel()
+    assert done[0] and set(key.tolist()) == set(x.tolist()) ^ set(y.tolist()) and alike(a, b) > 0.9
+
+
+def test_two_equal_digests_never_stand_in_one_sketch():
+    _, key, _ = fingerprints.digests(["same line of text\n" * 3000])
+    assert len(np.unique(key)) == len(key) >= 3000
 
 
 def test_blocks_of_a_page():
