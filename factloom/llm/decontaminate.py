@@ -3,10 +3,12 @@
 1. Every document becomes the sequence of its words that occur in the benchmark (with
    their places); all later steps read only that.
 2. Passages of PASSAGE words get TF-IDF vectors over those words, with document
-   frequencies over all passages.  A randomised SVD, distributed over the passages,
-   gives the main directions of the corpus; with the benchmark items' own directions
-   they span the latent space, so nothing that points at an item is lost in it.
-3. Windows of two passages are compared with every item by cosine in that space.
+   frequencies over all passages.  A randomised SVD, distributed over the passages and
+   over them alone, gives the corpus' main directions: the latent space.
+3. Windows of two passages are compared with every item.  A window is a candidate if its
+   TF-IDF cosine with the item is high, or if that is low but the two lie close together
+   in the latent space: reworded copies keep their subject's words, not the rare ones.
+   The latent space alone does not do (README): it blurs items that differ in rare words.
 4. A candidate counts if the longest common subsequence of words covers enough of the
    item within a stretch not much longer than the item, and the item's answer (its last
    sentence) is there too, so reworded copies are found and chance matches are not.
@@ -15,6 +17,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +30,16 @@ from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import PUNCTUATION, words
 from factloom.session import written
 
-PASSAGE, SKETCH = 24, 32
-#: Items that are searched for in one pass over the documents; larger benchmarks take several.
-ITEMS = 256
+PASSAGE, SKETCH = 24, 48
+#: Characters of items that are searched for in one pass over the documents; larger benchmarks take several.
+BLOCK = 1 << 25
+#: Passages times queries whose products are held at once.
+PRODUCTS = 1 << 22
 #: A word in more than this share of the passages is a stop word.
 MAX_SHARE = 0.1
 COSINE, WEIGHT = 0.3, 0.3
+#: Both cosines of a candidate that only the latent space finds.
+WEAK, LATENT = 0.2, 0.9
 OVERLAP, ANSWER, SURE = 0.6, 0.5, 0.85
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -46,13 +53,18 @@ class Item:
 
 @dataclass(frozen=True)
 class Space:
-    """The latent space: a row of `basis` for every feature, idf folded in; the items' query vectors."""
+    """The items' queries by feature (an inverted index), and the latent space."""
 
-    idf: np.ndarray
-    basis: np.ndarray
-    queries: np.ndarray
-    norms: np.ndarray
-    owner: np.ndarray
+    weight: np.ndarray  # idf of each feature, 0 for stop words
+    low: np.ndarray  # idf of each feature, above 0: for items of stop words only
+    first: np.ndarray  # where each feature's postings begin
+    query: np.ndarray  # the query of each posting
+    value: np.ndarray  # what one occurrence adds to the product with it
+    norm: np.ndarray  # of each query
+    plain: np.ndarray  # which queries are of stop words only
+    owner: np.ndarray  # the item of each query
+    basis: np.ndarray  # features x SKETCH, idf folded in
+    latent: np.ndarray  # queries x SKETCH, of length 1
 
 
 def _vocabulary(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -127,7 +139,11 @@ def _sums(passage: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _directions(hits: DataFrame, idf: np.ndarray, seed: int = 11) -> np.ndarray:
-    """A basis (features x SKETCH) of the corpus' main directions: the range of A'A applied to a random matrix, A the TF-IDF passages."""
+    """The corpus' main directions (features x at most SKETCH, orthonormal), A the TF-IDF passages.
+
+    A'A is applied to a random matrix, distributed over the passages; the product's
+    Nystrom decomposition gives the leading right singular vectors of A.
+    """
     random = np.random.default_rng(seed).normal(size=(len(idf), SKETCH)).astype(np.float32)
     step = max(1, (1 << 18) // SKETCH)
 
@@ -153,23 +169,94 @@ def _directions(hits: DataFrame, idf: np.ndarray, seed: int = 11) -> np.ndarray:
 
     rows = hits.mapInArrow(project, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary").collect()
     found = [np.frombuffer(r["sums"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]
-    return np.concatenate(found).reshape(len(idf), SKETCH).astype(np.float64) if found else np.zeros((len(idf), SKETCH))
-
-
-def _space(items: list[Item], idf: np.ndarray, directions: np.ndarray) -> Space:
-    """Queries are the items' stretches of at most two passages."""
-    rows, owner = [], []
+    if not found:
+        return np.zeros((len(idf), SKETCH))
+    made = np.concatenate(found).reshape(len(idf), SKETCH).astype(np.float64)
+    core = random.astype(np.float64).T @ made
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    real = values > 1e-6 * max(values.max(), 1e-30)  # the float32 sums carry about six digits
+    left, _, _ = np.linalg.svd(made @ (vectors[:, real] / np.sqrt(values[real])), full_matrices=False)
+    return np.pad(left, ((0, 0), (0, SKETCH - left.shape[1])))
+
+
+def _space(items: list[Item], weight: np.ndarray, low: np.ndarray, directions: np.ndarray) -> Space:
+    """Queries are the items' stretches of at most two passages; an item's last stretch is as long as the others and may overlap."""
+    feature, query, value, norm, plain, owner, latent = [], [], [], [], [], [], []
     for i, item in enumerate(items):
-        for a in range(0, len(item.features), 2 * PASSAGE):
-            part = item.features[a : a + 2 * PASSAGE]
-            if a and len(part) < PASSAGE:
+        whole = np.array(item.features)
+        n, width = len(whole), 2 * PASSAGE
+        only_stop_words = not weight[whole].any()
+        idf = low if only_stop_words else weight
+        for a in dict.fromkeys([*range(0, max(1, n - width + 1), width), max(0, n - width)]):
+            f, times = np.unique(whole[a : a + width], return_counts=True)
+            w = times * idf[f]
+            if not w.any():
                 continue
-            rows.append(np.bincount(part, minlength=len(idf)) * idf)
+            feature.append(f)
+            query.append(np.full(len(f), len(norm)))
+            value.append(w * idf[f])
+            norm.append(float(np.linalg.norm(w)))
+            plain.append(only_stop_words)
             owner.append(i)
-    q = np.array(rows)
-    scale = np.linalg.norm(directions, axis=0)
-    basis, _ = np.linalg.qr(np.concatenate([q.T, directions / np.where(scale > 0, scale, 1)], axis=1))
-    return Space(idf.astype(np.float32), (basis * idf[:, None]).astype(np.float32), (q @ basis).astype(np.float32), np.linalg.norm(q, axis=1).astype(np.float32), np.array(owner))
+            at = (times * weight[f]) @ directions[f]
+            latent.append(at / max(float(np.linalg.norm(at)), 1e-30))
+    feature, query, value = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((feature, np.int64), (query, np.int64), (value, np.float64)))
+    order = np.argsort(feature, kind="stable")
+    first = np.searchsorted(feature[order], np.arange(len(weight) + 1))
+    latent_queries = np.array(latent, np.float32).reshape(len(norm), directions.shape[1])
+    return Space(weight, low, first, query[order], value[order], np.array(norm), np.array(plain, bool), np.array(owner, np.int64), (directions * weight[:, None]).astype(np.float32), latent_queries)
+
+
+def _products(space: Space, feature: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+    """n x queries: the sum of each passage's products with every query; passages are numbered from 0."""
+    queries = len(space.norm)
+    times = space.first[feature + 1] - space.first[feature]
+    begin = np.cumsum(times) - times
+    at = np.arange(int(times.sum())) + np.repeat(space.first[feature] - begin, times)
+    return np.bincount(np.repeat(passage, times) * queries + space.query[at], space.value[at], n * queries).reshape(n, queries)
+
+
+def _candidates(space: Space, feature: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows (by their first passage) and queries that may match, and their TF-IDF cosines; passage is sorted."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    if not len(feature) or not len(space.norm):
+        return out[0]
+    starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+    owner, number = passage[starts], np.cumsum(np.concatenate([[0], passage[1:] != passage[:-1]]))
+    follows = np.concatenate([owner[1:] == owner[:-1] + 1, [False]])
+    masses = []
+    for idf in (space.weight, space.low):
+        mass = np.add.reduceat(idf[feature].astype(np.float64) ** 2, starts)
+        mass[follows] += mass[1:][follows[:-1]]
+        masses.append(np.sqrt(mass))
+    size = np.where(space.plain, *(m[:, None] for m in masses[::-1])) if space.plain.any() else masses[0][:, None]
+    step = max(1, PRODUCTS // len(space.norm))
+    starts = np.append(starts, len(feature))
+    for low in range(0, len(owner), step):
+        high = min(len(owner), low + step)
+        last = min(len(owner), high + 1)  # a window's second passage
+        mine = slice(starts[low], starts[last])
+        dots = _products(space, feature[mine], number[mine] - low, last - low)
+        joined = np.flatnonzero(follows[low:high])
+        dots[joined] = dots[joined] + dots[joined + 1]
+        dots = dots[: high - low]
+        floor = size[low:high] * space.norm
+        w, q = np.nonzero((dots >= WEAK * floor) & (dots > 0))
+        dot, unit = dots[w, q], np.broadcast_to(floor, dots.shape)[w, q]
+        good = (dot >= COSINE * unit) & (dot >= WEIGHT * space.norm[q] ** 2)
+        rest = np.flatnonzero(~good & ~space.plain[q])
+        if len(rest):
+            windows, which = np.unique(w[rest], return_inverse=True)
+            at = np.concatenate([windows, windows[follows[low + windows]] + 1])
+            begin, end = starts[low + at], starts[low + at + 1]
+            tokens = np.repeat(begin - np.concatenate([[0], np.cumsum(end - begin)[:-1]]), end - begin) + np.arange(int((end - begin).sum()))
+            parts = np.add.reduceat(space.basis[feature[tokens]], np.cumsum(end - begin) - (end - begin), axis=0)
+            latent = parts[: len(windows)].copy()
+            latent[follows[low + windows]] += parts[len(windows) :]
+            latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-30)
+            good[rest] = np.einsum("ij,ij->i", latent[which], space.latent[q[rest]]) >= LATENT
+        out.append((owner[low + w[good]], q[good], dot[good] / unit[good]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _lcs(pattern: dict[int, int], n: int, features: list[int]) -> int:
@@ -192,100 +279,92 @@ def _pattern(features: tuple[int, ...]) -> dict[int, int]:
 
 
 def _verdict(item: Item, pattern: dict, answer: dict, place: np.ndarray, feature: np.ndarray, start: int) -> tuple[float, float, int]:
-    """The best share of the item, and of its answer, that a stretch around the window has in order; where it begins."""
+    """The best share of the item, and of its answer, that a stretch around the window has in order; where it begins.  Shares below OVERLAP are given as 0."""
     n = len(item.features)
     width = n + n // 3 + 4
     best = (0.0, 0.0, start)
+    low, high = np.searchsorted(place, (start - n, start + 2 * PASSAGE + 1 + width))
+    # only the item's own words can be in a common subsequence
+    own = [(p, f) for p, f in zip(place[low:high].tolist(), feature[low:high].tolist(), strict=True) if f in pattern]
+    if len(own) < OVERLAP * n:
+        return best
+    places, features = (list(x) for x in zip(*own, strict=True))
     for a in range(start - n, start + 2 * PASSAGE + 1, max(2, n // 6)):
-        i, j = np.searchsorted(place, (a, a + width))
-        if j - i <= best[0] * n:
+        i, j = bisect_left(places, a), bisect_left(places, a + width)
+        if j - i <= best[0] * n or j - i < OVERLAP * n:
             continue
-        part = feature[i:j].tolist()
+        part = features[i:j]
         share = _lcs(pattern, n, part) / n
         if share > best[0]:
             reply = _lcs(answer, len(item.answer), part) / len(item.answer) if item.answer else 1.0
-            best = (share, reply, int(place[i]))
+            best = (share, reply, places[i])
     return best
 
 
 def _search(hits: DataFrame, items: list[Item], space: Space) -> DataFrame:
-    shared = hits.sparkSession.sparkContext.broadcast((items, space))
+    shared = hits.sparkSession.sparkContext.broadcast((items, space))  # bounded by BLOCK
     names = ["doc_id", "item_id", "cosine", "overlap", "answer_overlap", "start_word"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, space = shared.value
-        patterns = [(_pattern(i.features), _pattern(i.answer)) for i in items]
-        floor = float(WEIGHT * space.norms.min()) if len(space.norms) else 0.0
+        patterns: dict[int, tuple] = {}
+        wanted = (space.weight > 0) | (np.diff(space.first) > 0) | bool(space.plain.any())
         for b in slices_of(batches, 192):
             ids = b.column(0).to_pylist()
             row, place, feature, passage, first = _passages(b)
-            used = np.flatnonzero(space.idf[feature] > 0)
+            used = np.flatnonzero(wanted[feature])
             found: dict[tuple[int, int], tuple] = {}
-            if len(used):
-                owner, mass = _sums(passage[used], space.idf[feature[used]] ** 2)
-                follows = np.concatenate([owner[1:] == owner[:-1] + 1, [False]])
-                mass[follows] += mass[1:][follows[:-1]]
-                heavy = np.flatnonzero(mass >= floor * floor)
-                # only passages of windows heavy enough for some item are projected
-                double = heavy[follows[heavy]]
-                needed = np.zeros(len(owner), bool)
-                needed[heavy] = needed[double + 1] = True
-                hit = used[needed[np.searchsorted(owner, passage[used])]]
-                number = np.cumsum(needed) - 1
-                if len(hit):
-                    _, projected = _sums(passage[hit], space.basis[feature[hit]])
-                else:
-                    projected = np.zeros((0, space.basis.shape[1]), np.float32)
-                latent = projected[number[heavy]]
-                latent[follows[heavy]] += projected[number[double + 1]]
-                dots = latent @ space.queries.T
-                good = (dots >= COSINE * np.sqrt(mass[heavy])[:, None] * space.norms) & (dots >= WEIGHT * space.norms**2)
-                begin = np.searchsorted(row, np.arange(b.num_rows + 1))
-                for w, q in zip(*np.nonzero(good), strict=True):
-                    window = int(owner[heavy[w]])
-                    r = int(np.searchsorted(first, window, side="right") - 1)
-                    i = int(space.owner[q])
-                    mine = slice(begin[r], begin[r + 1])
-                    share, reply, at = _verdict(items[i], *patterns[i], place[mine], feature[mine], (window - int(first[r])) * PASSAGE)
-                    if share >= SURE or share >= OVERLAP and reply >= ANSWER:
-                        cosine = float(dots[w, q] / (np.sqrt(mass[heavy[w]]) * space.norms[q]))
-                        if share > found.get((r, i), (0, 0, 0.0))[2]:
-                            found[r, i] = (r, cosine, share, reply, at)
+            begin = np.searchsorted(row, np.arange(b.num_rows + 1))
+            for window, q, cosine in zip(*(x.tolist() for x in _candidates(space, feature[used], passage[used])), strict=True):
+                r = int(np.searchsorted(first, window, side="right") - 1)
+                i = int(space.owner[q])
+                if i not in patterns:
+                    patterns[i] = (_pattern(items[i].features), _pattern(items[i].answer))
+                mine = slice(begin[r], begin[r + 1])
+                share, reply, at = _verdict(items[i], *patterns[i], place[mine], feature[mine], (window - int(first[r])) * PASSAGE)
+                if (share >= SURE or share >= OVERLAP and reply >= ANSWER) and share > found.get((r, i), (0, 0, 0.0))[2]:
+                    found[r, i] = (r, cosine, share, reply, at)
             out = [(ids[r], items[i].item_id, c, s, a, at) for (r, i), (_, c, s, a, at) in sorted(found.items())]
             cols = list(zip(*out, strict=True)) or [()] * 6
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return hits.mapInArrow(search, "doc_id long, item_id long, cosine double, overlap double, answer_overlap double, start_word long")
+    return hits.mapInArrow(search, FOUND)
+
+
+FOUND = "doc_id long, item_id long, cosine double, overlap double, answer_overlap double, start_word long"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item that it holds, word for word or reworded.
 
-    doc_id, item_id, cosine, overlap (share of the item's words in order), answer_overlap,
-    start_word.  Words are lower-cased runs of letters and digits.  Null and empty texts
-    and items hold nothing and are held by nothing; equal items each get their rows;
-    repeated document rows repeat theirs; other columns are ignored; without items, or
-    without documents, the result is empty.
+    doc_id, item_id, cosine (TF-IDF), overlap (share of the item's words in order),
+    answer_overlap, start_word.  Words are lower-cased runs of letters and digits.  Null
+    and empty texts and items hold nothing and are held by nothing; equal items each get
+    their rows; repeated document rows repeat theirs; other columns are ignored; without
+    items, or without documents, the result is empty.  A benchmark of more than BLOCK
+    characters is searched for in several passes, by hash of the item.
     """
-    rows = [(r["item_id"], r["text"]) for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator()]
-    found = None
-    for i in range(0, max(1, len(rows)), ITEMS):
-        part = _block(docs, rows[i : i + ITEMS])
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def _block(docs: DataFrame, rows: list[tuple]) -> DataFrame:
+    spark = docs.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text <> ''")
+    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    blocks = -(-total // BLOCK)
+    parts = [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items for k in range(blocks)]
+    found = [f for f in (_block(docs, part) for part in parts) if f is not None]
+    out = spark.createDataFrame([], FOUND)
+    for f in found:
+        out = f if len(found) == 1 else out.unionByName(f)
+    return out
+
+
+def _block(docs: DataFrame, block: DataFrame) -> DataFrame | None:
+    rows = [(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()]  # about BLOCK characters
     vocabulary, items = _items(rows)
     if not items:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, cosine double, overlap double, answer_overlap double, start_word long")
+        return None
     hits = written(_hits(docs, vocabulary), "hits")
     n = hits.agg(F.sum(F.floor(F.col("n_words") / PASSAGE) + 1).alias("n")).first()["n"] or 1
     frequency = _frequencies(hits, len(vocabulary))
     idf = np.log((n + 1) / (frequency + 1))
-    rare = np.where(frequency > MAX_SHARE * n, 0.0, idf)
-    kept = [i for i in items if rare[list(i.features)].any()]
-    if len(kept) < len(items):  # an item of stop words only, or a tiny corpus: no word is a stop word
-        rare = np.maximum(idf, 1e-3)
-    return _search(hits, items, _space(items, rare, _directions(hits, rare.astype(np.float32))))
+    weight = np.where(frequency > MAX_SHARE * n, 0.0, idf)
+    return _search(hits, items, _space(items, weight, np.maximum(idf, 1e-3), _directions(hits, weight.astype(np.float32))))
