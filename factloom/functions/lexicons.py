@@ -4,6 +4,13 @@ from __future__ import annotations
 
 COMPANY_SUFFIXES = ("incorporated", "inc", "corporation", "corp", "company", "co", "limited", "ltd", "plc", "llc", "group", "holdings")
 
+# Suffixes that a plain name loses, and words that are noise as a chain's end.
+PLAIN_SUFFIXES = ("inc", "llc", "corp", "ltd", "company")
+NOISE_WORDS = (
+    "he", "she", "they", "it", "we", "his", "her", "their", "its", "this", "that", "these", "those", "one", "two", "three",
+    "new", "old", "first", "last", "next", "other", "same", "many", "some", "all", "both", "each", "every", "any",
+)
+
 #: (kind, key words); the first kind with a key word in the name counts.
 ENTITY_KEYS = (
     ("university", ("university", "college", "academy", "institute")),

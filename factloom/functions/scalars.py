@@ -54,8 +54,8 @@ def _without_suffixes(name: Column, suffixes) -> Column:
 
 
 def plain_name(name: Column) -> Column:
-    """Lower case, no surrounding punctuation, company suffixes cut in order."""
-    return _without_suffixes(F.btrim(F.lower(F.trim(name)), F.lit(PUNCTUATION)), lex.COMPANY_SUFFIXES)
+    """Lower case, no surrounding punctuation, the plain suffixes cut in order."""
+    return _without_suffixes(F.btrim(F.lower(F.trim(name)), F.lit(PUNCTUATION)), lex.PLAIN_SUFFIXES)
 
 
 def resolver_name(name: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions import lexicons as lex
 from factloom.functions import scalars as fn
+from factloom.operators import chains as ch
+from factloom.operators import verify
 
 #: Five wordings by kind; {a}, {c} and {e} are names, {r1} to {r3} actions, {t} the answer's class, {d} a date clause.
 TEMPLATES = {
@@ -49,36 +51,108 @@ def clean_prompt(prompt: Column) -> Column:
 
 
 def rendered(chains: DataFrame) -> DataFrame:
-    """Chains with prompt: of the five wordings of the kind, from the hash's offset on, the first that does not give the answer away and has 30 to 300 words; others drop out."""
-    kind = F.when(F.col("kind").isin(*TEMPLATES), F.col("kind")).otherwise(F.lit("SVO"))
+    """Chains with answer and prompt: of the five wordings of the kind, from the hash's offset on, the first that does not give the answer away and has 30 to 300 words; null if none fits."""
+    c = F.col
+    kind = F.when(c("kind").isin(*TEMPLATES), c("kind")).otherwise(F.lit("SVO"))
     wordings = F.lit(None).cast("array<string>")
     for name, texts in TEMPLATES.items():
         wordings = F.when(kind == name, F.array(*map(F.lit, texts))).otherwise(wordings)
-    dated = F.coalesce(F.concat(F.lit(" (dated "), F.col("date_1"), F.lit(")")), F.lit(""))
-    fill = {"{a}": fn.title_case(F.col("entity_a")), "{c}": fn.title_case(F.col("entity_c")), "{r1}": fn.humanise(F.col("action_1")), "{r2}": fn.humanise(F.col("action_2")), "{t}": fn.entity_type(F.col("entity_b")), "{d}": dated}
+    dated = F.coalesce(F.concat(F.lit(" (dated "), c("date_1"), F.lit(")")), F.lit(""))
+    fill = {"{a}": c("title_a"), "{c}": c("title_c"), "{r1}": c("phrase_1"), "{r2}": c("phrase_2"), "{t}": c("kind_b"), "{d}": dated}
     if "entity_d" in chains.columns:
-        fill |= {"{e}": F.coalesce(fn.title_case(F.col("entity_d")), F.lit("")), "{r3}": F.coalesce(fn.humanise(F.col("action_3")), F.lit(""))}
+        fill |= {"{e}": F.coalesce("title_d", F.lit("")), "{r3}": F.coalesce("phrase_3", F.lit(""))}
 
     def filled(text: Column) -> Column:
         for mark, value in fill.items():
             text = F.replace(text, F.lit(mark), value)
         return clean_prompt(text)
 
-    offset = fn.variant_offset(F.col("chain_hash"))
-    order = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.element_at(wordings, ((i + offset) % 5 + 1).cast("int")))
-    fits = F.filter(F.transform(order, filled), lambda p: ~F.contains(F.lower(p), F.lower("entity_b")) & fn.word_count(p).between(MIN_WORDS, MAX_WORDS))
-    return chains.withColumn("prompt", F.try_element_at(fits, F.lit(1))).where("prompt IS NOT NULL").withColumn("answer", F.upper("entity_b"))
+    def wording(k: int) -> Column:
+        at = (F.lit(k) + fn.variant_offset(c("chain_hash"))) % 5 + 1
+        fits = F.filter(F.transform(F.array(F.element_at(wordings, at.cast("int"))), filled), lambda p: ~F.contains(F.lower(p), F.lower("entity_b")) & F.size(F.split(p, " ")).between(MIN_WORDS, MAX_WORDS))
+        return F.try_element_at(fits, F.lit(1))
+
+    return chains.withColumns({"prompt": F.coalesce(*(wording(k) for k in range(5))), "answer": F.upper("entity_b")})
+
+
+def candidates(found: DataFrame, min_domains: int = 6, min_sources: int = 6, min_year: int | None = None, known_hashes: DataFrame | None = None) -> DataFrame:
+    """Every chain of two and three edges with enough domains, its prompt, and in reject_reason the first gate that it fails (null: none).
+
+    Chains of one key count once.  Gates in order: a hash written before, quality and
+    bad answers, the year, another answer to the same question, no wording that fits,
+    too few domains.  Sources are neither joined nor fetched here (see cited, verified).
+    """
+    same = ["entity_a", "action_1", "action_2", "entity_c"]
+    unique = ch.uniqueness(ch.two_hop(found)).where("is_unique").select(*same, F.lit(True).alias("_unique"))
+
+    def judged(chains: DataFrame, hops: int) -> DataFrame:
+        kept = ch.deduplicated(chains.where(F.col("unique_domains") >= min_domains).withColumn("query_rank", F.lit(0)))
+        tagged = ch.gated(kept, min_year, known_hashes).join(unique, same, "left")
+        return rendered(tagged).withColumn("hops", F.lit(hops))
+
+    both = judged(ch.two_hop(found, min_domains), 2).unionByName(judged(ch.three_hop(found, min_domains), 3), allowMissingColumns=True)
+    late = F.when(F.col("_unique").isNull(), "uniqueness").when(F.col("prompt").isNull(), "narrative").when(F.col("unique_domains") < min_sources, "graph_domains")
+    return both.withColumn("reject_reason", F.coalesce("reject_reason", late)).drop("_unique", "query_rank")
+
+
+ORDER = ["entity_a", "action_1", "entity_b", "action_2", "entity_c"]
+
+
+def run_of(tagged: DataFrame, most: int | None) -> DataFrame:
+    """The accepted chains, the historical ones first, by a total order; at most as many as one run writes."""
+    accepted = tagged.where("reject_reason IS NULL").withColumn("priority", F.when(F.least("year_1", "year_2") < 1950, 3).when(F.least("year_1", "year_2") < 2000, 2).when(F.least("year_1", "year_2").isNotNull(), 1).otherwise(0))
+    ranked = accepted.orderBy(F.desc("priority"), "hops", *ORDER, F.coalesce("action_3", F.lit("")), F.coalesce("entity_d", F.lit("")))
+    return ranked if most is None else ranked.limit(most)
+
+
+def cited(chains: DataFrame, found: DataFrame) -> DataFrame:
+    """Chains with the URLs of their edges, edge by edge in order of first mention, of each domain the first; keyed by chain_hash."""
+    per_leg = None
+    for k, (a, b) in enumerate((("a", "b"), ("b", "c"), ("c", "d")), 1):
+        if f"action_{k}" not in chains.columns:
+            continue
+        leg = chains.where(F.col(f"action_{k}").isNotNull()).select("chain_hash", F.col(f"entity_{a}").alias("subject"), F.col(f"action_{k}").alias("rel"), F.col(f"entity_{b}").alias("object"), F.coalesce(f"role_{k}", F.lit("")).alias("_role"))
+        edge = found.select("subject", "rel", "object", F.coalesce("role", F.lit("")).alias("_role"), "sources")
+        urls = leg.join(edge, ["subject", "rel", "object", "_role"]).select("chain_hash", F.lit(k).alias("leg"), F.posexplode("sources").alias("pos", "url"))
+        per_leg = urls if per_leg is None else per_leg.unionByName(urls)
+    first = per_leg.groupBy("chain_hash", fn.netloc(F.col("url")).alias("domain")).agg(F.min(F.struct("leg", "pos", "url")).alias("first"))
+    listed = first.groupBy("chain_hash").agg(F.transform(F.array_sort(F.collect_list("first")), lambda x: x["url"]).alias("sources"))
+    return chains.join(listed, "chain_hash")
+
+
+def verified(questions: DataFrame, pages: DataFrame, min_sources: int = 6) -> DataFrame:
+    """Questions whose sources hold: pages (url, status_code, text) are checked against each chain's terms; only verified URLs stay, and questions with enough of them."""
+    terms = questions.withColumn("terms", verify.key_terms(3 if "entity_d" in questions.columns else 2))
+    checked = verify.checked(terms.select("chain_hash", F.explode("sources").alias("url"), "terms"), pages)
+    good = checked.where("verified").groupBy("chain_hash").agg(F.collect_set("url").alias("_good"))
+    kept = questions.join(good, "chain_hash").withColumn("sources", F.filter("sources", lambda u: F.array_contains("_good", u))).drop("_good")
+    return kept.where(F.size("sources") >= min_sources)
+
+
+def generate(found: DataFrame, most: int | None = None, min_domains: int = 6, min_sources: int = 6, min_year: int | None = None, known_hashes: DataFrame | None = None, pages: DataFrame | None = None) -> DataFrame:
+    """Questions with prompt, answer, sources, explanation, fact_fanout and search_trajectory; sources are verified if pages are given."""
+    tagged = candidates(found, min_domains, min_sources, min_year, known_hashes)
+    if pages is None:
+        return documents(cited(run_of(tagged, most), found))
+    passed = verified(cited(run_of(tagged, None), found), pages, min_sources)
+    return documents(run_of(passed, most))
+
+
+def funnel(tagged: DataFrame) -> DataFrame:
+    """One row with the run's counters."""
+    gate = lambda name: F.count_if(F.col("reject_reason") == name).alias(f"rejected_{name}")
+    return tagged.agg(F.count("*").alias("total"), *(gate(g) for g in ch.GATES), F.count_if(F.col("reject_reason").isNull()).alias("accepted"))
 
 
 def documents(questions: DataFrame) -> DataFrame:
     """Questions (with chain columns and sources) with explanation, fact_fanout and search_trajectory."""
-    c, name = F.col, lambda k: fn.title_case(F.col(f"entity_{k}"))
-    step = lambda x, r, y, d: F.concat(name(x), F.lit(" "), fn.humanise(c(r)), F.lit(" "), name(y), F.coalesce(F.concat(F.lit(", dated "), c(d)), F.lit("")))
-    one, two = step("a", "action_1", "b", "date_1"), step("b", "action_2", "c", "date_2")
-    three = step("c", "action_3", "d", "date_3") if "entity_d" in questions.columns else F.lit(None).cast("string")
-    facts = F.array_compact(F.array(one, two, three, F.concat(F.lit("The answer is of the class "), fn.entity_type(c("entity_b"))), F.concat(F.lit("Domains that agree: "), F.array_size("domains").cast("string")), F.concat(F.lit("First source: "), F.coalesce(F.get("sources", F.lit(0)), F.lit("none")))))
-    search = F.array(F.concat(F.lit("look up "), name("a")), F.concat(F.lit("list what it "), fn.humanise(c("action_1"))), F.concat(F.lit("look up "), name("c")), F.concat(F.lit("list what "), fn.humanise(c("action_2")), F.lit(" it")), F.lit("keep what is on both lists"))
-    return questions.withColumns({"explanation": F.concat(F.concat_ws("; ", one, two, three), F.lit(".")), "fact_fanout": F.slice(facts, 1, 12), "search_trajectory": search, "year": fn.parse_year(c("date_1"))})
+    c = F.col
+    step = lambda x, k, y: F.concat(c(f"title_{x}"), F.lit(" "), c(f"phrase_{k}"), F.lit(" "), c(f"title_{y}"), F.coalesce(F.concat(F.lit(", dated "), c(f"date_{k}")), F.lit("")))
+    one, two = step("a", 1, "b"), step("b", 2, "c")
+    three = step("c", 3, "d") if "entity_d" in questions.columns else F.lit(None).cast("string")
+    facts = F.array_compact(F.array(one, two, three, F.concat(F.lit("The answer is of the class "), c("kind_b")), F.concat(F.lit("Domains that agree: "), F.size("sources").cast("string")), F.concat(F.lit("First source: "), F.coalesce(F.get("sources", F.lit(0)), F.lit("none")))))
+    search = F.array(F.concat(F.lit("look up "), c("title_a")), F.concat(F.lit("list what it "), c("phrase_1")), F.concat(F.lit("look up "), c("title_c")), F.concat(F.lit("list what "), c("phrase_2"), F.lit(" it")), F.lit("keep what is on both lists"))
+    return questions.withColumns({"explanation": F.concat(F.concat_ws("; ", one, two, three), F.lit(".")), "fact_fanout": F.slice(facts, 1, 12), "search_trajectory": search, "year": fn.parse_year(F.coalesce("date_1", "date_2"))})
 
 
 SECTIONS = ("PROMPT", "SOURCES", "ANSWER", "EXPLANATION", "FACT_FANOUT", "SEARCH_TRAJECTORY")

@@ -13,7 +13,7 @@ from factloom.operators import edges as ed
 from factloom.operators import pages as pg
 from factloom.operators import questions as qs
 from factloom.operators import resolve, verify
-from factloom.session import table
+from factloom.session import table, written_once
 from factloom.sources.evidence import evidence
 
 QUERIES: dict = {}
@@ -31,7 +31,8 @@ def query(name: str, sql: str | None = None):
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ed.edges(evidence(spark, sf_dir))
+    """All edges, aggregated once a session."""
+    return written_once(spark, sf_dir, "edges", lambda: ed.edges(evidence(spark, sf_dir)))
 
 
 def _joined(column: str):
@@ -58,7 +59,7 @@ EDGES = EV + """, e AS (SELECT subject, rel, object, role, list(DISTINCT source_
   first(context ORDER BY seq, context) context, first(date ORDER BY seq, date) FILTER (WHERE date IS NOT NULL) date FROM ev GROUP BY ALL)
 """
 CHAINS = EDGES + """, c AS (SELECT a.subject entity_a, a.rel action_1, a.role role_1, a.object entity_b, b.rel action_2, b.role role_2, b.object entity_c, a.date date_1, b.date date_2,
-  len(a.domains) + len(b.domains) domain_count FROM e a JOIN e b ON a.object = b.subject WHERE a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object)
+  len(a.domains) + len(b.domains) domain_count, a.domains domains_1, b.domains domains_2 FROM e a JOIN e b ON a.object = b.subject WHERE a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object)
 """
 CHAIN_COLUMNS = ["entity_a", "action_1", "entity_b", "action_2", "entity_c", "date_1", "date_2", "domain_count"]
 CHAIN_SQL = ", ".join(CHAIN_COLUMNS)
@@ -253,7 +254,7 @@ def _(spark, sf):
 
 def _plain_sql(x: str) -> str:
     out = f"trim(lower(trim({x})), '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~')"
-    for s in lex.COMPANY_SUFFIXES:
+    for s in lex.PLAIN_SUFFIXES:
         out = f"regexp_replace({out}, ' {s}$', '')"
     return f"trim({out})"
 
@@ -279,18 +280,18 @@ def _(spark, sf):
     return ch.two_hop(_edges(spark, sf)).where(F.coalesce(latest, F.lit(0)) < 1997).select(*CHAIN_COLUMNS)
 
 
-GENERIC = ", ".join(f"'{g}'" for g in lex.GENERIC_ANSWERS)
-QUALITY = f"""CASE WHEN length({_plain_sql("entity_b")}) < 4 OR {_plain_sql("entity_a")} IN ({GENERIC}) OR {_plain_sql("entity_c")} IN ({GENERIC}) THEN 0 ELSE greatest(0, least(10, 10
-  - CASE WHEN action_1 = 'LED_TO' AND NOT contains(entity_a, ' ') OR action_2 = 'LED_TO' AND NOT contains(entity_b, ' ') THEN 4 ELSE 0 END - CASE WHEN action_1 = 'LED_TO' AND action_2 = 'LED_TO' THEN 3 ELSE 0 END
-  - CASE WHEN contains(n, '''') OR regexp_matches(n, '(^|\\|)THE ') THEN 2 ELSE 0 END + CASE WHEN date_1 IS NOT NULL AND date_2 IS NOT NULL THEN 1 ELSE 0 END - CASE WHEN date_1 IS NULL AND date_2 IS NULL THEN 2 ELSE 0 END
-  + CASE WHEN least(y1, y2) < 1950 THEN 1 ELSE 0 END - CASE WHEN least(y1, y2) IS NULL THEN 1 ELSE 0 END + CASE WHEN domain_count >= 4 THEN 1 ELSE 0 END - CASE WHEN domain_count = 1 THEN 1 ELSE 0 END)) END"""
-NAMED = f"(SELECT *, concat_ws('|', entity_a, entity_b, entity_c) n FROM {YEARS})"
+GENERIC, NOISE = (", ".join(f"'{g}'" for g in words) for words in (lex.GENERIC_ANSWERS, lex.NOISE_WORDS))
+#: Names as the gates see them; the domains of both edges, each once.
+NAMED = f"(SELECT *, {_plain_sql('entity_a')} pa, {_plain_sql('entity_b')} pb, {_plain_sql('entity_c')} pc, CASE WHEN greatest(len(domains_1), len(domains_2)) >= 8 THEN 8 ELSE len(list_distinct(domains_1 || domains_2)) END nu FROM {YEARS})"
+QUALITY = f"""CASE WHEN length(pb) < 4 OR pa IN ({NOISE}) OR pc IN ({NOISE}) THEN 0 ELSE greatest(0, least(10, 10
+  - CASE WHEN action_1 = 'LED_TO' AND regexp_matches(pa, '^\\S+$') THEN 4 ELSE 0 END - CASE WHEN action_1 = 'LED_TO' AND action_2 = 'LED_TO' THEN 3 ELSE 0 END
+  - CASE WHEN contains(entity_b, '''') OR starts_with(entity_b, 'THE ') THEN 2 ELSE 0 END + CASE WHEN coalesce(date_1, '') <> '' AND coalesce(date_2, '') <> '' THEN 1 ELSE 0 END - CASE WHEN coalesce(date_1, '') || coalesce(date_2, '') = '' THEN 2 ELSE 0 END
+  + CASE WHEN least(y1, y2) < 1950 THEN 1 ELSE 0 END - CASE WHEN least(y1, y2) IS NULL THEN 1 ELSE 0 END + CASE WHEN nu >= 4 THEN 1 ELSE 0 END - CASE WHEN nu = 1 THEN 1 ELSE 0 END)) END"""
 
 
 @query("quality", CHAINS + f"SELECT {CHAIN_SQL}, CAST({QUALITY} AS INT) AS quality FROM {NAMED}")
 def _(spark, sf):
-    chains = ch.two_hop(_edges(spark, sf))
-    return chains.select(*CHAIN_COLUMNS, ch.quality(chains).alias("quality"))
+    return ch.two_hop(_edges(spark, sf)).select(*CHAIN_COLUMNS, ch.quality().alias("quality"))
 
 
 HASH = "substr(sha256(concat_ws('|', entity_a, action_1, entity_b, action_2, entity_c)), 1, 8)"
@@ -303,8 +304,8 @@ def _(spark, sf):
 
 
 BAD = "|".join(lex.BAD_ANSWER_PARTS)
-FUNNEL = CHAINS + f"""SELECT CASE WHEN {QUALITY} < 5 THEN 'quality' WHEN regexp_matches(lower(entity_b), '{BAD}') OR {_plain_sql("entity_b")} IN ({GENERIC}) OR length(entity_b) < 3 THEN 'answer'
-  WHEN greatest(y1, y2) >= 1997 THEN 'year' ELSE 'kept' END AS gate, count(*) AS n_chains FROM {NAMED} GROUP BY 1"""
+ENTITY_GATE = f"{QUALITY} < 5 OR regexp_matches(lower(entity_b), '{BAD}') OR pb IN ({GENERIC}) OR length(pb) < 3"
+FUNNEL = CHAINS + f"SELECT CASE WHEN {ENTITY_GATE} THEN 'entity' WHEN greatest(y1, y2) >= 1997 THEN 'min_year' ELSE 'kept' END AS gate, count(*) AS n_chains FROM {NAMED} GROUP BY 1"
 
 
 @query("gate_funnel", FUNNEL)
@@ -467,28 +468,105 @@ def _(spark, sf):
     return qs.difficulty(table(spark, sf, "conversations").select(F.col("conv_id").alias("question"), correct.alias("correct")))
 
 
-def _questions(spark, sf) -> DataFrame:
-    e = _edges(spark, sf)
-    near = e.withColumn("sources", fn.first_url_per_domain(F.array_sort("sources")))  # a chain's first URL of a domain is the first of one of its edges
-    unique = ch.uniqueness(ch.two_hop(e)).where("is_unique").select("entity_a", "action_1", "action_2", "entity_c")
+# Questions: SQL made from the same wordings.
+
+
+def _title_sql(x: str) -> str:
+    return f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|\\P{{L}}+)', 1), lambda w: upper(w[1]) || w[2:]), '')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+PHRASE = "CASE {0} " + " ".join(f"WHEN '{k}' THEN {_quoted(v)}" for k, v in lex.PHRASES.items()) + " ELSE lower(replace({0}, '_', ' ')) END"
+WORDINGS = "CASE kind " + " ".join(f"WHEN '{kind}' THEN [{', '.join(map(_quoted, texts))}]" for kind, texts in qs.TEMPLATES.items()) + " END"
+_FILL = {"{a}": "title_a", "{c}": "title_c", "{r1}": "phrase_1", "{r2}": "phrase_2", "{t}": "kind_b", "{d}": "coalesce(' (dated ' || date_1 || ')', '')", "{e}": "coalesce(title_d, '')", "{r3}": "coalesce(phrase_3, '')"}
+FILLED = "wording"
+for _mark, _value in _FILL.items():
+    FILLED = f"replace({FILLED}, '{_mark}', {_value})"
+for _wrong, _right in ((r"\s+", " "), (r" ([,.;?])", r"\1"), (r"\b([Aa]) ([aeiou])", r"\1n \2"), (r"^In, ", "")):
+    FILLED = f"regexp_replace({FILLED}, '{_wrong}', '{_right}', 'g')"
+_NAMES_OF = "a.subject entity_a, a.rel action_1, coalesce(a.role, '') role_1, a.object entity_b, b.rel action_2, coalesce(b.role, '') role_2, b.object entity_c, a.date date_1, b.date date_2"
+
+
+def _tagged_sql(late: str = "") -> str:
+    """Chains of both lengths, once each, with the first gate that rejects them; late: what the year's gate rejects."""
+    unique = lambda *xs: f"CASE WHEN greatest({', '.join(f'len({x}.domains)' for x in xs)}) >= 8 THEN 8 ELSE len(list_distinct({' || '.join(f'{x}.domains' for x in xs)})) END nu"
+    year = f"WHEN {late} THEN 'min_year' " if late else ""
+    two = "a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object"
+    three = f"{two} AND d.subject <> d.object AND b.subject <> d.object AND a.subject <> d.object"
+    key = "hops, entity_a, action_1, entity_b, action_2, entity_c, action_3, entity_d"
+    same = " AND ".join(f"m.{k} IS NOT DISTINCT FROM c.{k}" for k in key.split(", "))
+    return f"""{EDGES}, w AS (
+  SELECT 2 hops, 'SVO' kind, {_NAMES_OF}, {NONE} action_3, {NONE} role_3, {NONE} entity_d, {NONE} date_3, {unique("a", "b")} FROM e a JOIN e b ON a.object = b.subject WHERE {two} AND len(a.domains) + len(b.domains) >= 6
+  UNION ALL SELECT 3, 'THREE_HOP', {_NAMES_OF}, d.rel, coalesce(d.role, ''), d.object, d.date, {unique("a", "b", "d")} FROM e a JOIN e b ON a.object = b.subject JOIN e d ON b.object = d.subject WHERE {three} AND len(a.domains) + len(b.domains) + len(d.domains) >= 6),
+  o1 AS (SELECT * FROM w WHERE nu >= 6 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY role_1, role_2, coalesce(date_1, ''), coalesce(date_2, ''), role_3, date_3) = 1),
+  u AS (SELECT a.subject entity_a, a.rel action_1, b.rel action_2, b.object entity_c, count(DISTINCT {_plain_sql("a.object")}) n FROM e a JOIN e b ON a.object = b.subject WHERE {two} GROUP BY ALL),
+  c AS (SELECT o1.*, coalesce(n, 0) = 1 is_unique, {_plain_sql("entity_a")} pa, {_plain_sql("entity_b")} pb, {_plain_sql("entity_c")} pc, {YEAR.format("date_1")} y1, {YEAR.format("date_2")} y2,
+    substr(sha256(concat_ws('|', entity_a, action_1, entity_b, action_2, entity_c) || CASE WHEN hops = 3 THEN '|' || action_3 || '|' || entity_d ELSE '' END), 1, 8) chain_hash,
+    {_title_sql("entity_a")} title_a, {_title_sql("entity_b")} title_b, {_title_sql("entity_c")} title_c, {_title_sql("entity_d")} title_d, {", ".join(PHRASE.format(f"action_{k}") + f" phrase_{k}" for k in (1, 2, 3))}, {_entity_sql("entity_b")} kind_b
+    FROM o1 LEFT JOIN u USING (entity_a, action_1, action_2, entity_c)),
+  r AS (SELECT {key}, k, trim({FILLED}) prompt FROM (SELECT c.*, k, ({WORDINGS})[CAST((k + ('0x' || chain_hash)::BIGINT % 5) % 5 + 1 AS INT)] wording FROM c, range(5) t(k))),
+  m AS (SELECT {key}, min_by(prompt, k) prompt FROM r WHERE NOT contains(lower(prompt), lower(entity_b)) AND len(string_split(prompt, ' ')) BETWEEN 30 AND 300 GROUP BY ALL),
+  x AS (SELECT c.*, m.prompt FROM c LEFT JOIN m ON {same}),
+  tagged AS (SELECT *, CASE WHEN {ENTITY_GATE} THEN 'entity' {year}WHEN NOT is_unique THEN 'uniqueness' WHEN prompt IS NULL THEN 'narrative' END reject_reason, CAST({QUALITY} AS INT) quality,
+    CASE WHEN least(y1, y2) < 1950 THEN 3 WHEN least(y1, y2) < 2000 THEN 2 WHEN least(y1, y2) IS NOT NULL THEN 1 ELSE 0 END priority FROM x)"""
+
 
-    def cited(chains: DataFrame) -> DataFrame:
-        kept = ch.gated(ch.deduplicated(chains.withColumn("query_rank", F.lit(0)))).where("reject_reason IS NULL")
-        found = ch.with_sources(kept.join(unique, ["entity_a", "action_1", "action_2", "entity_c"], "left_semi"), near)
-        return found.withColumn("sources", fn.least_url_per_domain(F.col("sources"))).where(F.size("sources") >= 6)
+#: Questions that one run writes: the sum of the limits that a run puts on its four patterns of chains.
+RUN = 350
 
-    return qs.documents(qs.rendered(cited(ch.two_hop(e, 6)).unionByName(cited(ch.three_hop(e, 6)), allowMissingColumns=True)))
 
+def _step_sql(x: str, k: int, y: str) -> str:
+    return f"title_{x} || ' ' || phrase_{k} || ' ' || title_{y} || coalesce(', dated ' || date_{k}, '')"
 
-@query("questions")
+
+_STEPS = ", ".join((_step_sql("a", 1, "b"), _step_sql("b", 2, "c"), _step_sql("c", 3, "d")))
+QUESTIONS = f"""{_tagged_sql()}, g AS (SELECT * FROM tagged WHERE reject_reason IS NULL ORDER BY priority DESC, hops, entity_a, action_1, entity_b, action_2, entity_c, coalesce(action_3, ''), coalesce(entity_d, '') LIMIT {RUN}),
+  f1 AS (SELECT subject, rel, object, coalesce(role, '') "role", source_url, domain, min(seq) s FROM ev GROUP BY ALL),
+  l AS (SELECT chain_hash, 1 leg, f1.* FROM g JOIN f1 ON entity_a = subject AND action_1 = rel AND entity_b = object AND role_1 = "role" UNION ALL SELECT chain_hash, 2, f1.* FROM g JOIN f1 ON entity_b = subject AND action_2 = rel AND entity_c = object AND role_2 = "role"
+    UNION ALL SELECT chain_hash, 3, f1.* FROM g JOIN f1 ON entity_c = subject AND action_3 = rel AND entity_d = object AND role_3 = "role"),
+  h AS (SELECT chain_hash, list(source_url ORDER BY leg, s, source_url) sources FROM (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY chain_hash, domain ORDER BY leg, s, source_url) = 1) GROUP BY 1),
+  q AS (SELECT g.*, sources, upper(entity_b) answer, concat_ws('; ', {_STEPS}) || '.' explanation, {YEAR.format("coalesce(date_1, date_2)")} "year",
+    list_filter([{_STEPS}, 'The answer is of the class ' || kind_b, 'Domains that agree: ' || len(sources), 'First source: ' || sources[1]], lambda x: x IS NOT NULL) fact_fanout,
+    ['look up ' || title_a, 'list what it ' || phrase_1, 'look up ' || title_c, 'list what ' || phrase_2 || ' it', 'keep what is on both lists'] search_trajectory FROM g JOIN h USING (chain_hash))
+  """
+
+
+def _questions(spark, sf) -> DataFrame:
+    return written_once(spark, sf, "questions", lambda: qs.generate(_edges(spark, sf), RUN))
+
+
+@query("questions", QUESTIONS + "SELECT chain_hash, answer, prompt, explanation, quality, CAST(len(sources) AS INT) AS n_sources FROM q")
 def _(spark, sf):
     return _questions(spark, sf).select("chain_hash", "answer", "prompt", "explanation", "quality", F.size("sources").alias("n_sources"))
 
 
-for _name, _export in (("json", qs.export_json), ("csv", qs.export_csv), ("huggingface", qs.export_huggingface), ("squad", qs.export_squad), ("hotpotqa", qs.export_hotpotqa), ("markdown", qs.export_markdown)):
-    query(f"export_{_name}")(lambda spark, sf, export=_export: export(_questions(spark, sf)))
+_COUNT = ", ".join(f"count_if(reject_reason = '{g}') AS rejected_{g}" for g in ch.GATES)
+
+
+@query("run_funnel", _tagged_sql("greatest(y1, y2) >= 1997") + f" SELECT count(*) AS total, {_COUNT}, count_if(reject_reason IS NULL) AS accepted FROM tagged")
+def _(spark, sf):
+    """The run's counters over every chain of two and three edges."""
+    return qs.funnel(qs.candidates(_edges(spark, sf), min_year=1997))
+
+
+_FACTS = "list_transform(sources, lambda x: {'source': x, 'sentence': 0})"
+EXPORTS = {
+    "json": (qs.export_json, "chain_hash AS id, CAST(to_json({'id': chain_hash, 'prompt': prompt, 'answer': answer, 'sources': sources, 'explanation': explanation, 'fact_fanout': fact_fanout, 'search_trajectory': search_trajectory, 'year': \"year\"}) AS VARCHAR) AS line"),
+    "csv": (qs.export_csv, "chain_hash AS id, prompt, answer, array_to_string(sources, ' | ') AS sources, CASE WHEN length(explanation) > 200 THEN left(explanation, 200) || '...' ELSE explanation END AS explanation, \"year\""),
+    "huggingface": (qs.export_huggingface, f"chain_hash AS id, CAST(to_json({{'id': chain_hash, 'question': prompt, 'answers': {{'text': [answer], 'answer_start': [-1]}}, 'supporting_facts': {_FACTS}}}) AS VARCHAR) AS line"),
+    "squad": (qs.export_squad, "chain_hash AS id, CAST(to_json({'title': entity_a, 'paragraphs': [{'context': explanation, 'qas': [{'id': chain_hash, 'question': prompt, 'answers': [{'text': answer, 'answer_start': -1}], 'is_impossible': false}]}]}) AS VARCHAR) AS line"),
+    "hotpotqa": (qs.export_hotpotqa, "chain_hash AS id, CAST(to_json({'_id': chain_hash, 'question': prompt, 'answer': answer, 'supporting_facts': list_transform(sources[1:5], lambda x: {'title': x, 'sentence': 0}), 'context': list_transform(sources[1:5], lambda x, i: {'title': x, 'text': coalesce(fact_fanout[i], x)}), 'type': 'bridge'}) AS VARCHAR) AS line"),
+    "markdown": (qs.export_markdown, "chain_hash AS id, '## ' || prompt || chr(10) || chr(10) || '**' || answer || '**' || chr(10) || chr(10) || '- ' || array_to_string(sources, chr(10) || '- ') || chr(10) AS line"),
+}
+for _name, (_export, _sql) in EXPORTS.items():
+    query(f"export_{_name}", QUESTIONS + f"SELECT {_sql} FROM q")(lambda spark, sf, export=_export: export(_questions(spark, sf)))
 
 
-@query("question_files")
+@query("question_files", QUESTIONS + "SELECT chain_hash, prompt, answer, explanation, array_to_string(sources, '|') AS sources, array_to_string(fact_fanout, '|') AS fact_fanout, array_to_string(search_trajectory, '|') AS search_trajectory FROM q")
 def _(spark, sf):
-    return qs.parsed(qs.as_text(_questions(spark, sf)))
+    """Questions written as text of six sections and parsed again."""
+    lists = ("sources", "fact_fanout", "search_trajectory")
+    return qs.parsed(qs.as_text(_questions(spark, sf))).select("chain_hash", "prompt", "answer", "explanation", *(F.array_join(c, "|").alias(c) for c in lists))

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     shipped(spark)
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -53,6 +56,15 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from sf_dir, written by the first query of the session that needs it; a session sees its tables unchanged."""
+    context = spark.sparkContext
+    known = context.__dict__.setdefault("_factloom_tables", {})
+    if (sf_dir, label) not in known:
+        known[sf_dir, label] = written(build(), label)
+    return known[sf_dir, label]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished queries now; it does so when the driver collects its garbage."""
     gc.collect()
