@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -48,12 +47,34 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The write's own shuffle files go as soon as it is done.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/factloom/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._factloom_path = path
+    return made
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Empty tables that written() made and that nothing needs any more."""
+    for t in tables:
+        t.sparkSession.createDataFrame([], t.schema).coalesce(1).write.mode("overwrite").parquet(t._factloom_path)
 
 
 def written_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -65,11 +86,5 @@ def written_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[
     return known[sf_dir, label]
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished queries now; it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
