@@ -21,6 +21,7 @@ The bitmap only spares work: a full one lets every stretch through, and step 3 d
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import ODD, masses, mixed, powers, spans
 from factloom.llm.suffix_array import repeated_windows
-from factloom.session import release, shuffle_partitions, written
+from factloom.session import dropped, shuffle_partitions, written
 
 LENGTH, GRAM = 100, 48
 #: log2 of the bits of each of the two bitmaps (16 MB each).
@@ -205,11 +206,12 @@ def _bitmaps(slim: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
         used = np.flatnonzero(marked)
         return pa.table({"word": pa.array(used), "any": pa.array(marked[used].view(np.int64)), "several": pa.array(mixed_up[used].view(np.int64))})
 
-    found = slim.mapInArrow(count, "bucket int, keys binary, contents binary").groupBy("bucket").applyInArrow(mark, "word long, any long, several long")
+    found = written(slim.mapInArrow(count, "bucket int, keys binary, contents binary").groupBy("bucket").applyInArrow(mark, "word long, any long, several long"), "marks")
     words = found.groupBy("word").agg(F.bit_or("any").alias("any"), F.bit_or("several").alias("several")).toArrow()  # at most 2**(BITS - 6) rows
     marked, mixed_up = np.zeros(1 << (BITS - 6), np.int64), np.zeros(1 << (BITS - 6), np.int64)
     index = words.column("word").to_numpy()
     marked[index], mixed_up[index] = words.column("any").to_numpy(), words.column("several").to_numpy()
+    dropped(found)
     return marked, mixed_up
 
 
@@ -311,12 +313,11 @@ def _ranges_out(place: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterat
         yield _kept([None] * n, [(None,) * 5] * n, [None, end[part], place[part], start[part], None])
 
 
-def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """place, start, end of byte ranges (they may overlap) that earlier text repeats; placed has place (unique, in order) and text."""
+def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
+    """Written tables of place, start, end: byte ranges (they may overlap) that earlier text repeats; placed has place (unique, in order) and text."""
     spark = placed.sparkSession
     slim = placed.select("place", "text")
     maps = spark.sparkContext.broadcast(_bitmaps(slim, length))
-    release(spark)
     buckets = shuffle_partitions(spark)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +354,8 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
         _, again = _firsts(key, content, place, start)
         return pa.Table.from_batches([_batch(_joined_ranges(place[again], start[again], end[again]))])
 
-    whole = kept.where("bucket IS NOT NULL").select("bucket", "keys", "contents", "places", "starts", "sizes").groupBy("bucket").applyInArrow(later, "place long, start long, end long").unionByName(local)
+    packed = kept.where("bucket IS NOT NULL").select("bucket", "keys", "contents", "places", "starts", "sizes")
+    whole = written(packed.groupBy("bucket").applyInArrow(later, "place long, start long, end long").unionByName(local), "whole")
     contents = kept.where("bytes IS NOT NULL").select("key", "place", "start", "bytes")
     hot = spark.sparkContext.broadcast(_hot_bitmap(contents))
 
@@ -383,7 +385,7 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ranges = "place long, start long, end long"
     by_key = part_of(False).repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
-    by_suffix = by_key.mapInArrow(sort, ranges)
+    found = [whole, written(by_key.mapInArrow(sort, ranges), "suffixes")]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices_of(batches, 512):
@@ -399,11 +401,14 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in names), pa.array(b.column(0).to_numpy()[row]), pa.array(b.column(1).to_numpy()[row] + offset)], names=["a", "b", "place", "start"])
 
     if not hot.value.any():
-        return whole.unionByName(by_suffix)
-    exploded = part_of(True).select("place", "start", "bytes").mapInArrow(windows, "a long, b long, place long, start long")
+        dropped(kept)
+        return found
+    exploded = written(part_of(True).select("place", "start", "bytes").mapInArrow(windows, "a long, b long, place long, start long"), "windows")
     earliest = exploded.groupBy("a", "b").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     by_window = exploded.join(earliest, ["a", "b"]).where((F.col("place") != F.col("first.place")) | (F.col("start") != F.col("first.start"))).select("place", "start", (F.col("start") + length).alias("end"))
-    return whole.unionByName(by_suffix).unionByName(by_window)
+    found.append(written(by_window, "hot"))
+    dropped(kept, exploded)
+    return found
 
 
 def _cut(text: bytes, ranges: list | None) -> tuple[bytes, int, int]:
@@ -426,8 +431,9 @@ def _cut(text: bytes, ranges: list | None) -> tuple[bytes, int, int]:
 
 def _with_ranges(docs: DataFrame, length: int) -> DataFrame:
     placed = ordered(docs)
-    by_doc = written(repeats(placed, length).groupBy("place").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
-    release(docs.sparkSession)  # the texts are dealt out only when the stretches' shuffles are gone
+    found = repeats(placed, length)
+    by_doc = written(reduce(DataFrame.unionByName, found).groupBy("place").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
+    dropped(*found)  # the texts are dealt out only when all else is gone
     return placed.join(by_doc, "place", "left")
 
 
