@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import ODD, mixed, shingles
-from factloom.session import shuffle_partitions, written
+from factloom.session import dropped, shuffle_partitions, written
 
 RUNS, DEPTH = 24, 4
 SMALL, BLOCK = 160, 384
@@ -177,15 +177,18 @@ def _leaves(classes: DataFrame) -> DataFrame:
 
     slim = classes.where("size > 0").select("row", "sig")
     rows = slim.mapInArrow(first, "row long, run int, bucket long")
-    done = None
+    done, steps = None, []
     for depth, deeper_still in zip(LEVELS, (*LEVELS[1:], None), strict=True):
         shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         counted = written(rows.join(shared, "bucket").select("row", "run", F.lit(depth).alias("depth"), "bucket", "n"), f"paths{depth}")
+        steps.append(counted)
         leaf = counted if deeper_still is None else counted.where(F.col("n") <= SMALL)
         done = leaf if done is None else done.unionByName(leaf)
         if deeper_still is not None:
             rows = counted.where(F.col("n") > SMALL).select("row", "run").join(slim, "row").select("row", "run", "sig").mapInArrow(deeper(deeper_still), "row long, run int, bucket long")
-    return done
+    leaves = written(done, "leaves")
+    dropped(*steps)
+    return leaves
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -247,7 +250,7 @@ def _by_tile(rows: DataFrame) -> DataFrame:
 
 
 def _components(edges: DataFrame) -> DataFrame:
-    """row, least: the smallest row that each row of edges (a, b) is connected with; hash-to-min with pointer jumping."""
+    """Written table of a, least: the smallest row that each row of edges (a, b) is connected with; hash-to-min with pointer jumping."""
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")), "labels")
     while True:
@@ -255,9 +258,11 @@ def _components(edges: DataFrame) -> DataFrame:
         better = labels.join(near, "a").select("a", F.col("least").alias("old"), F.least("least", "near").alias("least"))
         jump = labels.select(F.col("a").alias("least"), F.col("least").alias("up"))
         new = written(better.join(jump, "least").select("a", "old", F.least("least", "up").alias("least")), "labels")
-        labels = new.select("a", "least")
+        dropped(labels)
+        labels = new
         if not new.where("least <> old").limit(1).count():
-            return labels.select(F.col("a").alias("row"), "least")
+            dropped(both)
+            return labels
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -276,14 +281,17 @@ def _members(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     slim = numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = written(_described(slim), "sets")
-    return numbered, written(_classified(slim, described, similarity), "members")
+    classified, used = _classified(slim, described, similarity)
+    members = written(classified, "members")
+    dropped(described, *used)
+    return numbered, members
 
 
-def _classified(numbered: DataFrame, described: DataFrame, similarity: float) -> DataFrame:
-    """row, doc_id, class_id, n_links; class_id is the row number of the group's first member."""
+def _classified(numbered: DataFrame, described: DataFrame, similarity: float) -> tuple[DataFrame, list[DataFrame]]:
+    """row, doc_id, class_id, n_links (class_id is the row number of the group's first member), and the tables that this needs."""
     name = ["size", "name_a", "name_b"]
     classes = written(described.groupBy(*name).agg(F.min("row").alias("row"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
-    leaves = written(_leaves(classes), "leaves")
+    leaves = _leaves(classes)
 
     def depths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices_of(batches, 512):
@@ -342,11 +350,13 @@ def _classified(numbered: DataFrame, described: DataFrame, similarity: float) ->
 
     full = alive.join(paths, "row").join(grams, "row").select(*_TILE, "block", "row", "sig", "copies", "depths", "grams")
     found = written(_by_tile(full).mapInArrow(linked, "row long, n long, other long"), "links")
+    dropped(leaves, paths, alive, grams)
     counts = found.where("n > 0").groupBy("row").agg(F.sum("n").alias("n"))
-    least = _components(found.where("other IS NOT NULL").select(F.col("row").alias("a"), F.col("other").alias("b")))
+    labels = _components(found.where("other IS NOT NULL").select(F.col("row").alias("a"), F.col("other").alias("b")))
+    least = labels.select(F.col("a").alias("row"), "least")
     labelled = classes.select(*name, "row", "copies").join(least, "row", "left").join(counts, "row", "left")
     labelled = labelled.select(*name, F.coalesce("least", "row").alias("class_id"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return described.select("row", "doc_id", *name).join(labelled, name).select("row", "doc_id", "class_id", "n_links")
+    return described.select("row", "doc_id", *name).join(labelled, name).select("row", "doc_id", "class_id", "n_links"), [classes, found, labels]
 
 
 def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
