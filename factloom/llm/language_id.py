@@ -8,7 +8,6 @@ Training is Adam in numpy on windows of a bounded sample of labelled documents.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,11 @@ from factloom.llm.toxicity import held_out
 #: Labelled documents that training looks at, and windows it takes of each.
 MAX_TRAIN, WINDOWS_EACH = 6_000, 3
 WINDOW, DIM, FILTERS, WIDTHS = 96, 8, 12, (2, 3, 4)
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numerals such as fractions and Roman ones are none."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -125,7 +128,7 @@ def trained(docs: DataFrame, max_train: int = MAX_TRAIN) -> Network | None:
         for b in slices_of(batches):
             out: list[tuple[bytes, str]] = []
             for text, lang in rows_of(b):
-                if not _LETTER.search(text):
+                if not has_letter(text):
                     continue
                 data = _bytes(text)
                 step = max(1, (len(data) - WINDOW) // WINDOWS_EACH)
@@ -153,7 +156,7 @@ def identify(docs: DataFrame, network: Network | None = None) -> DataFrame:
             lang, score = ["und"] * len(texts), np.zeros(len(texts))
             parts, starts, whose, at = [], [], [], 0
             for i, text in enumerate(texts if net else ()):
-                if text and _LETTER.search(text):
+                if text and has_letter(text):
                     data = _bytes(text)
                     # the last window is at least half a window long
                     n = max(1, round(len(data) / WINDOW))

@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from factloom.llm.tokens import encoder
 
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special=True)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in rows_of(batch):

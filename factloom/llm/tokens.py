@@ -16,21 +16,32 @@ _RUN = re.compile(r"\s\s")
 SINGLE_SPACED = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str | None = None):
-    """text -> little-endian unsigned 32-bit ids as bytes; special strings are ordinary text."""
+#: The vocabulary's one special string and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str | None = None, special: bool = False):
+    """text -> little-endian unsigned 32-bit ids as bytes.
+
+    special: the special string gives its own id, as the tokenizers library's encode()
+    does by default; otherwise it is ordinary text.
+    """
     import public_tokenizers as public
     import tiktoken
 
     with open(path or public.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     plain, single = (
-        tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})._core_bpe
         for name, pattern in (("plain", public.PATTERN), ("single", SINGLE_SPACED))
     )
     none: set[str] = set()
+    marked = {SPECIAL}
 
     def ids(text: str) -> bytes:
+        if special and SPECIAL in text:
+            return bytes(plain.encode_to_tiktoken_buffer(text, marked))
         return bytes((plain if _RUN.search(text) else single).encode_to_tiktoken_buffer(text, none))
 
     return ids

@@ -23,10 +23,30 @@ def test_tokens_equal_the_tokenizers_library():
     import public_tokenizers as public
     from tokenizers import Tokenizer
 
+    odd = ["", " ", "a  b", "it's\n\n x\t y ", "Éa %%% <|endoftext|> 12,5", "x \u00a0 y", "naïve ### don't", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b \n", "<|endoftext", "end <|endoftext|>\n\n next", "\u3000\u2028x", "a\r\n\r\nb", "0123 ½ Ⅷ"]
+    for ordinary in (True, False):
+        t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+        t.encode_special_tokens = ordinary
+        for text in odd:
+            assert np.frombuffer(encoder(special=not ordinary)(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_has_the_ids_of_the_tokenizers_library(spark):
+    """ids_crc32, start and length of every document of sf0.01, whole, against the contract's own call."""
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
     t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    for text in ("", " ", "a  b", "it's\n\n x\t y ", "Éa %%% <|endoftext|> 12,5", "x \u00a0 y", "naïve ### don't"):
-        assert np.frombuffer(encoder()(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1, "a <|endoftext|> b"), (-2, None), (-3, "")], "doc_id long, text string"))
+    expected = set()
+    rows = docs.collect()
+    for r, e in zip(rows, t.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False), strict=True):
+        ids = np.array([*e.ids, 0], "<u4")
+        first = (len(ids) - 1) % 2048 + 1
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        expected |= {(r["doc_id"], k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))}
+    found = packing.pack(docs).collect()
+    assert len(found) == len(expected) and {tuple(r)[:5] for r in found} == expected
 
 
 def test_plan_places_every_piece_without_overlap():
