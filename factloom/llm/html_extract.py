@@ -36,7 +36,7 @@ _BLOCK = {"address", "article", "blockquote", "body", "caption", "center", "dd",
 _CELL = {"br", "td", "th"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: Whole names of class, id and role that mark what is not the article.
-_NOISE_MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "reply", "replies", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+_NOISE_MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "footer", "gdpr", "masthead", "menu", "menu-item", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "reply", "replies", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 #: Pairs that sites use for the same.
 _NOISE_MARKS |= {f"{a}-{b}" for a in ("ad", "ads", "advert", "banner", "comment", "comments", "cookie", "footer", "menu", "nav", "newsletter", "notice", "promo", "related", "search", "share", "sidebar", "social", "sponsor", "subscribe", "widget") for b in ("area", "bar", "block", "box", "buttons", "container", "content", "form", "links", "list", "section", "slot", "unit", "wrapper")} | {f"{a}-{b}" for a in ("cookie", "site", "page", "main", "top", "left", "right", "share", "social", "nav", "author") for b in ("banner", "footer", "menu", "nav", "navigation", "sidebar", "bar", "notice", "consent")} | {"related-posts", "related-articles", "back-to-top", "skip-link", "site-header", "page-header", "top-header"}
 _PLACED = re.compile(r"<(?:article|main)(?=[\s/>])|\brole\s*=\s*[\"']?main\b|\barticlebody\b", re.IGNORECASE)
@@ -48,6 +48,26 @@ def _marks(attributes: str) -> set[str]:
     return {part.replace("_", "-") for m in _MARK.finditer(attributes) for part in (m[1] or m[2] or m[3] or "").lower().split()}
 
 
+#: What opening an element closes, if its end tag was left out: elements, and where the search for them stops.
+_CELLS = ({"td", "th", "caption"}, {"table", "tr"})
+_IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": _CELLS, "th": _CELLS, "tr": ({"tr"}, {"table"}), **dict.fromkeys(("thead", "tbody", "tfoot"), ({"thead", "tbody", "tfoot"}, {"table"}))}
+_P = ({"p"}, {"button", "td", "th", "table", "caption", "object"})
+_OPTIONAL = ("p", "li", "dt", "dd", "td", "th", "tr", "caption", "thead", "tbody", "tfoot")
+
+
+def _closed_by(name: str, stack: list[tuple[str, int]]) -> int:
+    """How many open elements stay when one of this name opens."""
+    depth = len(stack)
+    for wanted, stop in ((_P,) if name in _BLOCK else ()) + ((_IMPLIED[name],) if name in _IMPLIED else ()):
+        for k in range(depth - 1, -1, -1):
+            if stack[k][0] in wanted:
+                depth = k
+                break
+            if stack[k][0] in stop:
+                break
+    return depth
+
+
 def _holders(page: str) -> set[int]:
     """Where the tags end that are noise by name of class, id or role only and still hold an article or main element."""
     out: set[int] = set()
@@ -71,6 +91,7 @@ def _holders(page: str) -> set[int]:
                 raw_end[name] = lower.find(f"</{name}", at)
             at = raw_end[name] if raw_end[name] >= 0 else (len(page) if name in {"script", "style"} else at)
             continue
+        del stack[_closed_by(name, stack) :]
         if name in _VOID or attributes.endswith("/"):
             continue
         if _article(name, _marks(attributes)):
@@ -84,13 +105,17 @@ def _article(name: str, marks: set[str]) -> bool:
 
 
 def blocks_of(page: str) -> tuple[list[str], list[str]]:
-    """The blocks of the page's article, and the blocks that the markup does not place."""
+    """The blocks of the page's article, and the blocks that the markup does not place.
+
+    End tags that HTML allows to leave out are implied, so noise ends with its element.
+    """
     article: list[str] = []
     loose: list[str] = []
     text: list[str] = []
     holders = _holders(page)
-    #: open elements that matter: name, +1 for an article, -1 for noise, 0 else
+    #: open elements: name, +1 for an article, -1 for noise, 0 else
     stack: list[tuple[str, int]] = []
+    open_names: dict[str, int] = {}
     inside = noise = 0
     raw_end: dict[str, int] = {}
     lower = page.lower()
@@ -105,6 +130,16 @@ def blocks_of(page: str) -> tuple[list[str], list[str]]:
                     (article if inside else loose).append(block)
             text.clear()
 
+    def pop_to(depth: int) -> None:
+        nonlocal inside, noise
+        while len(stack) > depth:
+            n, kind = stack.pop()
+            open_names[n] -= 1
+            if kind:
+                close()
+                inside -= kind > 0
+                noise -= kind < 0
+
     at = 0
     while True:
         m = _TAG.search(page, at)
@@ -120,15 +155,10 @@ def blocks_of(page: str) -> tuple[list[str], list[str]]:
         if m[1] or m[4]:
             if name in _BLOCK:
                 close()
-            if any(n == name for n, _ in stack):
-                while stack:
-                    n, kind = stack.pop()
-                    if kind:
-                        if n in _BLOCK or n == name:
-                            close()
-                        inside -= kind > 0
-                        noise -= kind < 0
-                    if n == name:
+            if open_names.get(name):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == name:
+                        pop_to(k)
                         break
             continue
         if name in _RAW:
@@ -140,21 +170,23 @@ def blocks_of(page: str) -> tuple[list[str], list[str]]:
             close()
         elif name in _CELL and not noise:
             text.append(" ")
+        if (name in _BLOCK or name in _IMPLIED) and any(map(open_names.get, _OPTIONAL)):
+            pop_to(_closed_by(name, stack))
         if name in _VOID or (m[3] or m[6] or "").endswith("/"):
             continue
         kind = 0
         attributes = m[3] or m[6] or ""
         marks = _marks(attributes)
-        if name in _NOISE or name == "header":
+        if name in _NOISE or name == "header" and not inside:  # an article's own header holds its title
             kind = -1
         elif _article(name, marks):
             kind = 1
         elif marks & _NOISE_MARKS and name not in {"html", "body"} and at not in holders:
             kind = -1
-        if kind or any(n == name for n, _ in stack):
-            stack.append((name, kind))
-            inside += kind > 0
-            noise += kind < 0
+        stack.append((name, kind))
+        open_names[name] = open_names.get(name, 0) + 1
+        inside += kind > 0
+        noise += kind < 0
     close()
     return article, loose
 

@@ -217,3 +217,27 @@ def test_pipeline(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     per = found.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n").alias("n")).first()
     assert 0 < per["n"] <= 2048
+
+
+def test_end_tags_that_were_left_out():
+    for page, kept in (
+        ("<ul><li class='menu-item'>a<li class='menu-item'>b</ul><article>art</article>", (["art"], [])),
+        ("<p class='ad'>buy<article>art</article>", (["art"], [])),
+        ("<article><header><h1>Title</h1></header><p>x</article>", (["Title", "x"], [])),
+        ("<header><h1>Site</h1></header><article>art</article>", (["art"], [])),
+        ("<article><p class='ad'>buy<p>text<p class='promo'>more<h2>kept</h2></article>", (["text", "kept"], [])),
+        ("<dl><dt class='nav'>a<dd>b</dl>", ([], ["b"])),
+        ("<table><tr><td class='menu'>m<td>art<tr><td>two</table>", ([], ["art", "two"])),
+        ("<article><ul><li class='ad'>x<ul><li>y</ul><li>z</ul></article>", (["z"], [])),
+        ("<article><p>one<div class='comments'><p>c</div><p>two</article>", (["one", "two"], [])),
+        ("<article><p>a &lt;b&gt; &amp;amp; &nbsp; c" + "<div>" * 3000, (["a <b> &amp; c"], [])),
+        ("<p>" * 20_000 + "end", ([], ["end"])),
+    ):
+        assert html_extract.blocks_of(page) == kept, page[:80]
+
+
+def test_long_and_broken_pages(spark):
+    long = "<article>" + "".join(f"<p>word{i} and more" for i in range(60_000)) + "</article>"
+    rows = [(0, "http://h.org/", long), (1, None, "<article><p>x" + "<" * 5000), (2, "http://h.org/", "<!-- open"), (2, "http://h.org/", "<!-- open"), (None, "h", "<script>never closed")]
+    found = sorted(((r["page_id"] is None, r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_extract.extract(spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, text int, host string")).collect()))
+    assert len(found) == 5 and found[0][2].count("\n") == 59_999 and found[1][2].startswith("x") and [f[2] for f in found[2:]] == ["", "", ""]
