@@ -45,6 +45,10 @@ CONNECTIVES = ("resulted in", "led to", "gave rise to", "brought about", "paved
 REJECTED_ENDINGS = ("pdf", "zip", "gz", "exe", "mp3", "mp4", "avi", "jpg", "jpeg", "png", "gif", "svg", "css", "js", "xml", "csv", "doc", "docx")
 DELIVERY_PARTS = ("/download/", "/cdn/", "/static/", "/assets/")
 BLOCKED_DOMAINS = ("casino-win.example.org", "cheap-pills.example.com", "spam-farm.example.org", "ads-track.example.org")
+#: Parts of a URL that mark pages without prose: deliveries, binaries, forms.
+SKIPPED_PARTS = ("/download/", "/stream/", "/serve/", ".epub", ".mobi", ".zip", ".gz", ".torrent", ".tiff", ".djvu", "page=2")
+#: What to search for, by relation; others take both names and the relation.
+SEARCHES = {"ACQUIRED": "{A} acquisition of {B}", "RELEASED": "{A} release {B}", "LOCATED_IN": "{A} location {B}"}
 FEED_PATHS = ("/feed", "/rss", "/api", "/wp-json")
 NOISY_PARTS = ("/login", "/cart", "/tag/")
 ALLOWED_DOMAINS = ("thther.example.org", "ththen.example.com", "blog.ththon.example.net")

@@ -40,9 +40,9 @@ def impossible_order(found: DataFrame, founding=lex.FOUNDING) -> DataFrame:
     return years.where("year_2 < year_1").withColumn("severity", F.lit("high"))
 
 
-def report(found: DataFrame) -> DataFrame:
+def report(found: DataFrame, founding=lex.FOUNDING) -> DataFrame:
     """All kinds in one schema; missing columns are null."""
-    kinds = {"url_years": url_years(found), "several_targets": several_targets(found), "several_roles": several_roles(found), "impossible_order": impossible_order(found)}
+    kinds = {"url_years": url_years(found), "several_targets": several_targets(found), "several_roles": several_roles(found), "impossible_order": impossible_order(found, founding)}
     merged = None
     for kind, df in kinds.items():
         part = df.withColumn("type", F.lit(kind))

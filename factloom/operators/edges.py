@@ -41,6 +41,32 @@ def edges(evidence: DataFrame, by_role: bool = True) -> DataFrame:
     return merged
 
 
+def with_known(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Edges with curated facts (subject, rel, object, sources, context, date) merged in; roles go.
+
+    A known fact's new sources and raw domains come before an edge's own, it counts one
+    occurrence, and the edge's context and date stay; a fact without an edge becomes one.
+    """
+    mine = known.select("subject", "rel", "object", F.array_distinct("sources").alias("_s"), F.array_distinct(F.transform("sources", lambda u: F.split_part(u, F.lit("/"), F.lit(3)))).alias("_d"), F.col("context").alias("_context"), F.col("date").alias("_date"))
+    joined = found.join(mine, ["subject", "rel", "object"], "full_outer")
+    empty = F.array().cast("array<string>")
+    add = lambda new, old: F.concat(F.array_except(F.coalesce(new, empty), F.coalesce(old, empty)), F.coalesce(old, empty))
+    return joined.select(
+        "subject", "rel", "object",
+        add(F.col("_s"), F.col("sources")).alias("sources"),
+        add(F.col("_d"), F.col("domains")).alias("domains"),
+        (F.coalesce("occurrences", F.lit(0)) + F.when(F.col("_s").isNotNull(), 1).otherwise(0)).alias("occurrences"),
+        F.when(F.col("sources").isNull(), F.col("_context")).otherwise(F.col("context")).alias("context"),
+        F.when(F.col("sources").isNull(), F.col("_date")).otherwise(F.col("date")).alias("date"),
+    )
+
+
+def alias_preview(evidence: DataFrame, aliases: DataFrame) -> DataFrame:
+    """What aliased() would change, without a change: by old name, how many facts it would rename on each side."""
+    sides = evidence.select(F.col("subject").alias("old"), F.lit(1).alias("s"), F.lit(0).alias("o")).unionByName(evidence.select(F.col("object").alias("old"), F.lit(0).alias("s"), F.lit(1).alias("o")))
+    return sides.join(aliases, "old").groupBy("old", "canonical").agg(F.sum("s").alias("n_subjects"), F.sum("o").alias("n_objects"))
+
+
 def consolidated(found: DataFrame) -> DataFrame:
     """Parallel edges of one (subject, rel, object) as one; occurrences add up (null counts 1), roles go."""
     return found.groupBy("subject", "rel", "object").agg(

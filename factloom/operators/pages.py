@@ -31,6 +31,22 @@ def url_verdict(url: Column) -> Column:
     )
 
 
+def path_verdict(url: Column, filters: dict[str, tuple[str, ...]]) -> Column:
+    """False if the host has filtered sections and the path is in one, true if it has and is not, null for other hosts."""
+    path, host, found = F.lower(fn.url_path(url)), F.lower(fn.raw_netloc(url)), F.lit(None).cast("boolean")
+    for site, prefixes in filters.items():
+        inside = F.lit(False)
+        for prefix in prefixes:
+            inside = inside | path.startswith(prefix)
+        found = F.when(host == site, ~inside).otherwise(found)
+    return found
+
+
+def is_skipped(url: Column) -> Column:
+    """Pages that are marked as done unread: deliveries, binaries and forms, by parts of the URL."""
+    return F.lower(url).rlike("|".join(w.replace(".", "[.]") for w in lex.SKIPPED_PARTS))
+
+
 def rate_limit(host: Column, default: float = 2.0) -> Column:
     pairs = [F.lit(x) for kv in lex.RATE_LIMITS.items() for x in kv]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), host), F.lit(default))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions import lexicons as lex
 from factloom.functions import scalars as fn
 
 
@@ -44,6 +45,32 @@ def under_covered(found: DataFrame, target: int, entity: str | None = None, most
     return rows if most is None else rows.limit(most)
 
 
+def search_query(subject: Column, rel: Column, object_: Column) -> Column:
+    """What to search for to find more sources of a fact: the relation's wording, else names and relation."""
+    said = F.lit("{A} {rel} {B}")
+    for name, wording in lex.SEARCHES.items():
+        said = F.when(rel == name, F.lit(wording)).otherwise(said)
+    for mark, value in (("{A}", fn.title_case(subject)), ("{B}", fn.title_case(object_)), ("{rel}", F.lower(F.replace(rel, F.lit("_"), F.lit(" "))))):
+        said = F.replace(said, F.lit(mark), value)
+    return said
+
+
+def enriched(found: DataFrame, pages: DataFrame, target: int = 6, strict: bool = False) -> DataFrame:
+    """Edges in which those with fewer domains than the target take every page that confirms them as a source.
+
+    Pages do not change by being cited, so one pass over all of them reaches what rounds
+    of searches reach; n_new tells how many sources each edge gained.
+    """
+    from factloom.operators.edges import with_sources
+
+    work = found.where(F.size("domains") < target)
+    grown = with_sources(work, confirmations(work, pages, strict)).withColumn("n_new", F.lit(None).cast("int"))
+    before = work.select("subject", "rel", "object", "role", F.size("sources").alias("_n"))
+    same = [grown[k].eqNullSafe(before[k]) for k in ("subject", "rel", "object", "role")]
+    counted = grown.join(before, same[0] & same[1] & same[2] & same[3]).select(*(grown[c] for c in found.columns), (F.size(grown["sources"]) - before["_n"]).alias("n_new"))
+    return found.where(F.size("domains") >= target).withColumn("n_new", F.lit(0)).unionByName(counted)
+
+
 def confirmations(worklist: DataFrame, pages: DataFrame, strict: bool = False) -> DataFrame:
     """(subject, rel, object, source_url, domain) of pages that name the edge's ends and are not yet its sources.
 

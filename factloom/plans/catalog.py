@@ -12,8 +12,9 @@ from factloom.operators import contradictions as contra
 from factloom.operators import edges as ed
 from factloom.operators import pages as pg
 from factloom.operators import questions as qs
-from factloom.operators import resolve, verify
+from factloom.operators import evaluation, reports, resolve, verify
 from factloom.session import table, written_once
+from factloom.sources import files
 from factloom.sources.evidence import evidence
 
 QUERIES: dict = {}
@@ -570,3 +571,221 @@ def _(spark, sf):
     """Questions written as text of six sections and parsed again."""
     lists = ("sources", "fact_fanout", "search_trajectory")
     return qs.parsed(qs.as_text(_questions(spark, sf))).select("chain_hash", "prompt", "answer", "explanation", *(F.array_join(c, "|").alias(c) for c in lists))
+
+
+# -- reports, evaluation, known facts, files ------------------------------------------------------------------------------
+
+
+@query("health_report", CHAINS + """, t AS (SELECT count(*) n FROM e a JOIN e b ON a.object = b.subject JOIN e d ON b.object = d.subject WHERE a.subject <> a.object AND b.subject <> b.object AND a.subject <> b.object AND d.subject <> d.object AND b.subject <> d.object AND a.subject <> d.object),
+  n AS (SELECT count(DISTINCT name) n FROM (SELECT subject AS name FROM e UNION ALL SELECT object FROM e)), k AS (SELECT count(*) n_chains, coalesce(max(domain_count), 0) m, count_if(domain_count >= 1) ready FROM c),
+  g AS (SELECT count(*) n_edges, count_if(date IS NOT NULL) n_dated, count_if(TRY_CAST(substr(date, 1, 4) AS INT) < 1950) n_pre_1950, coalesce(max(len(domains)), 0) max_domains FROM e)
+  SELECT n_edges, n_dated, n_pre_1950, CAST(max_domains AS INT) AS max_domains, n.n AS n_entities, n_chains, CAST(m AS INT) AS max_chain_domains, t.n AS n_chains_3, 100 * n_dated // greatest(n_edges, 1) AS dated_percent,
+    CASE WHEN max_domains = 0 THEN 'empty' WHEN max_domains < 2 THEN 'sparse' WHEN ready = 0 THEN 'merge' WHEN max_domains < 3 THEN 'relaxed' WHEN max_domains < 6 THEN 'moderate' ELSE 'full' END AS advice FROM g, n, k, t""")
+def _(spark, sf):
+    return reports.health(_edges(spark, sf))
+
+
+@query("readiness", EDGES + "SELECT CAST(len(domains) AS INT) AS n_domains, count(*) AS n_edges, CASE WHEN len(domains) >= 6 THEN 'production' WHEN len(domains) >= 3 THEN 'testing' WHEN len(domains) >= 1 THEN 'more sources' ELSE 'none' END AS band FROM e GROUP BY ALL ORDER BY 1 DESC LIMIT 10")
+def _(spark, sf):
+    return reports.readiness(_edges(spark, sf))
+
+
+@query("overview", EDGES + "SELECT (SELECT count(DISTINCT name) FROM (SELECT subject AS name FROM e UNION ALL SELECT object FROM e)) AS n_entities, count(*) AS n_edges, CAST(max(len(domains)) AS INT) AS max_domains, (SELECT count(*) FROM pages) AS n_pages, (SELECT count_if(page_id % 10 <> 0) FROM pages) AS n_open, (SELECT count(DISTINCT conv_id) FROM conversations) AS n_questions FROM e")
+def _(spark, sf):
+    return reports.overview(_edges(spark, sf), table(spark, sf, "pages"), F.col("page_id") % 10 == 0, table(spark, sf, "conversations").select("conv_id").distinct())
+
+
+SUMMARY = EDGES + """SELECT subject, rel, object, role, CASE WHEN n = 0 THEN '0 domains' WHEN n > 12 THEN n || ' domains: ' || array_to_string(d[1:12], ', ') || ', ... (+' || (n - 12) || ' more)' ELSE n || ' domains: ' || array_to_string(d, ', ') END AS summary
+  FROM (SELECT subject, rel, object, role, list_sort(domains) d, len(domains) n FROM e)"""
+
+
+@query("domain_summary", SUMMARY)
+def _(spark, sf):
+    return _edges(spark, sf).select("subject", "rel", "object", "role", reports.domain_summary(F.col("domains")).alias("summary"))
+
+
+@query("request_gaps", "SELECT user_id, min(gap) AS least_gap, round(avg(gap), 3) AS mean_gap, count(*) AS n_gaps FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) AS BIGINT) AS gap FROM events) WHERE gap IS NOT NULL GROUP BY 1")
+def _(spark, sf):
+    return reports.request_gaps(table(spark, sf, "events"), "user_id", "ts")
+
+
+_SITE = "lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+_PATH = PATH.format("url")
+PATH_RULES = {"ththen.example.com": ("/es", "/fr"), "ththth.example.net": ("/de",)}
+
+
+@query("path_filter", "SELECT page_id, CASE " + " ".join(f"WHEN {_SITE} = '{site}' THEN NOT ({' OR '.join(f'starts_with(lower({_PATH}), {_quoted(p)})' for p in paths)})" for site, paths in PATH_RULES.items()) + " END AS kept FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pg.path_verdict(F.col("url"), PATH_RULES).alias("kept"))
+
+
+@query("skip_url", f"SELECT page_id, regexp_matches(lower(url), '{_any(lex.SKIPPED_PARTS)}') AS skipped FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pg.is_skipped(F.col("url")).alias("skipped"))
+
+
+@query("raw_domain", "SELECT page_id, split_part(url, '/', 3) AS domain FROM pages")
+def _(spark, sf):
+    return table(spark, sf, "pages").select("page_id", files.raw_domain(F.col("url")).alias("domain"))
+
+
+_SAID = "CASE rel " + " ".join(f"WHEN '{k}' THEN {_quoted(v)}" for k, v in lex.SEARCHES.items()) + " ELSE '{A} {rel} {B}' END"
+
+
+@query("search_query", EDGES + f"SELECT DISTINCT subject, rel, object, replace(replace(replace({_SAID}, '{{A}}', {_title_sql('subject')}), '{{B}}', {_title_sql('object')}), '{{rel}}', lower(replace(rel, '_', ' '))) AS query FROM e")
+def _(spark, sf):
+    said = verify.search_query(F.col("subject"), F.col("rel"), F.col("object"))
+    return _edges(spark, sf).select("subject", "rel", "object", said.alias("query")).distinct()
+
+
+KNOWN = """, k AS (SELECT upper(trim(p_brand)) subject, 'RELEASED' rel, upper(trim(p_type)) object, ['http://www.known.example/' || lower(p_brand), 'http://b.example/' || min(p_partkey)] s, ['www.known.example', 'b.example'] d, '1899' date FROM part WHERE p_size <= 10 GROUP BY p_brand, p_type)
+  SELECT coalesce(o.subject, k.subject) AS subject, coalesce(o.rel, k.rel) AS rel, coalesce(o.object, k.object) AS object, array_to_string(coalesce(k.s, []), '|') AS first_sources, len(coalesce(o.domains, [])) + len(coalesce(k.d, [])) AS n_domains, CAST(coalesce(o.occurrences, 0) + CASE WHEN k.s IS NULL THEN 0 ELSE 1 END AS BIGINT) AS occurrences, CASE WHEN o.subject IS NULL THEN k.date ELSE o.date END AS date
+  FROM (SELECT * FROM e WHERE rel IN ('RELEASED', 'LED_TO')) o FULL JOIN k ON o.subject = k.subject AND o.rel = k.rel AND o.object = k.object"""
+
+
+@query("known_facts", EDGES + KNOWN)
+def _(spark, sf):
+    part = table(spark, sf, "part").where("p_size <= 10").withColumn("maker", F.lower("p_brand"))
+    named = part.groupBy(F.upper(F.trim("p_brand")).alias("subject"), F.upper(F.trim("p_type")).alias("object"), "maker").agg(F.min("p_partkey").alias("p"))
+    sources = F.array(F.concat(F.lit("http://www.known.example/"), "maker"), F.concat(F.lit("http://b.example/"), F.col("p").cast("string")))
+    known = named.select("subject", F.lit("RELEASED").alias("rel"), "object", sources.alias("sources"), F.lit("CORPORATE").alias("context"), F.lit("1899").alias("date"))
+    merged = ed.with_known(_edges(spark, sf).where("rel IN ('RELEASED', 'LED_TO')"), known)
+    first = F.array_join(F.filter("sources", lambda u: u.contains("known.example") | u.contains("//b.example")), "|")
+    return merged.select("subject", "rel", "object", first.alias("first_sources"), F.size("domains").cast("long").alias("n_domains"), F.col("occurrences").cast("long").alias("occurrences"), "date")
+
+
+@query("alias_preview", EV + """, m AS (SELECT upper(n_name) AS old, 'LAND ' || n_regionkey AS canonical FROM nation WHERE n_nationkey % 5 = 1), s AS (SELECT subject AS old, 1 AS s, 0 AS o FROM ev UNION ALL SELECT object, 0, 1 FROM ev)
+  SELECT old, canonical, CAST(sum(s) AS BIGINT) AS n_subjects, CAST(sum(o) AS BIGINT) AS n_objects FROM s JOIN m USING (old) GROUP BY 1, 2""")
+def _(spark, sf):
+    return ed.alias_preview(evidence(spark, sf).where("length(subject) > 1 AND length(object) > 1"), _aliases(spark, sf))
+
+
+def _responses(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Conversations as answer services: the first turn's first three words are the answer sought, later turns respond."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("texts"))
+    words = F.split(F.lower(F.get("texts", F.lit(0))), r"\s+")
+    asked = turns.withColumns({"question": F.col("conv_id"), "answer": F.array_join(F.slice(words, 1, 3), " ")})
+    nth = lambda k: F.get("texts", F.lit(k))
+    return asked.select("question", "answer", nth(1).alias("abstract"), nth(2).alias("reply"), nth(3).alias("heading")), asked.select("question", "answer", F.slice("texts", 2, 100).alias("titles"))
+
+
+def _enough_sql(response: str, share: float) -> str:
+    mine = "list_distinct(list_filter(regexp_split_to_array(answer, '\\s+'), lambda w: w <> ''))"
+    return f"len(list_intersect({mine}, list_distinct(regexp_split_to_array(lower(coalesce({response}, '')), '\\s+')))) >= greatest(1.0, len({mine}) * {share})"
+
+
+ASKED = """WITH t AS (SELECT conv_id AS question, list(text ORDER BY turn) AS texts FROM conversations GROUP BY 1), q AS (SELECT question, array_to_string(regexp_split_to_array(lower(texts[1]), '\\s+')[1:3], ' ') AS answer, texts FROM t)
+"""
+EVALUATION = ASKED + f""", i AS (SELECT question, {_enough_sql("texts[2]", 0.6)} OR {_enough_sql("texts[3]", 0.6)} OR {_enough_sql("texts[4]", 0.6)} AS a, len(texts) > 1 AND {_enough_sql("texts[2]", 0.5)} OR len(texts) > 2 AND {_enough_sql("texts[3]", 0.5)} OR len(texts) > 3 AND {_enough_sql("texts[4]", 0.5)} AS b FROM q),
+  s AS (SELECT question, 2 AS total, CAST(a AS INT) + CAST(b AS INT) AS n_correct, round(1 - (CAST(a AS INT) + CAST(b AS INT)) / 2, 2)::DOUBLE AS score FROM i)
+  SELECT question, CAST(total AS BIGINT) AS total, CAST(n_correct AS BIGINT) AS n_correct, score, CASE WHEN score >= 0.8 THEN 'HARD' WHEN score >= 0.5 THEN 'MEDIUM' WHEN score >= 0.2 THEN 'EASY' ELSE 'TRIVIAL' END AS label FROM s"""
+
+
+@query("evaluation", EVALUATION)
+def _(spark, sf):
+    """Both evaluators over all conversations, and each question's difficulty."""
+    return evaluation.evaluated(*_responses(spark, sf))
+
+
+@query("evaluation_report", f"SELECT count(*) AS n, count_if(score >= 0.8) AS hard, count_if(score >= 0.5 AND score < 0.8) AS medium, count_if(score < 0.5) AS easy, round(avg(score), 4) AS mean_score FROM ({EVALUATION})")
+def _(spark, sf):
+    return qs.difficulty_report(evaluation.evaluated(*_responses(spark, sf)))
+
+
+@query("hardest_questions", f"SELECT question, score, label FROM ({EVALUATION}) ORDER BY score DESC, question LIMIT 10")
+def _(spark, sf):
+    return evaluation.hardest(evaluation.evaluated(*_responses(spark, sf))).select("question", "score", "label")
+
+
+@query("recent_questions", QUESTIONS + """, z AS (SELECT 'question_20240101_000000_' || chain_hash || coalesce('_' || "year", '') || '.txt' AS file, * FROM q ORDER BY file DESC LIMIT 5)
+  SELECT file, left(prompt, 200) || '...' AS prompt, answer, CAST(len(sources) + len(fact_fanout) + len(search_trajectory) AS INT) AS n_numbered, "year" FROM z""")
+def _(spark, sf):
+    made = _questions(spark, sf)
+    named = made.select("chain_hash", files.question_name("20240101_000000").alias("file"))
+    return reports.recent(qs.as_text(made).join(named, "chain_hash"))
+
+
+CACHED = """SELECT CAST(page_id AS BIGINT) AS page_id, page_id % 3 = 0 AS held, CASE WHEN page_id % 3 = 0 THEN CAST(CASE WHEN page_id % 2 = 0 THEN 200 ELSE 0 END AS INT) END AS status_code FROM pages"""
+
+
+@query("fetch_cache", CACHED)
+def _(spark, sf):
+    """Which pages a cache that holds every third one, failures included, has."""
+    pages = table(spark, sf, "pages")
+    urls = pages.select("page_id", F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url"))
+    cache = urls.where("page_id % 3 = 0").select(files.cache_key(F.col("url")).alias("key"), F.when(F.col("page_id") % 2 == 0, 200).otherwise(0).alias("status_code"), F.lit("").alias("text"))
+    held, lacking = files.from_cache(urls, cache)
+    found = held.select("url", F.lit(True).alias("held"), "status_code").unionByName(lacking.select("url", F.lit(False).alias("held"), F.lit(None).cast("int").alias("status_code")))
+    return urls.join(found, "url").select(F.col("page_id").cast("long").alias("page_id"), "held", "status_code")
+
+
+GROWN = EDGES + f""", w AS (SELECT * FROM e WHERE len(domains) < 6), p AS (SELECT url, p_name AS text FROM pages JOIN part ON p_partkey = page_id),
+  t AS (SELECT DISTINCT subject, rel, object, x AS word FROM (SELECT subject, rel, object, unnest(regexp_split_to_array(lower(subject || ' ' || object), '\\s+')) AS x FROM w) WHERE length(x) >= 4),
+  d AS (SELECT DISTINCT word FROM t), g AS (SELECT DISTINCT word, url FROM d, p WHERE contains(lower(text), word)),
+  h AS (SELECT subject, rel, object, list(DISTINCT url) AS urls FROM t JOIN g USING (word) GROUP BY ALL)
+  SELECT subject, rel, object, role, CAST(coalesce(len(list_filter(h.urls, lambda u: NOT list_contains(w.sources, u))), 0) AS INT) AS n_new FROM w LEFT JOIN h USING (subject, rel, object)"""
+
+
+@query("enriched", GROWN)
+def _(spark, sf):
+    """Edges of under six domains with every part name that confirms them as a source."""
+    pages = table(spark, sf, "pages").join(table(spark, sf, "part"), F.col("page_id") == F.col("p_partkey")).select("url", F.col("p_name").alias("text"))
+    under = _edges(spark, sf).where(F.size("domains") < 6)
+    return verify.enriched(under, pages).select("subject", "rel", "object", "role", "n_new")
+
+
+# -- contradictions that occur: facts turned round so that one subject has several targets, roles and years ------------------
+
+DISPUTED_EDGES = EDGES.replace(", e AS (SELECT", """, dv AS (SELECT seq, CASE WHEN rel IN ('LOCATED_IN', 'WAS_ROLE_OF') THEN object ELSE subject END subject, rel, CASE rel WHEN 'LOCATED_IN' THEN subject WHEN 'WAS_ROLE_OF' THEN 'MARKET' ELSE object END object, role, context, date,
+  CASE WHEN rel = 'LED_TO' THEN source_url || '/' || (1990 + seq % 30) ELSE source_url END source_url, domain FROM ev), e AS (SELECT""").replace("FROM ev GROUP BY ALL", "FROM dv GROUP BY ALL")
+FOUNDERS = ("ACQUIRED",)
+
+
+def _disputed(spark, sf) -> DataFrame:
+    def build():
+        rel = F.col("rel")
+        turned = evidence(spark, sf).withColumns(
+            {
+                "subject": F.when(rel.isin("LOCATED_IN", "WAS_ROLE_OF"), F.col("object")).otherwise(F.col("subject")),
+                "object": F.when(rel == "LOCATED_IN", F.col("subject")).when(rel == "WAS_ROLE_OF", F.lit("MARKET")).otherwise(F.col("object")),
+                "source_url": F.when(rel == "LED_TO", F.concat("source_url", F.lit("/"), (1990 + F.col("seq") % 30).cast("string"))).otherwise(F.col("source_url")),
+            }
+        )
+        return ed.edges(turned)
+
+    return written_once(spark, sf, "disputed", build)
+
+
+def _on_disputed(sql: str) -> str:
+    return sql.replace(EDGES, DISPUTED_EDGES)
+
+
+D_YEARS, D_TARGETS = _on_disputed(CONTRA_YEARS), _on_disputed(CONTRA_TARGETS)
+D_ROLES = DISPUTED_EDGES + "SELECT subject, object, string_agg(DISTINCT role, '|' ORDER BY role) AS roles FROM e WHERE rel = 'WAS_ROLE_OF' AND role <> '' GROUP BY 1, 2 HAVING count(DISTINCT role) > 1"
+D_ORDER = _on_disputed(CHAINS) + "SELECT entity_a, action_1, entity_b, action_2, entity_c, y1 AS year_1, y2 AS year_2 FROM " + YEARS + " WHERE action_1 = 'ACQUIRED' AND y2 < y1"
+
+
+@query("disputed_url_year", D_YEARS)
+def _(spark, sf):
+    return contra.url_years(_disputed(spark, sf)).select("subject", "rel", "object", "spread", "severity")
+
+
+@query("disputed_targets", D_TARGETS)
+def _(spark, sf):
+    return contra.several_targets(_disputed(spark, sf)).select("subject", "rel", F.array_join("targets", "|").alias("targets"), "n_dates")
+
+
+@query("disputed_roles", D_ROLES)
+def _(spark, sf):
+    return contra.several_roles(_disputed(spark, sf)).select("subject", "object", F.array_join("roles", "|").alias("roles"))
+
+
+@query("disputed_order", D_ORDER)
+def _(spark, sf):
+    return contra.impossible_order(_disputed(spark, sf), FOUNDERS).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "year_1", "year_2")
+
+
+@query("disputed_report", f"""SELECT 'url_years' AS type, severity, count(*) AS n FROM ({D_YEARS}) GROUP BY ALL UNION ALL SELECT 'several_targets', 'medium', count(*) FROM ({D_TARGETS}) UNION ALL SELECT 'several_roles', 'low', count(*) FROM ({D_ROLES})
+  UNION ALL SELECT 'impossible_order', 'high', count(*) FROM ({D_ORDER})""")
+def _(spark, sf):
+    return contra.severities(contra.report(_disputed(spark, sf), FOUNDERS))
