@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shipped(spark: SparkSession) -> SparkSession:
@@ -50,17 +51,18 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, label: str = "table") -> DataFrame:
+def written(df: DataFrame, label: str = "table", by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The write's own shuffle files go as soon as it is done.
+    The write's own shuffle files go as soon as it is done.  by: a column whose values
+    get folders of their own, which a filter on it skips and dropped() can empty alone.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/factloom/{label}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
@@ -71,10 +73,11 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     return made
 
 
-def dropped(*tables: DataFrame) -> None:
-    """Empty tables that written() made and that nothing needs any more."""
+def dropped(*tables: DataFrame, part: str = "") -> None:
+    """Empty tables that written() made and that nothing needs any more; part: only this folder of theirs, as in column=value."""
     for t in tables:
-        t.sparkSession.createDataFrame([], t.schema).coalesce(1).write.mode("overwrite").parquet(t._factloom_path)
+        schema = [f for f in t.schema.fields if f.name != part.split("=")[0]]
+        t.sparkSession.createDataFrame([], T.StructType(schema)).coalesce(1).write.mode("overwrite").parquet(f"{t._factloom_path}/{part}".rstrip("/"))
 
 
 def written_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
