@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from factloom.llm import decontaminate, fingerprints, html_extract, jaccard_join, language_id, lm_score, packing, suffix_dedup, toxicity, url_filter
+from factloom.llm.oracle import ORACLE_SQL
 from factloom.session import table
 
 QUERIES: dict = {
@@ -18,4 +19,4 @@ QUERIES: dict = {
     "op10_language_id": lambda spark, sf_dir: language_id.identify(table(spark, sf_dir, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
