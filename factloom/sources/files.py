@@ -28,7 +28,7 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_question_files(spark: SparkSession, folder: str) -> DataFrame:
     """All question_*.txt of a folder, parsed, by name; files without prompt or answer go."""
-    texts = spark.read.option("wholetext", "true").option("pathGlobFilter", "question_*.txt").text(folder)
+    texts = spark.read.option("pathGlobFilter", "question_*.txt").text(folder, wholetext=True)
     return qs.parsed(texts.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("value").alias("text"))).orderBy("file")
 
 
