@@ -21,8 +21,8 @@ The bitmap only spares work: a full one lets every stretch through, and step 3 d
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,8 @@ BITS = 27
 HOT = 4096
 #: log2 of the bits of the bitmap of representatives with more.
 HOT_BITS = 20
-#: Bytes of text whose suffixes are sorted at once.
-CHUNK = 1 << 20
+#: Bytes of text whose suffixes are sorted at once, and that are hashed at once.
+CHUNK, READ = 1 << 20, 1 << 19
 _SECOND = mixed(np.arange(301, 557, dtype=np.uint64) * ODD)
 
 
@@ -105,10 +105,10 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of about 1 MB of text; the text is column 1."""
+    """Slices of about READ characters of text; the text is column 1."""
     for b in slices_of(batches, 256):
         size = np.array([len(t or "") for t in b.column(1).to_pylist()])
-        part = np.cumsum(size) // CHUNK
+        part = np.cumsum(size) // READ
         for k in np.unique(part):
             rows = np.flatnonzero(part == k)
             yield b.slice(int(rows[0]), len(rows))

@@ -241,3 +241,88 @@ def test_long_and_broken_pages(spark):
     rows = [(0, "http://h.org/", long), (1, None, "<article><p>x" + "<" * 5000), (2, "http://h.org/", "<!-- open"), (2, "http://h.org/", "<!-- open"), (None, "h", "<script>never closed")]
     found = sorted(((r["page_id"] is None, r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_extract.extract(spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, text int, host string")).collect()))
     assert len(found) == 5 and found[0][2].count("\n") == 59_999 and found[1][2].startswith("x") and [f[2] for f in found[2:]] == ["", "", ""]
+
+
+def test_the_latent_space_finds_what_shares_no_rare_word(spark, monkeypatch):
+    own = random.Random(5)
+    topics = [[f"topic{t}w{i}" for i in range(30)] for t in range(10)]
+    rare = [f"rare{i}" for i in range(22)]
+    common = [own.choice(topics[0]) for _ in range(28)]
+    body = common + rare
+    own.shuffle(body)
+    answer = " ".join(own.sample(topics[0], 6))
+    item = " ".join(body) + ". " + answer + "."
+    reworded = " ".join(w if w in common else f"other{i}" for i, w in enumerate(body)) + ". " + answer + "."
+    corpus = [" ".join(own.choice(topics[i % 10]) for _ in range(48)) for i in range(300)]
+    docs = spark.createDataFrame([*enumerate(corpus), (900, reworded), (901, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {900, 901}
+    import numpy as np
+
+    monkeypatch.setattr(decontaminate, "_directions", lambda hits, idf, seed=11: np.zeros((len(idf), decontaminate.SKETCH)))
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {901}
+
+
+def test_decontamination_of_odd_rows(spark):
+    item = "one two three four five six seven eight nine ten. The answer is eleven twelve."
+    long = prose(200_000) + " " + item + " " + prose(1000)
+    rows = [(None, item, 1.0), (3, item, 1.0), (3, item, 1.0), (4, long, 1.0), (5, "", 1.0), (6, None, 1.0)] + [(10 + i, prose(60), 1.0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id double")
+    bench = spark.createDataFrame([(1, item), (2, item), (None, item), (7, None)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in found) == sorted((d, i) for d in (0, 3, 3, 4) for i in (0, 1, 2))
+
+
+def test_a_benchmark_in_several_blocks(spark, monkeypatch):
+    items = [(k, " ".join(f"item{k}word{j}" for j in range(25)) + f". The answer is answer{k}.") for k in range(12)]
+    docs = spark.createDataFrame([(k, prose(40) + " " + t + " " + prose(40)) for k, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK", 1000)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()} == {(k, k) for k, _ in items}
+
+
+def test_fingerprints_of_odd_rows(spark):
+    rows = [(None, "b", "x"), (None, "a", "x"), (7, "same", "x"), (7, "same", "x"), (7, None, "x"), (9, prose(300_000), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    found = fingerprints.fingerprint(docs).collect()
+    ordered = ["a", "b", "", "same", "same", rows[5][1]]
+    expected = sorted(hashlib.sha256(fingerprints.edited(t, ordered[(i + 1) % 6]).encode()).hexdigest() for i, t in enumerate(ordered))
+    assert sorted(r["edited_sha256"] for r in found) == expected
+    one = fingerprints.fingerprint(docs.where("doc_id = 9")).first()
+    assert one["near_next"] == 1.0 and 0.7 < one["near_edited"] < 0.8
+
+
+def test_language_of_odd_rows(spark):
+    rows = [(i, " ".join(rng.choice(w.split()) for _ in range(30)), a, 0.1) for i in range(80) for a, w in [(("aa", "ka lo mi"), ("bb", "xut zyp vor"))[i % 2]]]
+    rows += [(900, "½ ² Ⅷ 12", "aa", 0.1), (901, "x" * 3_000_000, None, 0.1), (None, "ka lo mi", "aa", 0.1), (902, "ka lo mi", None, 0.1), (902, "ka lo mi", None, 0.1)]
+    found = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")).collect()
+    by = {r["doc_id"]: r for r in found}
+    assert len(found) == len(rows) and by[900]["lang_pred"] == "und" and by[902]["lang_pred"] == by[None]["lang_pred"] == "aa"
+    assert by[901]["lang_pred"] in ("aa", "bb") and by[None]["held_out"] is False
+
+
+def test_url_rules_equal_brute_force(spark):
+    sites = ["example.org", "www.example.org", "notexample.org", "a.org", "org", "x.com", "com", "example.org.net", "EXAMPLE.ORG", "a.b.example.org"]
+    urls = [f"{s}://{h}{p}" for s in ("http", "x") for h in sites for p in ("", "/", "/es", "/es/", "/es/1", "/en/1", "/en/12", "/fr/", "/de/x", "?q=/es/", "#/de/")] * 2
+    rows = [(i, u, "h", "v") for i, u in enumerate(urls)]
+    found = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, host string, verdict string")).collect()
+
+    def rule(url):
+        host, path = re.match(r"[^:]*://([^/?#]*)([^?#]*)", url).groups()
+        host = host.lower()
+        fits = [r for r, _ in url_filter.RULES for at, _, below in [r.partition("/")] if (host == at or host.endswith("." + at)) and path.startswith("/" + below)]
+        return max(fits, key=len, default=None)
+
+    assert {r["page_id"]: r["rule"] for r in found} == {i: rule(u) for i, u in enumerate(urls)}
+    verdicts = dict(url_filter.RULES)
+    assert all(r["verdict"] == verdicts[r["rule"]] for r in found if r["rule"])
+
+
+def test_url_classifier_on_urls_it_has_not_seen(spark):
+    bad, good = (x.split() for x in (url_filter.BAD, url_filter.GOOD))
+    unseen = [(u, y) for part, y in ((bad, "block"), (good, "allow")) for u in part[::3]]
+    weights, bias = url_filter.train(spark, " ".join(u for i, u in enumerate(bad) if i % 3), " ".join(u for i, u in enumerate(good) if i % 3))
+    table = spark.createDataFrame([(f"http://{u}", y) for u, y in unseen], "url string, label string")
+    rows = table.select("label", url_filter.buckets(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("b")).collect()
+    right = sum(((bias + sum(weights[b] for b in r["b"]) / len(r["b"]) ** 0.5) >= 0) == (r["label"] == "block") for r in rows)
+    assert right >= 0.8 * len(rows)
