@@ -6,7 +6,8 @@ set (the smallest under a random order, so two sets choose the same token with
 probability equal to their Jaccard similarity).  A bucket of at most SMALL classes is
 compared by brute force; a larger one is split again, down to DEPTH tokens, and what is
 still large then is compared in blocks.  A pair of similarity 0.8 is missed with
-probability (1 - 0.8**DEPTH)**RUNS, below 4e-6, even if every bucket splits to the end.
+probability (1 - 0.8**DEPTH)**RUNS even if every bucket splits to the end; RUNS follows
+from the share that may be missed.
 
 A pair that several runs bring together is compared in the first of them only: every
 class carries its paths, so any task can tell which run that is.  Blocks give back link
@@ -16,6 +17,7 @@ rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +30,13 @@ from factloom.llm.arrow import slices_of
 from factloom.llm.hashing import ODD, mixed, shingles
 from factloom.session import dropped, shuffle_partitions, written
 
-RUNS, DEPTH = 24, 4
+WORDS, SIMILARITY, DEPTH = 5, 0.8, 4
+#: Share of the pairs at the similarity that may be missed; runs are repeated until no more are expected.
+MISSED = 4e-6
+RUNS = math.ceil(math.log(MISSED) / math.log(1 - SIMILARITY**DEPTH))
 SMALL, BLOCK = 160, 384
 #: Depths at which buckets are looked at: a large bucket is split on all its other sampled tokens at once.
 LEVELS = (1, DEPTH)
-WORDS, SIMILARITY = 5, 0.8
 #: Classes whose signatures agree less are not compared; 0.8 - 0.58 is over five standard deviations.
 ESTIMATE = 0.58
 _SEEDS = mixed(np.arange(1, RUNS * DEPTH + 1, dtype=np.uint64) * ODD)
@@ -268,17 +272,23 @@ def _components(edges: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that stay if every group of near duplicates keeps one: that of the smallest doc_id (a row without one comes last).
 
-    Groups as in join(); texts without words are one group.  docs must give its rows in
-    the same order whenever it is read, as a written table does.
+    Groups as in join(); texts without words are one group.
     """
     numbered, members = _members(docs, similarity)
     first = members.groupBy("class_id").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "row")).alias("first"))
     return numbered.join(first.select(F.col("first.row").alias("_row")), "_row", "left_semi").drop("_row")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number _row for each row: doc_id if that is unique and never null, otherwise numbers that are written down with the rows."""
+    key = F.col("doc_id").cast("long")
+    odd = docs.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("n > 1 OR k IS NULL").limit(1).count()
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered") if odd else docs.withColumn("_row", key)
+
+
 def _members(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """docs with a number _row for each row; row, doc_id, class_id, n_links of each."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = _numbered(docs)
     slim = numbered.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = written(_described(slim), "sets")
     classified, used = _classified(slim, described, similarity)
@@ -366,8 +376,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts without words are equal.  n_links counts the other rows that are linked with
     this one, copies included.  Groups are the connected components of the links.  A null
     text counts as empty; repeated rows are copies of one another; other columns are
-    ignored; an empty table stays empty.  docs must give its rows in the same order
-    whenever it is read, as a written table does.
+    ignored; an empty table stays empty.
     """
     _, members = _members(docs, similarity)
     names = members.groupBy("class_id").agg(F.min("doc_id").alias("least"))

