@@ -9,6 +9,7 @@ from factloom.functions import lexicons as lex
 from factloom.functions import scalars as fn
 from factloom.operators import chains as ch
 from factloom.operators import verify
+from factloom.session import written
 
 #: Five wordings by kind; {a}, {c} and {e} are names, {r1} to {r3} actions, {t} the answer's class, {d} a date clause.
 TEMPLATES = {
@@ -75,6 +76,33 @@ def rendered(chains: DataFrame) -> DataFrame:
     return chains.withColumns({"prompt": F.coalesce(*(wording(k) for k in range(5))), "answer": F.upper("entity_b")})
 
 
+SAME = ["entity_a", "action_1", "action_2", "entity_c"]
+
+
+def _unique(found: DataFrame) -> DataFrame:
+    return ch.uniqueness(ch.two_hop(found)).where("is_unique").select(*SAME, F.lit(True).alias("_unique"))
+
+
+def chains(found: DataFrame, min_domains: int = 6, min_year: int | None = None, known_hashes: DataFrame | None = None) -> DataFrame:
+    """Every chain of two and three edges with enough domains, once, with the first of the row-wise gates that it fails in reject_reason."""
+    parallel = found.groupBy("subject", "rel", "object").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+
+    def judged(some: DataFrame, hops: int) -> DataFrame:
+        kept = some.where(F.col("unique_domains") >= min_domains)
+        if parallel:  # otherwise no two chains have one key
+            kept = ch.deduplicated(kept.withColumn("query_rank", F.lit(0))).drop("query_rank")
+        return ch.gated(kept, min_year, known_hashes).withColumn("hops", F.lit(hops))
+
+    return judged(ch.two_hop(found, min_domains), 2).unionByName(judged(ch.three_hop(found, min_domains), 3), allowMissingColumns=True)
+
+
+def _late(some: DataFrame, found: DataFrame, min_sources: int) -> DataFrame:
+    """The gates that need other chains or a wording: uniqueness, narrative, domains."""
+    tagged = rendered(some.join(_unique(found), SAME, "left"))
+    late = F.when(F.col("_unique").isNull(), "uniqueness").when(F.col("prompt").isNull(), "narrative").when(F.col("unique_domains") < min_sources, "graph_domains")
+    return tagged.withColumn("reject_reason", F.coalesce("reject_reason", late)).drop("_unique")
+
+
 def candidates(found: DataFrame, min_domains: int = 6, min_sources: int = 6, min_year: int | None = None, known_hashes: DataFrame | None = None) -> DataFrame:
     """Every chain of two and three edges with enough domains, its prompt, and in reject_reason the first gate that it fails (null: none).
 
@@ -82,17 +110,7 @@ def candidates(found: DataFrame, min_domains: int = 6, min_sources: int = 6, min
     bad answers, the year, another answer to the same question, no wording that fits,
     too few domains.  Sources are neither joined nor fetched here (see cited, verified).
     """
-    same = ["entity_a", "action_1", "action_2", "entity_c"]
-    unique = ch.uniqueness(ch.two_hop(found)).where("is_unique").select(*same, F.lit(True).alias("_unique"))
-
-    def judged(chains: DataFrame, hops: int) -> DataFrame:
-        kept = ch.deduplicated(chains.where(F.col("unique_domains") >= min_domains).withColumn("query_rank", F.lit(0)))
-        tagged = ch.gated(kept, min_year, known_hashes).join(unique, same, "left")
-        return rendered(tagged).withColumn("hops", F.lit(hops))
-
-    both = judged(ch.two_hop(found, min_domains), 2).unionByName(judged(ch.three_hop(found, min_domains), 3), allowMissingColumns=True)
-    late = F.when(F.col("_unique").isNull(), "uniqueness").when(F.col("prompt").isNull(), "narrative").when(F.col("unique_domains") < min_sources, "graph_domains")
-    return both.withColumn("reject_reason", F.coalesce("reject_reason", late)).drop("_unique", "query_rank")
+    return _late(chains(found, min_domains, min_year, known_hashes), found, min_sources)
 
 
 ORDER = ["entity_a", "action_1", "entity_b", "action_2", "entity_c"]
@@ -130,12 +148,26 @@ def verified(questions: DataFrame, pages: DataFrame, min_sources: int = 6) -> Da
 
 
 def generate(found: DataFrame, most: int | None = None, min_domains: int = 6, min_sources: int = 6, min_year: int | None = None, known_hashes: DataFrame | None = None, pages: DataFrame | None = None) -> DataFrame:
-    """Questions with prompt, answer, sources, explanation, fact_fanout and search_trajectory; sources are verified if pages are given."""
-    tagged = candidates(found, min_domains, min_sources, min_year, known_hashes)
-    if pages is None:
-        return documents(cited(run_of(tagged, most), found))
-    passed = verified(cited(run_of(tagged, None), found), pages, min_sources)
-    return documents(run_of(passed, most))
+    """Questions with prompt, answer, sources, explanation, fact_fanout and search_trajectory; sources are verified if pages are given.
+
+    With a limit, chains that pass the row-wise gates are ranked, and only the first of
+    them go through the others, four times as many each time until enough pass.
+    """
+    if most is None or pages is not None:
+        tagged = candidates(found, min_domains, min_sources, min_year, known_hashes)
+        if pages is None:
+            return documents(cited(run_of(tagged, most), found))
+        passed = verified(cited(run_of(tagged, None), found), pages, min_sources)
+        return documents(run_of(passed, most))
+    open_ = chains(found, min_domains, min_year, known_hashes).where((F.col("reject_reason").isNull()) & (F.col("unique_domains") >= min_sources))
+    look = 4 * max(1, most)
+    while True:
+        first = written(run_of(open_, look), "ranked")
+        enough = first.count() < look
+        passed = written(_late(first, found, min_sources).where("reject_reason IS NULL"), "passed")
+        if enough or passed.count() >= most:
+            return documents(cited(run_of(passed, most), found))
+        look *= 4
 
 
 def funnel(tagged: DataFrame) -> DataFrame:

@@ -59,7 +59,8 @@ def test_verified_sources(spark):
 
 
 def test_files_round_trip(spark, tmp_path):
-    q = qs.generate(edges(spark, CHAIN))
+    made = qs.generate(edges(spark, CHAIN))
+    q = spark.createDataFrame(made.collect(), made.schema)
     files.write_questions(q, f"{tmp_path}/q", "20240101_000000")
     back, row = files.read_questions(spark, f"{tmp_path}/q").first(), q.first()
     assert back["prompt"] == row["prompt"] and back["sources"] == row["sources"] and back["file"].endswith(f"_{row['chain_hash']}_1887.txt")
