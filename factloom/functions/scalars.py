@@ -161,7 +161,9 @@ def confirms(text: Column, subject: Column, object_: Column, strict: bool) -> Co
 
 def first_url_per_domain(urls: Column, most: int | None = None) -> Column:
     """The first URL of each netloc, in order."""
-    kept = F.filter(urls, lambda u, i: F.array_position(F.transform(urls, netloc), netloc(u)) == i + 1)
+    # every URL's site is found once: it is bound to a variable, which an expression repeated in a lambda is not
+    per_site = lambda sites: F.filter(urls, lambda u, i: F.array_position(sites, F.get(sites, i)) == i + 1)
+    kept = F.flatten(F.transform(F.array(F.transform(urls, netloc)), per_site))
     return kept if most is None else F.slice(kept, 1, most)
 
 

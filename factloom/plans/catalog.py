@@ -335,7 +335,12 @@ def _(spark, sf):
     return e.select("subject", "object", F.array_join(fn.first_url_per_domain(F.col("sources")), "|").alias("urls"))
 
 
-@query("pick_url_all")
+PICK_ALL = EV + """, o AS (SELECT subject, rel, object, role, source_url, domain, min(seq) AS s FROM ev GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY subject, rel, object, role, domain ORDER BY s, source_url) n FROM o)
+  SELECT subject, rel, object, role, string_agg(source_url, '|' ORDER BY s, source_url) AS urls FROM r WHERE n = 1 GROUP BY ALL"""
+
+
+@query("pick_url_all", PICK_ALL)
 def _(spark, sf):
     """Every edge's first URL of each domain."""
     return _edges(spark, sf).select("subject", "rel", "object", "role", F.array_join(fn.first_url_per_domain(F.col("sources")), "|").alias("urls"))
@@ -404,7 +409,12 @@ def _(spark, sf):
     return contra.impossible_order(_edges(spark, sf)).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "year_1", "year_2")
 
 
-@query("contra_report")
+CONTRA_ROLES = EDGES + "SELECT subject, object, string_agg(DISTINCT role, '|' ORDER BY role) AS roles FROM e WHERE rel = 'WAS_ROLE_OF' AND role <> '' GROUP BY 1, 2 HAVING count(DISTINCT role) > 1"
+CONTRA_ORDER = CHAINS + f"SELECT entity_a FROM {YEARS} WHERE action_1 IN ({FOUNDING}) AND y2 < y1"
+
+
+@query("contra_report", f"""SELECT 'url_years' AS type, severity, count(*) AS n FROM ({CONTRA_YEARS}) GROUP BY ALL UNION ALL SELECT 'several_targets', 'medium', count(*) FROM ({CONTRA_TARGETS}) HAVING count(*) > 0
+  UNION ALL SELECT 'several_roles', 'low', count(*) FROM ({CONTRA_ROLES}) HAVING count(*) > 0 UNION ALL SELECT 'impossible_order', 'high', count(*) FROM ({CONTRA_ORDER}) HAVING count(*) > 0""")
 def _(spark, sf):
     return contra.severities(contra.report(_edges(spark, sf)))
 
