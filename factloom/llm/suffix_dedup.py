@@ -21,6 +21,7 @@ The bitmap only spares work: a full one lets every stretch through, and step 3 d
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -298,7 +299,7 @@ _KEPT_NAMES = [c.split()[0] for c in _KEPT.split(", ")]
 
 
 def _kept(bucket: list, packed: list[tuple], rows: list) -> pa.RecordBatch:
-    """Either packed stretches of a bucket, or stretches with their bytes."""
+    """Either packed stretches of a bucket, or stretches with their bytes; then content tells whether a stretch may repeat within."""
     n = len(bucket)
     columns = [bucket, *map(list, zip(*packed, strict=True)), *([None] * n if r is None else r for r in rows)]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _KEPT_TYPES, strict=True)], names=_KEPT_NAMES)
@@ -322,17 +323,17 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked, several = maps.value
-        columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
+        columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool)]
         held: list[bytes | None] = []
         for b in _sliced(batches):
             s = Stretches(_texts(b.column(1)), length)
             at = np.flatnonzero(_hit(marked, s.key))
             place = b.column(0).to_numpy(zero_copy_only=False)[s.doc[at]]
-            for column, x in zip(columns, (s.key[at], s.content[at], place, s.start[at], s.end[at]), strict=True):
+            for column, x in zip(columns, (s.key[at], s.content[at], place, s.start[at], s.end[at], s.inner[at]), strict=True):
                 column.append(x)
             mixed_up = _hit(several, s.key[at])
             held += [s.data[p : p + e - a].tobytes() if m else None for p, a, e, m in zip(s.place[at].tolist(), s.start[at].tolist(), s.end[at].tolist(), mixed_up.tolist(), strict=True)]
-        key, content, place, start, end = (np.concatenate(c) for c in columns)
+        key, content, place, start, end, inner = (np.concatenate(c) for c in columns)
         first, later = _firsts(key, content, place, start)
         yield from _ranges_out(place[later], start[later], end[later])
         for row in _dealt(buckets, key[first], content[first], place[first], start[first].astype(np.uint32), (end - start)[first].astype(np.uint32)):
@@ -341,7 +342,7 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
         for i in range(0, len(own), 1024):
             part = np.array(own[i : i + 1024], np.int64)
             n = len(part)
-            yield _kept([None] * n, [(None,) * 5] * n, [key[part].view(np.int64), content[part].view(np.int64), place[part], start[part], [held[k] for k in part.tolist()]])
+            yield _kept([None] * n, [(None,) * 5] * n, [key[part].view(np.int64), inner[part].astype(np.int64), place[part], start[part], [held[k] for k in part.tolist()]])
 
     kept = written(slim.mapInArrow(keep, _KEPT), "stretches")
     local = kept.where("bucket IS NULL AND bytes IS NULL").select("place", "start", F.col("content").alias("end"))
@@ -356,7 +357,7 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
 
     packed = kept.where("bucket IS NOT NULL").select("bucket", "keys", "contents", "places", "starts", "sizes")
     whole = written(packed.groupBy("bucket").applyInArrow(later, "place long, start long, end long").unionByName(local), "whole")
-    contents = kept.where("bytes IS NOT NULL").select("key", "place", "start", "bytes")
+    contents = kept.where("bytes IS NOT NULL").select("key", "place", "start", "bytes", F.col("content").alias("inner"))
     hot = spark.sparkContext.broadcast(_hot_bitmap(contents))
 
     def part_of(wanted: bool):
@@ -380,7 +381,12 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
             yield solved(held)
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
-        _, place, start, contents = zip(*rows, strict=True)
+        # the only content of a representative, let through by the bitmap, repeats nothing unless it may within itself
+        times = Counter(r[0] for r in rows)
+        rows = [r for r in rows if times[r[0]] > 1 or r[4]]
+        if not rows:
+            return _batch(((), (), ()))
+        _, place, start, contents, _ = zip(*rows, strict=True)
         return _batch(_sorted_repeats(np.array(place), np.array(start), list(contents), length))
 
     ranges = "place long, start long, end long"
