@@ -624,9 +624,9 @@ _PATH = PATH.format("url")
 PATH_RULES = {"ththen.example.com": ("/es", "/fr"), "ththth.example.net": ("/de",)}
 
 
-@query("path_filter", "SELECT page_id, CASE " + " ".join(f"WHEN {_SITE} = '{site}' THEN NOT ({' OR '.join(f'starts_with(lower({_PATH}), {_quoted(p)})' for p in paths)})" for site, paths in PATH_RULES.items()) + " END AS kept FROM pages")
+@query("path_filter", "SELECT page_id, CASE " + " ".join(f"WHEN {_SITE} = '{site}' THEN NOT ({' OR '.join(f'starts_with(lower({_PATH}), {_quoted(p)})' for p in paths)})" for site, paths in PATH_RULES.items()) + " ELSE false END AS kept FROM pages")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", pg.path_verdict(F.col("url"), PATH_RULES).alias("kept"))
+    return table(spark, sf, "pages").select("page_id", F.coalesce(pg.path_verdict(F.col("url"), PATH_RULES), F.lit(False)).alias("kept"))
 
 
 @query("skip_url", f"SELECT page_id, regexp_matches(lower(url), '{_any(lex.SKIPPED_PARTS)}') AS skipped FROM pages")
@@ -715,7 +715,7 @@ def _(spark, sf):
     return reports.recent(qs.as_text(made).join(named, "chain_hash"))
 
 
-CACHED = """SELECT CAST(page_id AS BIGINT) AS page_id, page_id % 3 = 0 AS held, CASE WHEN page_id % 3 = 0 THEN CAST(CASE WHEN page_id % 2 = 0 THEN 200 ELSE 0 END AS INT) END AS status_code FROM pages"""
+CACHED = """SELECT CAST(page_id AS BIGINT) AS page_id, page_id % 3 = 0 AS held, CASE WHEN page_id % 3 = 0 THEN CAST(CASE WHEN page_id % 2 = 0 THEN 200 ELSE 0 END AS INT) ELSE -1 END AS status_code FROM pages"""
 
 
 @query("fetch_cache", CACHED)
@@ -725,7 +725,7 @@ def _(spark, sf):
     urls = pages.select("page_id", F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url"))
     cache = urls.where("page_id % 3 = 0").select(files.cache_key(F.col("url")).alias("key"), F.when(F.col("page_id") % 2 == 0, 200).otherwise(0).alias("status_code"), F.lit("").alias("text"))
     held, lacking = files.from_cache(urls, cache)
-    found = held.select("url", F.lit(True).alias("held"), "status_code").unionByName(lacking.select("url", F.lit(False).alias("held"), F.lit(None).cast("int").alias("status_code")))
+    found = held.select("url", F.lit(True).alias("held"), "status_code").unionByName(lacking.select("url", F.lit(False).alias("held"), F.lit(-1).alias("status_code")))
     return urls.join(found, "url").select(F.col("page_id").cast("long").alias("page_id"), "held", "status_code")
 
 
@@ -795,7 +795,7 @@ def _(spark, sf):
     return contra.impossible_order(_disputed(spark, sf), FOUNDERS).select("entity_a", "action_1", "entity_b", "action_2", "entity_c", "year_1", "year_2")
 
 
-@query("disputed_report", f"""SELECT 'url_years' AS type, severity, count(*) AS n FROM ({D_YEARS}) GROUP BY ALL UNION ALL SELECT 'several_targets', 'medium', count(*) FROM ({D_TARGETS}) UNION ALL SELECT 'several_roles', 'low', count(*) FROM ({D_ROLES})
-  UNION ALL SELECT 'impossible_order', 'high', count(*) FROM ({D_ORDER})""")
+@query("disputed_report", f"""SELECT 'url_years' AS type, severity, count(*) AS n FROM ({D_YEARS}) GROUP BY ALL UNION ALL SELECT 'several_targets', 'medium', count(*) FROM ({D_TARGETS}) HAVING count(*) > 0 UNION ALL SELECT 'several_roles', 'low', count(*) FROM ({D_ROLES}) HAVING count(*) > 0
+  UNION ALL SELECT 'impossible_order', 'high', count(*) FROM ({D_ORDER}) HAVING count(*) > 0""")
 def _(spark, sf):
     return contra.severities(contra.report(_disputed(spark, sf), FOUNDERS))
