@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.arrow import slices_of
+from factloom.llm.arrow import freed, slices_of
 from factloom.llm.hashing import ODD, masses, mixed, powers, spans
 from factloom.llm.suffix_array import repeated_windows
 from factloom.session import dropped, shuffle_partitions, written
@@ -39,12 +39,16 @@ from factloom.session import dropped, shuffle_partitions, written
 LENGTH, GRAM = 100, 48
 #: log2 of the bits of each of the two bitmaps (16 MB each).
 BITS = 27
-#: Contents of one representative that one task sorts at most.
+#: Contents of one representative that one task sorts at most, if they have no more than CHUNK bytes.
 HOT = 4096
 #: log2 of the bits of the bitmap of representatives with more.
 HOT_BITS = 20
-#: Bytes of text whose suffixes are sorted at once, and that are hashed at once.
-CHUNK, READ = 1 << 20, 1 << 19
+#: Bytes of text whose suffixes are sorted at once, that are hashed at once, and (with stretches kept of them) that a task deals out at once.
+CHUNK, READ, PART = 1 << 20, 1 << 19, 1 << 25
+#: Bytes of text whose stretches one bucket holds on average: what bounds a bucket's task, whatever the corpus.
+BUCKET = 1 << 24
+#: Windows of a stretch; a longer one, of periodic text, counts as several stretches.
+WINDOWS = 1 << 16
 _SECOND = mixed(np.arange(301, 557, dtype=np.uint64) * ODD)
 
 
@@ -86,6 +90,12 @@ class Stretches:
         begin[1:] &= change | ~valid[:-1]
         end[:-1] &= change | ~valid[1:]
         first, last = np.flatnonzero(begin), np.flatnonzero(end)
+        pieces = (last - first) // WINDOWS + 1
+        long = np.repeat(pieces > 1, pieces)
+        if long.any():
+            row = np.repeat(np.arange(len(first)), pieces)
+            starts = first[row] + (np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]) * WINDOWS
+            first, last = starts, np.minimum(starts + WINDOWS - 1, last[row])
         self.key, self.place = least[first], first
         self.content = spans(mass, first, last + length)
         self.doc = np.searchsorted(edges, first, side="right") - 1
@@ -98,21 +108,32 @@ class Stretches:
         n_near = np.maximum(high - low, 0)
         near = np.repeat(low, n_near) + np.arange(n_near.sum()) - np.repeat(np.cumsum(n_near) - n_near, n_near)
         own = self.key[near] == np.repeat(grams[chosen], n_near)
-        self.inner = np.bincount(near[own], minlength=len(first)) > 1
+        self.inner = (np.bincount(near[own], minlength=len(first)) > 1) | long
 
 
 def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of about READ characters of text; the text is column 1."""
+def _parts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """Places, texts and where these begin, about READ bytes at once; a long text comes in pieces that share no window."""
     for b in slices_of(batches, 256):
-        size = np.array([len(t or "") for t in b.column(1).to_pylist()])
-        part = np.cumsum(size) // READ
-        for k in np.unique(part):
-            rows = np.flatnonzero(part == k)
-            yield b.slice(int(rows[0]), len(rows))
+        held: list[tuple] = []
+        size = 0
+        for place, text in zip(b.column(0).to_pylist(), _texts(b.column(1)), strict=True):
+            for at in range(0, max(1, len(text) - length + 1), READ):
+                held.append((place, text[at : at + READ + length - 1], at))
+                size += len(held[-1][1])
+                if size >= READ:
+                    yield _part(held)
+                    held, size = [], 0
+        if held:
+            yield _part(held)
+
+
+def _part(rows: list[tuple]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    place, texts, at = zip(*rows, strict=True)
+    return np.array(place, np.int64), list(texts), np.array(at, np.int64)
 
 
 def ordered(docs: DataFrame) -> DataFrame:
@@ -170,22 +191,33 @@ def _kinds(key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first[keep], again[keep], key, content
 
 
-def _bitmaps(slim: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _buckets(slim: DataFrame) -> int:
+    """As many buckets as the size of the texts asks for."""
+    size = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(shuffle_partitions(slim.sparkSession), -(-size // BUCKET))
+
+
+def _bitmaps(slim: DataFrame, length: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Step 1: the marked representatives, and among them those with several contents.
 
-    Each task reduces its texts' stretches to at most two contents of a representative
-    before they are dealt out, so a very frequent one costs each task two entries.
+    Each task reduces the stretches of PART bytes of its texts to at most two contents of a
+    representative before they are dealt out, so a very frequent one costs two entries a part.
     """
-    buckets = shuffle_partitions(slim.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, contents = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for b in _sliced(batches):
-            s = Stretches(_texts(b.column(1)), length)
+        keys, contents, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+        for _, texts, _ in _parts(batches, length):
+            s = Stretches(texts, length)
             # a stretch that may repeat within counts as two contents
             keys += [s.key, s.key[s.inner]]
             contents += [s.content, ~s.content[s.inner]]
-        key, content = np.concatenate(keys), np.concatenate(contents)
+            size += len(s.data)
+            if size >= PART:
+                yield from counted(np.concatenate(keys), np.concatenate(contents))
+                keys, contents, size = keys[:1], contents[:1], 0
+        yield from counted(np.concatenate(keys), np.concatenate(contents))
+
+    def counted(key: np.ndarray, content: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(key):
             first, again, key, content = _kinds(key, content)
             # an entry that occurred again goes out twice
@@ -205,6 +237,7 @@ def _bitmaps(slim: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
         np.bitwise_or.at(marked, word[several | again], bit[several | again])
         np.bitwise_or.at(mixed_up, word[several], bit[several])
         used = np.flatnonzero(marked)
+        freed()
         return pa.table({"word": pa.array(used), "any": pa.array(marked[used].view(np.int64)), "several": pa.array(mixed_up[used].view(np.int64))})
 
     found = written(slim.mapInArrow(count, "bucket int, keys binary, contents binary").groupBy("bucket").applyInArrow(mark, "word long, any long, several long"), "marks")
@@ -217,9 +250,9 @@ def _bitmaps(slim: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hot_bitmap(contents: DataFrame) -> np.ndarray:
-    """Marks the representatives with more than HOT contents; what shares a mark with one is resolved the same way."""
+    """Marks the representatives with more than HOT contents or CHUNK bytes of them; what shares a mark with one is resolved the same way."""
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - HOT_BITS}) & 63 as int))")
-    many = contents.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    many = contents.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("bytes")).alias("size")).where((F.col("n") > HOT) | (F.col("size") > CHUNK))
     words = many.groupBy(F.shiftrightunsigned("key", 64 - HOT_BITS + 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()  # at most 2**(HOT_BITS - 6) rows
     made = np.zeros(1 << (HOT_BITS - 6), np.int64)
     for r in words:
@@ -318,21 +351,30 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
     """Written tables of place, start, end: byte ranges (they may overlap) that earlier text repeats; placed has place (unique, in order) and text."""
     spark = placed.sparkSession
     slim = placed.select("place", "text")
-    maps = spark.sparkContext.broadcast(_bitmaps(slim, length))
-    buckets = shuffle_partitions(spark)
+    buckets = _buckets(slim)
+    maps = spark.sparkContext.broadcast(_bitmaps(slim, length, buckets))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked, several = maps.value
         columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool)]
         held: list[bytes | None] = []
-        for b in _sliced(batches):
-            s = Stretches(_texts(b.column(1)), length)
+        size = 0
+        for places, texts, offset in _parts(batches, length):
+            s = Stretches(texts, length)
             at = np.flatnonzero(_hit(marked, s.key))
-            place = b.column(0).to_numpy(zero_copy_only=False)[s.doc[at]]
-            for column, x in zip(columns, (s.key[at], s.content[at], place, s.start[at], s.end[at], s.inner[at]), strict=True):
+            doc = s.doc[at]
+            for column, x in zip(columns, (s.key[at], s.content[at], places[doc], s.start[at] + offset[doc], s.end[at] + offset[doc], s.inner[at]), strict=True):
                 column.append(x)
             mixed_up = _hit(several, s.key[at])
-            held += [s.data[p : p + e - a].tobytes() if m else None for p, a, e, m in zip(s.place[at].tolist(), s.start[at].tolist(), s.end[at].tolist(), mixed_up.tolist(), strict=True)]
+            long = (s.end - s.start)[at]
+            held += [s.data[p : p + n].tobytes() if m else None for p, n, m in zip(s.place[at].tolist(), long.tolist(), mixed_up.tolist(), strict=True)]
+            size += len(s.data) + int(long[mixed_up].sum())
+            if size >= PART:
+                yield from kept_of(columns, held)
+                columns, held, size = [c[:1] for c in columns], [], 0
+        yield from kept_of(columns, held)
+
+    def kept_of(columns: list[list[np.ndarray]], held: list[bytes | None]) -> Iterator[pa.RecordBatch]:
         key, content, place, start, end, inner = (np.concatenate(c) for c in columns)
         first, later = _firsts(key, content, place, start)
         yield from _ranges_out(place[later], start[later], end[later])
@@ -353,6 +395,7 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
         start, size = (_unpacked(rows, c, np.uint32).astype(np.int64) for c in ("starts", "sizes"))
         end = start + size
         _, again = _firsts(key, content, place, start)
+        freed()
         return pa.Table.from_batches([_batch(_joined_ranges(place[again], start[again], end[again]))])
 
     packed = kept.where("bucket IS NOT NULL").select("bucket", "keys", "contents", "places", "starts", "sizes")
@@ -393,8 +436,16 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
     by_key = part_of(False).repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
     found = [whole, written(by_key.mapInArrow(sort, ranges), "suffixes")]
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices of at most 512 contents and about READ bytes."""
         for b in slices_of(batches, 512):
+            part = np.cumsum([len(x) for x in b.column(2).to_pylist()]) // READ
+            for k in np.unique(part):
+                rows = np.flatnonzero(part == k)
+                yield b.slice(int(rows[0]), len(rows))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sized(batches):
             texts = b.column(2).to_pylist()
             data = np.frombuffer(b"".join(texts), np.uint8)
             sizes = np.array([len(t) for t in texts])
@@ -410,10 +461,11 @@ def repeats(placed: DataFrame, length: int = LENGTH) -> list[DataFrame]:
         dropped(kept)
         return found
     exploded = written(part_of(True).select("place", "start", "bytes").mapInArrow(windows, "a long, b long, place long, start long"), "windows")
-    earliest = exploded.groupBy("a", "b").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # written, so that the join reads two exchanges and Spark can split a frequent window's rows
+    earliest = written(exploded.groupBy("a", "b").agg(F.min(F.struct("place", "start")).alias("first"), F.count("*").alias("n")).where("n > 1"), "earliest")
     by_window = exploded.join(earliest, ["a", "b"]).where((F.col("place") != F.col("first.place")) | (F.col("start") != F.col("first.start"))).select("place", "start", (F.col("start") + length).alias("end"))
     found.append(written(by_window, "hot"))
-    dropped(kept, exploded)
+    dropped(kept, exploded, earliest)
     return found
 
 

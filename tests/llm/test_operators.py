@@ -74,6 +74,16 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch):
         assert [found[i] for i in range(len(texts))] == covered(texts)
 
 
+def test_suffix_dedup_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 1 << 14)  # buckets by the size of the texts
+    line = "".join(chr(rng.randrange(97, 123)) for _ in range(600_000))
+    texts = ["é" * 300 + line, "cd" * 150_000, line[100_000:101_000] + "cd" * 90 + line[523_900:524_500], line[:90]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert suffix_dedup._buckets(table) > 50
+    found = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.deduplicate(table).collect()}
+    assert [found[i] for i in range(len(texts))] == covered(texts)
+
+
 def test_suffix_dedup_of_odd_rows(docs):
     assert suffix_dedup.deduplicate(docs).count() == len(TEXTS) + 2
     assert suffix_dedup.cleaned(docs.drop("place")).where("text IS NULL").count() == 2

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from factloom.llm import decontaminate, fingerprints, hashing, html_extract, lm_score, packing, suffix_dedup
@@ -137,6 +138,27 @@ def test_equal_windows_share_a_representative():
     assert all(len(k) == 1 for k in windows.values())
 
 
+def test_long_stretches_are_cut():
+    text = b"ab" * 200_000
+    s = suffix_dedup.Stretches([text])
+    assert (s.end - s.start).max() <= suffix_dedup.WINDOWS + 99 and s.inner.all()
+    assert sorted(np.concatenate([np.arange(a, e - 99) for a, e in zip(s.start, s.end, strict=True)]).tolist()) == list(range(len(text) - 99))
+
+
+def test_suffix_array_of_wide_symbols():
+    for top in (2, 256, 1 << 40):  # the last does not fit packed triples
+        symbols = np.array([rng.randint(1, top) for _ in range(rng.randint(8, 400))])
+        assert suffix_array(symbols).tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:].tolist())
+
+
+def test_a_task_holds_bounded_text():
+    batch = pa.record_batch({"place": pa.array([5, 6, 7]), "text": pa.array(["x" * 3_000_000, None, "y" * 99])})
+    parts = list(suffix_dedup._parts(iter([batch]), 100))
+    assert max(sum(map(len, texts)) for _, texts, _ in parts) < 2 * suffix_dedup.READ
+    assert sum(max(0, len(x) - 99) for _, texts, _ in parts for x in texts) == 3_000_000 - 99
+    assert {p for places, _, _ in parts for p in places.tolist()} == {5, 6, 7}
+
+
 def test_words_and_shingles():
     assert [len(x) for x in hashing.shingles(["", "a", "A b", "a b c d e f", "a b c d e a b c d e"])] == [0, 1, 1, 2, 5]
     assert (hashing.shingles(["x Y"])[0] == hashing.shingles(["X  y"])[0]).all()
