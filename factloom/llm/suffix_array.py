@@ -8,15 +8,29 @@ orders are merged.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 
+def _packed(columns: tuple[np.ndarray, ...]) -> np.ndarray | None:
+    """The rows as single numbers in the same order; None if they do not fit 63 bits."""
+    tops = [int(c.max(initial=0)) + 1 for c in columns]
+    if math.prod(tops) >= 1 << 63:
+        return None
+    key = columns[0]
+    for c, top in zip(columns[1:], tops[1:], strict=True):
+        key = key * top + c
+    return key
+
+
 def _named(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows' order, and each row's name: equal for equal rows, rising with the order, from 1."""
-    order = np.lexsort(columns[::-1])
+    key = _packed(columns)
+    order = np.lexsort(columns[::-1]) if key is None else np.argsort(key)
     new = np.ones(len(order), bool)
     if len(order):
-        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in (columns if key is None else (key,))], axis=0)
     names = np.empty(len(order), np.int64)
     names[order] = np.cumsum(new)
     return order, names
@@ -38,12 +52,14 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     rank[ranked] = np.arange(1, len(ranked) + 1)
     ranked = ranked[ranked < n]
     rest = np.arange(0, n, 3)
-    rest = rest[np.lexsort((rank[rest + 1], t[rest]))]
-    first, second = ranked[ranked % 3 == 1], ranked[ranked % 3 == 2]
     width = n + 4
+    rest = rest[np.argsort(t[rest] * width + rank[rest + 1])]
+    first, second = ranked[ranked % 3 == 1], ranked[ranked % 3 == 2]
     place = np.arange(len(rest)) + np.searchsorted(t[first] * width + rank[first + 1], t[rest] * width + rank[rest + 1])
     both = np.concatenate([rest, second])
-    _, pair = _named(t[both], t[both + 1])
+    pair = _packed((t[both], t[both + 1]))
+    if pair is None or (int(pair.max(initial=0)) + 1) * width >= 1 << 63:
+        _, pair = _named(t[both], t[both + 1])
     place += np.searchsorted(pair[len(rest) :] * width + rank[second + 2], pair[: len(rest)] * width + rank[rest + 2])
     out = np.empty(n, np.int64)
     taken = np.zeros(n, bool)
