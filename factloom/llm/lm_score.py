@@ -10,8 +10,10 @@ absolute discounting and back-off.  Windows are two blocks long and overlap by o
 every token is scored once, with one to two blocks of context, and whole batches of
 windows are one masked attention.
 
-Attention weights are trained in numpy on a bounded sample of documents.  The base's word
-counts and the prior's counts cover all training documents: what a slice of texts holds is
+Attention weights are trained in numpy on all training documents: every task learns from its
+own, a bounded part at a time, and the tasks' weights are averaged, each token's by how often
+a task saw it.  The base's word counts and the prior's counts cover all training documents
+too: what a slice of texts holds is
 dealt to buckets by hash, as packed arrays, and every bucket counts over all slices and
 gives each slice its own counts back.  Only sums by subword, of fixed size, are broadcast.
 """
@@ -34,14 +36,14 @@ from factloom.llm.tokens import encoder
 from factloom.llm.toxicity import held_out
 from factloom.session import dropped, shuffle_partitions, written
 
-#: Documents that the attention weights are trained on; counts take all.
-MAX_TRAIN = 6_000
 VOCABULARY, END = 50_257, 50_256
 BLOCK, DIM, DISCOUNT = 16, 16, 0.75
 #: Characters of text whose counts one bucket holds on average: what bounds a counting task, whatever the corpus.
 BUCKET = 1 << 25
-#: Documents whose words are packed together.
-SLICE = 1024
+#: Documents, and about how many characters of them, whose words are packed together, or that attention learns from at once.
+SLICE, CHARACTERS = 1024, 1 << 22
+#: Blocks of one step of learning.
+BATCH = 1024
 #: The end of a text as a word of the base.
 END_WORD = mixed(np.array([END], np.uint64))[0]
 
@@ -363,44 +365,113 @@ def fit(texts: list[str], epochs: int = 2) -> Model:
     return Model(attention(texts, epochs), Prior(_slices(texts)))
 
 
-def attention(texts: list[str], epochs: int = 2, blocks: int = 24_000, batch: int = 512, seed: int = 3) -> Attention:
-    """Attention learns on every fourth text (512 and 24,000 blocks at most), with a prior from the others."""
-    prior, model, rng = Prior(_slices([t for i, t in enumerate(texts) if i % 4])), Attention.new(), np.random.default_rng(seed)
-    parts = [_blocks(*stream(s, prior)) for s in _slices(texts[: 4 * 512 : 4])]
-    token, before, filled, starts, _, guesses = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else _blocks(*stream(sliced([]), prior))
-    p = model.parts()
-    m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
-    chosen = rng.permutation(np.arange(1, len(token)))[:blocks]
-    t = 0
-    for _ in range(epochs):
-        for i in range(0, len(chosen), batch):
-            at = chosen[i : i + batch]
-            b, x = (np.concatenate([a[at - 1], a[at]], axis=1) for a in (before, token))
-            guess = guesses[at]
-            chance, z, rest, total, same, q, k = _attend(model, b, x, ~starts[at], guess)
-            weight = filled[at] / (np.maximum(chance, 1e-30) * total) / len(at)
-            dz = z * (same - chance[:, :, None]) * weight[:, :, None]
-            g = [np.zeros_like(a) for a in p]
-            np.add.at(g[0], b[:, BLOCK:], dz @ k)
-            np.add.at(g[1], b, dz.transpose(0, 2, 1) @ q)
-            g[2] += np.bincount(_DISTANCE.ravel(), dz.sum(axis=0).ravel(), 2 * BLOCK)
-            np.add.at(g[3], b[:, BLOCK:], rest * (guess - chance) * weight)
-            t += 1
-            for y, gy, my, vy in zip(p, g, m, v, strict=True):
-                my += 0.1 * (gy - my)
-                vy += 0.01 * (gy * gy - vy)
-                y += (0.03 * (my / (1 - 0.9**t)) / (np.sqrt(vy / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+def attention(texts: list[str], epochs: int = 2) -> Attention:
+    """Attention that learned from all of these texts in one process."""
+    learner = Learner()
+    for i in range(0, len(texts), SLICE):
+        learner.learn(texts[i : i + SLICE], epochs)
+    return learner.model
+
+
+class Learner:
+    """Attention as it learns: Adam on the rows of the tokens that a batch holds."""
+
+    def __init__(self, seed: int = 5):
+        self.model, self.rng, self.steps = Attention.new(seed), np.random.default_rng(3), 0
+        self.moments = [(np.zeros_like(x), np.zeros_like(x)) for x in self.model.parts()]
+        #: How often each token was seen; at the end the blocks.
+        self.seen = np.zeros(VOCABULARY + 1, np.int64)
+
+    def learn(self, texts: list[str], epochs: int = 1) -> None:
+        """Learn from every text; each half of them has its prior from the other half."""
+        halves = [sliced(texts[::2]), sliced(texts[1::2])]
+        for own, other in (halves, halves[::-1]):
+            if len(own.edges) > 1:
+                token, before, filled, starts, _, guesses = _blocks(*stream(own, Prior(iter([other]))))
+                self.seen[:-1] += np.bincount(before[filled], minlength=VOCABULARY)
+                self.seen[-1] += len(token)
+                for _ in range(epochs):
+                    for at in np.array_split(self.rng.permutation(len(token)), -(-len(token) // BATCH)):
+                        ahead = np.maximum(at - 1, 0)  # a text's first block has none before it
+                        b, x = (np.concatenate([a[ahead], a[at]], axis=1) for a in (before, token))
+                        self._step(b, x, ~starts[at], filled[at], guesses[at])
+
+    def _step(self, b: np.ndarray, x: np.ndarray, valid: np.ndarray, filled: np.ndarray, guess: np.ndarray) -> None:
+        chance, z, rest, total, same, q, k = _attend(self.model, b, x, valid, guess)
+        weight = filled / (np.maximum(chance, 1e-30) * total) / len(b)
+        dz = z * (same - chance[:, :, None]) * weight[:, :, None]
+        asks = b[:, BLOCK:].ravel()
+        self.steps += 1
+        rows, g = _row_sums(asks, np.concatenate([(dz @ k).reshape(-1, DIM), (rest * (guess - chance) * weight).reshape(-1, 1)], axis=1))
+        self._move(0, rows, g[:, :DIM])
+        self._move(3, rows, g[:, DIM])
+        self._move(1, *_row_sums(b.ravel(), (dz.transpose(0, 2, 1) @ q).reshape(-1, DIM)))
+        self._move(2, slice(None), np.bincount(_DISTANCE.ravel(), dz.sum(axis=0).ravel(), 2 * BLOCK))
+
+    def _move(self, part: int, rows: np.ndarray | slice, g: np.ndarray) -> None:
+        y, (m, v) = self.model.parts()[part], self.moments[part]
+        m[rows] += 0.1 * (g - m[rows])
+        v[rows] += 0.01 * (g * g - v[rows])
+        y[rows] += (0.03 * (m[rows] / (1 - 0.9**self.steps)) / (np.sqrt(v[rows] / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
+
+    def learned(self) -> pa.RecordBatch:
+        """By token: how often it was seen, and so many times what its sink, query and key learned; distances as token -1."""
+        new, old = self.model.parts(), Attention.new().parts()
+        sink, query, key = (new[i] - old[i] for i in (3, 0, 1))
+        rows = np.flatnonzero(self.seen[:-1])
+        n = self.seen[rows].astype(np.float64)
+        distance = (new[2] - old[2]) * float(self.seen[-1])
+        of = lambda a, last: pa.array(np.append(a, last), pa.float64())
+        columns = [pa.array(np.append(rows, -1), pa.int32()), of(n, self.seen[-1]), of(sink[rows] * n, 0)]
+        columns += [of(query[rows, i] * n, distance[i]) for i in range(DIM)] + [of(key[rows, i] * n, distance[BLOCK + i]) for i in range(DIM)]
+        return pa.RecordBatch.from_arrays(columns, names=_LEARNED)
+
+
+_LEARNED = ["token", "n", "sink", *(f"q{i}" for i in range(DIM)), *(f"k{i}" for i in range(DIM))]
+
+
+def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sums of their values."""
+    order = np.argsort(rows)
+    rows = rows[order]
+    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    return rows[first], np.add.reduceat(values[order], first, axis=0)
+
+
+def _bounded(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most SLICE documents and about CHARACTERS of text."""
+    for b in slices_of(batches, SLICE):
+        part = np.cumsum([len(x or "") for x in b.column(text).to_pylist()]) // CHARACTERS
+        for k in np.unique(part):
+            rows = np.flatnonzero(part == k)
+            yield b.slice(int(rows[0]), len(rows))
+
+
+def trained(docs: DataFrame) -> Attention:
+    """Attention weights from all documents that are not held out; every task starts from the same weights."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = Learner()
+        for b in _bounded(batches, 0):
+            learner.learn([x or "" for x in b.column(0).to_pylist()])
+        if learner.steps:
+            yield learner.learned()
+
+    known = docs.where(~held_out(F.col("doc_id"), 5, 1)).select("text")
+    parts = known.mapInArrow(learn, "token int, " + ", ".join(f"{c} double" for c in _LEARNED[1:]))
+    rows = parts.groupBy("token").agg(*(F.sum(c).alias(c) for c in _LEARNED[1:])).toArrow()  # at most a row a subword
+    token, n, sink, *rest = (rows.column(c).to_numpy() for c in _LEARNED)
+    model = Attention.new()
+    if len(token):
+        query, key = (np.stack(x, axis=1) / n[:, None] for x in (rest[:DIM], rest[DIM:]))
+        of, distances = token >= 0, np.flatnonzero(token < 0)[0]
+        model.query[token[of]] += query[of].astype(np.float32)
+        model.key[token[of]] += key[of].astype(np.float32)
+        model.sink[token[of]] += (sink / n)[of].astype(np.float32)
+        model.distance[:] += np.append(query[distances], key[distances]).astype(np.float32)
     return model
 
 
-def trained(docs: DataFrame, max_train: int = MAX_TRAIN) -> Attention:
-    """Attention weights from at most max_train documents, the first in the order of a hash of their ids, none of them held out."""
-    known = docs.where("doc_id IS NOT NULL").where(~held_out(F.col("doc_id"), 5, 1))
-    chosen = known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(max_train).select("doc_id").distinct()
-    rows = known.join(F.broadcast(chosen), "doc_id").select("doc_id", "text").collect()  # at most max_train documents
-    return attention([r["text"] or "" for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))])
-
-
 def _packed(s: Slice, train: np.ndarray, buckets: int) -> Iterator[tuple]:
     """By bucket: names, pairs of each, the pairs' texts and counts (at most 255; more take several pairs), which texts train."""
     n = len(train)
@@ -589,7 +660,7 @@ def scores(docs: DataFrame, attention: Attention | None = None) -> DataFrame:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        for b in slices_of(batches, SLICE):
+        for b in _bounded(batches, 1):
             s = sliced([t or "" for t in b.column(1).to_pylist()])
             out = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
             rows = [(number, kind, bucket, *r, *[None] * len(_TEXTS)) for kind, bucket, *r in _asked(s, ~out, buckets)]

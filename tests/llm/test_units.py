@@ -180,6 +180,14 @@ def test_model_probabilities_sum_to_one():
     assert model.score(lm_score.sliced(["the cat"]))[0] > model.score(lm_score.sliced(["the zqx"]))[0]
 
 
+def test_attention_learns_from_every_text():
+    words = ["red", "green", "blue", "white", "black", "brown", "gold", "silver"]
+    model = lm_score.attention([f"the {w} cat and the {w} dog" for w in words], epochs=1)
+    ids = [np.frombuffer(encoder()(" " + w), "<u4")[0] for w in words]
+    start = lm_score.Attention.new()
+    assert (model.sink[ids] != start.sink[ids]).all() and (model.key[ids] != start.key[ids]).any(axis=1).all()
+
+
 def test_crc_of_pieces_is_of_little_endian_ids():
     ids = encoder()("hello world") + b"\0\0\0\0"
     assert zlib.crc32(ids) == zlib.crc32(np.frombuffer(ids, "<u4").tobytes())
@@ -197,6 +205,21 @@ def test_lm_counts_cover_every_training_document(spark, monkeypatch):
     assert np.allclose([found[i] for i in range(60)], expected, rtol=1e-4, atol=1e-4)
 
 
+def test_tasks_learn_from_all_training_documents(spark):
+    import zlib
+
+    words = ["red", "green", "blue", "white", "black", "brown", "gold", "silver", "grey", "pink", "orange", "yellow"]
+    table = spark.createDataFrame([(i, f"the {w} cat and the {w} dog", "en") for i, w in enumerate(words)], "doc_id long, text string, lang string")
+    ids = np.array([np.frombuffer(encoder()(" " + w), "<u4")[0] for w in words])
+    out = np.array([zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(words))])
+    assert out.any()
+    one = lm_score.trained(table.coalesce(1))
+    assert ((one.sink[ids] != 4) == ~out).all()
+    assert np.allclose(one.key, lm_score.attention([f"the {w} cat and the {w} dog" for w, o in zip(words, out, strict=True) if not o], epochs=1).key, atol=1e-5)
+    assert ((lm_score.trained(table.repartition(3, "doc_id")).sink[ids] != 4) == ~out).all()
+    assert (lm_score.trained(table.limit(0)).sink == 4).all()
+
+
 def test_articles_win_over_names_of_classes():
     for page in (
         "<article class='post comments-open'>kept</article>",
