@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.arrow import slices_of
+from factloom.llm.arrow import freed, slices_of
 from factloom.llm.hashing import ODD, SPACE, masses, mixed, powers, spans
 from factloom.llm.tokens import encoder
 from factloom.llm.toxicity import held_out
@@ -574,6 +574,7 @@ def _within(rows: pa.Table, buckets: int) -> pa.Table:
     for b in np.flatnonzero(np.diff(cuts)):
         mine = order[cuts[b] : cuts[b + 1]]
         out.append((None, LAST, int(b), _steps(pair[mine]), _zip(n[mine].astype("<u4")), None, None, None))
+    freed()
     return _table(out, _PACKED)
 
 
@@ -594,6 +595,7 @@ def _pairs(rows: pa.Table) -> pa.Table:
     one, two = at[: len(pair)], at[len(pair) :]
     sums = zip(token.tolist(), *(np.bincount(x, w, len(token)).astype(np.int64).tolist() for x, w in ((one, total), (one, None), (two, total))), strict=True)
     out += [(None, kind, bucket, *[None] * 5, *x) for x in sums]
+    freed()
     return _table(out, [*_PACKED, *_SUMS])
 
 
@@ -628,6 +630,7 @@ def _count(rows: pa.Table) -> pa.Table:
         out.append((slice_, which.astype("<u2").tobytes(), np.bincount(place, x * log[mine], len(which)).tobytes(), np.bincount(place, x * known[mine], len(which)).astype(np.int64).tobytes(), None, None))
     out.append((None, None, None, None, int(count.sum()), int(known.sum())))
     cols = list(zip(*out, strict=True))
+    freed()
     return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["slice", "texts", "logs", "known", "n", "v"])
 
 
@@ -639,6 +642,8 @@ def _texts(rows: pa.Table, attention: Attention, last: Sums, heads: Sums, single
     score = Model(attention, Counted(last, heads, singles, got, buckets)).score(_unpacked(whole)[0])
     texts, logs, known = (np.concatenate([np.frombuffer(x, t) for x in base.column(c).to_pylist()]) for c, t in (("a", "<u2"), ("b", np.float64), ("c", np.int64)))
     n = len(score)
+    del got, whole
+    freed()
     return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()] * n, pa.int64()), "text": pa.array(np.arange(n, dtype=np.int32)), "logs": pa.array(np.bincount(texts, logs, n)), "n_known": pa.array(np.bincount(texts, known, n).astype(np.int64)), "score": pa.array(score)})
 
 
