@@ -19,6 +19,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """np.argsort(x, kind="stable") of whole numbers from 0, by sorting single numbers that carry their places in their low bits."""
+    n, x = len(x), x.astype(np.uint64)
+    bits = np.uint64(n.bit_length())
+    low, places = (np.uint64(1) << bits) - np.uint64(1), np.arange(n, dtype=np.uint64)
+    if not n or x.max() >> (np.uint64(64) - bits) == 0:
+        return (np.sort(x << bits | places) & low).astype(np.int64)
+    top = np.sort(x & ~low | places)
+    order = (top & low).astype(np.int64)
+    same, x_sorted = top[1:] >> bits == top[:-1] >> bits, x.take(order)
+    return np.argsort(x, kind="stable") if (x_sorted[1:] != x_sorted[:-1])[same].any() else order
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique(x, return_index=True, return_inverse=True) of whole numbers from 0."""
+    order = ordered(x)
+    x_sorted = x.take(order)
+    new = np.append(True, x_sorted[1:] != x_sorted[:-1])[: len(x)]
+    inverse = np.empty(len(x), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return x_sorted[new], order[new], inverse
+
+
 class Powers:
     """Powers of the base and of its inverse, modulo 2**64, as far as needed."""
 

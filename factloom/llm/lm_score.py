@@ -22,16 +22,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.llm.arrow import freed, slices_of
-from factloom.llm.hashing import ODD, SPACE, masses, mixed, powers, spans
+from factloom.llm.hashing import ODD, SPACE, distinct, masses, mixed, ordered, powers, spans
 from factloom.llm.tokens import encoder
 from factloom.llm.toxicity import held_out
 from factloom.session import dropped, shuffle_partitions, written
@@ -58,6 +58,19 @@ class Slice:
     ids: np.ndarray  # subword ids of the distinct words, one after another
     cuts: np.ndarray  # where each distinct word's begin
 
+    @cached_property
+    def transitions(self) -> tuple[np.ndarray, ...]:
+        return _transitions(self)
+
+    @cached_property
+    def inside(self) -> tuple[np.ndarray, ...]:
+        return _inside(self)
+
+    @cached_property
+    def heads(self) -> tuple[np.ndarray, ...]:
+        """Distinct pairs of neighbouring words' first subwords; one place of each; each place's pair."""
+        return distinct(_heads(self))
+
 
 _STARTS_WORD: list[np.ndarray] = []
 
@@ -89,7 +102,7 @@ def sliced(texts: list[str]) -> Slice:
     end[0] = False
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
     edges = np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))
-    names, first, word = np.unique(spans(masses(data), starts, ends), return_index=True, return_inverse=True)
+    names, first, word = distinct(spans(masses(data), starts, ends))
     a, b = starts[first].tolist(), ends[first].tolist()
     text = b"".join([b" " + raw[i:j] for i, j in zip(a, b, strict=True)]).decode("utf-8", "replace")
     ids = np.frombuffer(encoder()(text), "<u4").astype(np.int32)
@@ -100,7 +113,7 @@ def sliced(texts: list[str]) -> Slice:
     return Slice(names, word, edges, ids, np.append(cuts, len(ids)))
 
 
-def stream(s: Slice, prior: Prior) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def stream(s: Slice, prior: Prior | Counted | Halves) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Subword ids of all texts, an end after each; each one's prior probability; where each text's begin."""
     inner, last = prior.words(s)
     sizes = np.diff(s.cuts)[s.word]
@@ -111,10 +124,12 @@ def stream(s: Slice, prior: Prior) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(words_in)), words_in)
     source = np.arange(total[-1]) - np.repeat(total[:-1] - s.cuts[s.word], sizes)
     at = np.arange(total[-1]) + np.repeat(text, sizes)
-    ids[at], chance[at] = s.ids[source], inner[source]
+    ids[at], chance[at] = s.ids.take(source), inner.take(source)
     # what follows a word: the next word's first subword, or the text's end
-    first = np.sort(np.concatenate([total[:-1] + text, begin[1:] - 1]))
-    opens = np.isin(first, begin[:-1], assume_unique=True)
+    marks, opening = np.zeros(begin[-1], bool), np.zeros(begin[-1], bool)
+    marks[total[:-1] + text] = marks[begin[1:] - 1] = opening[begin[:-1]] = True
+    first = np.flatnonzero(marks)
+    opens = opening[first]
     context, ended = np.full(len(first), END, np.int32), np.ones(len(first), np.float32)
     follows = np.flatnonzero(~opens)
     context[follows] = ids[first[follows - 1]]
@@ -164,11 +179,18 @@ def _transitions(s: Slice) -> tuple[np.ndarray, ...]:
 
 def _inside(s: Slice) -> tuple[np.ndarray, ...]:
     """Distinct (word so far, next) pairs: names, the words so far, last subword and next as one number; each transition's pair and word."""
-    sofar, last, following, word = _transitions(s)
-    key, at, which = np.unique(mixed(sofar * ODD + following.astype(np.uint64)), return_index=True, return_inverse=True)
+    sofar, last, following, word = s.transitions
+    key, at, which = distinct(mixed(sofar * ODD + following.astype(np.uint64)))
     return key, sofar[at], (last * _WIDTH + following)[at], which, word
 
 
+def _by_word(s: Slice, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the transitions' probabilities, those of the distinct words' subwords (1 for the first) and ends."""
+    inner = np.concatenate([np.ones(1, np.float32), p[:-1]])
+    inner[s.cuts[:-1]] = 1
+    return inner, p[s.cuts[1:] - 1]
+
+
 def _heads(s: Slice) -> np.ndarray:
     """Of every word and text's end, the first subword of the word before and its own, as one number."""
     heads = np.insert(s.ids[s.cuts[:-1]][s.word].astype(np.int64), s.edges[1:], END)
@@ -184,6 +206,13 @@ def _singles(inner: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (inner / inner.sum()).astype(np.float32), (head / head.sum()).astype(np.float32)
 
 
+def _backed(n: np.ndarray, of: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs that occur n times, each behind the context `of`: shares, and weights of what they back off to."""
+    seen, kinds = np.bincount(of, n, contexts), np.bincount(of, n > 0, contexts)
+    share = np.maximum(n - DISCOUNT, 0) / np.maximum(seen, 1)[of]
+    return share, np.where(seen > 0, DISCOUNT * kinds / np.maximum(seen, 1), 1)[of]
+
+
 class Prior:
     """Subword probabilities from words alone, of slices in memory; a subword pair inside words counts once for each word so far."""
 
@@ -191,7 +220,7 @@ class Prior:
         sofar, pair_in_word, pair_last, first, times_in, times_first = [], [], [], [], [], []
         for s in slices:
             times = np.bincount(s.word, minlength=len(s.names))
-            key, a, pair, which, word = _inside(s)
+            key, a, pair, which, word = s.inside
             sofar.append(a)
             pair_in_word.append(key)
             pair_last.append(pair)
@@ -212,13 +241,10 @@ class Prior:
         """Of the distinct words: each subword's probability given the word so far (1 for the first); each word's end's."""
         if not len(s.ids):
             return np.ones(0, np.float32), np.ones(0, np.float32)
-        sofar, last, following, _ = _transitions(s)
+        sofar, last, following, _ = s.transitions
         p = self.last(last, last * _WIDTH + following, self.inner_single[following])
         p = self.inside(sofar, mixed(sofar * ODD + following.astype(np.uint64)), p)
-        ends = s.cuts[1:] - 1
-        inner = np.concatenate([np.ones(1, np.float32), p[:-1]])
-        inner[s.cuts[:-1]] = 1
-        return inner, p[ends]
+        return _by_word(s, p)
 
     def first(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         context, token = context.astype(np.int64), token.astype(np.int64)
@@ -232,6 +258,13 @@ class Sums:
     seen: np.ndarray
     kinds: np.ndarray
     second: np.ndarray
+    n: np.ndarray | None = None  # of each pair, where they are at hand
+
+    @staticmethod
+    def of(pair: np.ndarray, n: np.ndarray) -> Sums:
+        """Of distinct pairs that occur n times."""
+        one, two = pair // _WIDTH, pair % _WIDTH
+        return Sums(np.bincount(one, n, _WIDTH), np.bincount(one, n > 0, _WIDTH), np.bincount(two, n, _WIDTH), n)
 
     def share(self, pair: np.ndarray, n: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """Bigrams' probability of pairs that occur n times."""
@@ -260,19 +293,54 @@ class Counted:
     def words(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         if not len(s.ids):
             return np.ones(0, np.float32), np.ones(0, np.float32)
-        _, sofar, pair, which, _ = _inside(s)
-        lasts, at = np.unique(pair, return_inverse=True)
+        _, sofar, pair, which, _ = s.inside
+        lasts, _, at = distinct(pair)
         lower = self.last.share(lasts, self._values(LAST, lasts), self.singles[0][lasts % _WIDTH])[at]
         p = (self._values(INSIDE, sofar, "<f4", 0) + self._values(INSIDE, sofar, "<f4", 1) * lower)[which]
-        inner = np.concatenate([np.ones(1, np.float32), p[:-1]])
-        inner[s.cuts[:-1]] = 1
-        return inner, p[s.cuts[1:] - 1]
+        return _by_word(s, p)
 
     def first(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        pair, at = np.unique(context.astype(np.int64) * _WIDTH + token, return_inverse=True)
+        pair, _, at = distinct(context.astype(np.int64) * _WIDTH + token)
         return self.heads.share(pair, self._values(HEADS, pair), self.singles[1][pair % _WIDTH])[at]
 
 
+class Halves:
+    """Prior of each half (0, 1) of a slice's texts from the other half's; other texts count nowhere.  Words are numbered as in twice()."""
+
+    def __init__(self, s: Slice, half: np.ndarray):
+        self.whole, self.words_half, self.heads_half = s, np.repeat(half, np.diff(s.edges)), np.repeat(half, np.diff(s.edges) + 1)
+
+    def twice(self) -> Slice:
+        """The slice with its distinct words once for each half."""
+        s = self.whole
+        return Slice(np.tile(s.names, 2), s.word + len(s.names) * (self.words_half == 1), s.edges, np.tile(s.ids, 2), np.append(s.cuts[:-1], s.cuts + len(s.ids)))
+
+    def words(self, _: Slice) -> tuple[np.ndarray, np.ndarray]:
+        s = self.whole
+        if not len(s.ids):
+            return np.ones(0, np.float32), np.ones(0, np.float32)
+        key, sofar, pair, which, word = s.inside
+        (context, _, of), (lasts, _, at) = distinct(sofar), distinct(pair)
+        found = []
+        for other in (1, 0):
+            times = np.bincount(s.word[self.words_half == other], minlength=len(s.names))
+            n = np.bincount(which, times[word], len(key))
+            share, back = _backed(n, of, len(context))
+            last = Sums.of(lasts, np.bincount(at, n > 0, len(lasts)))
+            lower = last.share(lasts, last.n, _singles(last.second, last.second)[0][lasts % _WIDTH])
+            found.append(_by_word(s, (share + back * lower[at])[which].astype(np.float32)))
+        return np.append(found[0][0], found[1][0]), np.append(found[0][1], found[1][1])
+
+    def first(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
+        pair, _, at = self.whole.heads  # of the same words and ends in the same order
+        chance = np.ones(len(at), np.float32)
+        for own, other in ((0, 1), (1, 0)):
+            heads = Sums.of(pair, np.bincount(at[self.heads_half == other], minlength=len(pair)))
+            mine = self.heads_half == own
+            chance[mine] = heads.share(pair, heads.n, _singles(heads.second, heads.second)[1][pair % _WIDTH])[at[mine]]
+        return chance
+
+
 @dataclass
 class Attention:
     query: np.ndarray
@@ -298,18 +366,21 @@ _MASK = np.where(_BEFORE, 0, -np.inf).astype(np.float32)
 
 def _attend(model: Attention, before: np.ndarray, token: np.ndarray, valid: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, ...]:
     """before, token: windows x 2 blocks; the second block is scored.  valid: whether a window has its first block; prior: windows x block."""
-    q, k = model.query[before[:, BLOCK:]], model.key[before]
-    z = q @ k.transpose(0, 2, 1)
+    asks = before[:, BLOCK:]
+    q, k, sink = model.query.take(asks, axis=0), model.key.take(before, axis=0), model.sink.take(asks)
+    z = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
     z += model.distance[_DISTANCE] + _MASK
     z[~valid, :, :BLOCK] = -np.inf
-    sink = model.sink[before[:, BLOCK:]]
-    top = np.maximum(z.max(axis=2), sink)
-    np.exp(np.subtract(z, top[:, :, None], out=z), out=z)
-    rest = np.exp(sink - top)
-    total = z.sum(axis=2) + rest
-    same = token[:, BLOCK:, None] == token[:, None, :]
-    copied = np.einsum("wqj,wqj->wq", z, same, dtype=np.float32)
-    return (copied + rest * prior) / total, z, rest, total, same, q, k
+    if max(z.max(), sink.max()) > 40 or sink.min() < -40:  # beyond what exp() takes: as if the largest were 0
+        top = np.maximum(z.max(axis=2), sink)
+        z -= top[:, :, None]
+        sink = sink - top
+    np.exp(z, out=z)
+    rest, ones = np.exp(sink), np.ones(2 * BLOCK, np.float32)
+    total = (z.reshape(-1, 2 * BLOCK) @ ones).reshape(rest.shape) + rest
+    copied = (token[:, BLOCK:, None] == token[:, None, :]).astype(np.float32)
+    copied *= z
+    return ((copied.reshape(-1, 2 * BLOCK) @ ones).reshape(rest.shape) + rest * prior) / total, z, rest, total, copied, q, k
 
 
 def _blocks(ids: np.ndarray, chance: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -319,7 +390,7 @@ def _blocks(ids: np.ndarray, chance: np.ndarray, begin: np.ndarray) -> tuple[np.
     first = np.concatenate([[0], np.cumsum(n)])
     text = np.repeat(np.arange(len(length)), length)
     at = first[text] * BLOCK + np.arange(len(ids)) - begin[text]
-    token, before = np.full(first[-1] * BLOCK, END, np.int32), np.full(first[-1] * BLOCK, END, np.int32)
+    token, before = np.full(first[-1] * BLOCK, END, np.uint16), np.full(first[-1] * BLOCK, END, np.int32)
     filled = np.zeros(first[-1] * BLOCK, bool)
     token[at], filled[at] = ids, True
     previous = np.concatenate([[END], ids[:-1]]).astype(np.int32)
@@ -369,7 +440,8 @@ def attention(texts: list[str], epochs: int = 2) -> Attention:
     """Attention that learned from all of these texts in one process."""
     learner = Learner()
     for i in range(0, len(texts), SLICE):
-        learner.learn(texts[i : i + SLICE], epochs)
+        s = sliced(texts[i : i + SLICE])
+        learner.learn(s, np.ones(len(s.edges) - 1, bool), epochs)
     return learner.model
 
 
@@ -382,37 +454,45 @@ class Learner:
         #: How often each token was seen; at the end the blocks.
         self.seen = np.zeros(VOCABULARY + 1, np.int64)
 
-    def learn(self, texts: list[str], epochs: int = 1) -> None:
-        """Learn from every text; each half of them has its prior from the other half."""
-        halves = [sliced(texts[::2]), sliced(texts[1::2])]
-        for own, other in (halves, halves[::-1]):
-            if len(own.edges) > 1:
-                token, before, filled, starts, _, guesses = _blocks(*stream(own, Prior(iter([other]))))
+    def learn(self, s: Slice, train: np.ndarray, epochs: int = 1) -> None:
+        """Learn from every text that trains; each half of them has its prior from the other half."""
+        half = np.full(len(train), 2)
+        half[train] = np.arange(train.sum()) % 2
+        prior = Halves(s, half)
+        *blocks, of, guesses = _blocks(*stream(prior.twice(), prior))
+        for own in range(2):
+            mine = np.flatnonzero(half[of] == own)
+            if len(mine):
+                token, before, filled, starts, guess = (x.take(mine, axis=0) for x in (*blocks, guesses))
                 self.seen[:-1] += np.bincount(before[filled], minlength=VOCABULARY)
                 self.seen[-1] += len(token)
                 for _ in range(epochs):
                     for at in np.array_split(self.rng.permutation(len(token)), -(-len(token) // BATCH)):
                         ahead = np.maximum(at - 1, 0)  # a text's first block has none before it
-                        b, x = (np.concatenate([a[ahead], a[at]], axis=1) for a in (before, token))
-                        self._step(b, x, ~starts[at], filled[at], guesses[at])
+                        b, x = (np.concatenate([a.take(ahead, axis=0), a.take(at, axis=0)], axis=1) for a in (before, token))
+                        self._step(b, x, ~starts[at], filled[at], guess[at])
 
     def _step(self, b: np.ndarray, x: np.ndarray, valid: np.ndarray, filled: np.ndarray, guess: np.ndarray) -> None:
-        chance, z, rest, total, same, q, k = _attend(self.model, b, x, valid, guess)
+        chance, z, rest, total, dz, q, k = _attend(self.model, b, x, valid, guess)
         weight = filled / (np.maximum(chance, 1e-30) * total) / len(b)
-        dz = z * (same - chance[:, :, None]) * weight[:, :, None]
+        z *= chance[:, :, None]
+        dz -= z
+        dz *= weight[:, :, None]
         asks = b[:, BLOCK:].ravel()
         self.steps += 1
-        rows, g = _row_sums(asks, np.concatenate([(dz @ k).reshape(-1, DIM), (rest * (guess - chance) * weight).reshape(-1, 1)], axis=1))
-        self._move(0, rows, g[:, :DIM])
-        self._move(3, rows, g[:, DIM])
+        rows, g = _row_sums(asks, (dz @ k).reshape(-1, DIM))
+        self._move(0, rows, g)
+        self._move(3, rows, np.bincount(asks, (rest * (guess - chance) * weight).ravel())[rows])
         self._move(1, *_row_sums(b.ravel(), (dz.transpose(0, 2, 1) @ q).reshape(-1, DIM)))
         self._move(2, slice(None), np.bincount(_DISTANCE.ravel(), dz.sum(axis=0).ravel(), 2 * BLOCK))
 
     def _move(self, part: int, rows: np.ndarray | slice, g: np.ndarray) -> None:
         y, (m, v) = self.model.parts()[part], self.moments[part]
-        m[rows] += 0.1 * (g - m[rows])
-        v[rows] += 0.01 * (g * g - v[rows])
-        y[rows] += (0.03 * (m[rows] / (1 - 0.9**self.steps)) / (np.sqrt(v[rows] / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
+        a, b = (x[rows] if isinstance(rows, slice) else x.take(rows, axis=0) for x in (m, v))
+        a = (a + 0.1 * (g - a)).astype(np.float32)
+        b = (b + 0.01 * (g * g - b)).astype(np.float32)
+        m[rows], v[rows] = a, b
+        y[rows] += (0.03 * (a / (1 - 0.9**self.steps)) / (np.sqrt(b / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
 
     def learned(self) -> pa.RecordBatch:
         """By token: how often it was seen, and so many times what its sink, query and key learned; distances as token -1."""
@@ -428,14 +508,16 @@ class Learner:
 
 
 _LEARNED = ["token", "n", "sink", *(f"q{i}" for i in range(DIM)), *(f"k{i}" for i in range(DIM))]
+_LEARNED_SCHEMA = "token int, " + ", ".join(f"{c} double" for c in _LEARNED[1:])
 
 
 def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their values."""
-    order = np.argsort(rows)
-    rows = rows[order]
+    """Distinct rows (subwords) and the sums of their values."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # of 16 bits: numpy counts instead of comparing
+    rows = rows.take(order)
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    pairs = values.take(order, axis=0).view(np.complex64)  # two columns added at once
+    return rows[first], np.add.reduceat(pairs, first, axis=0).view(np.float32)
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -453,12 +535,15 @@ def trained(docs: DataFrame) -> Attention:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = Learner()
         for b in _bounded(batches, 0):
-            learner.learn([x or "" for x in b.column(0).to_pylist()])
+            learner.learn(sliced([x or "" for x in b.column(0).to_pylist()]), ~b.column(1).to_numpy(zero_copy_only=False).astype(bool))
         if learner.steps:
             yield learner.learned()
 
-    known = docs.where(~held_out(F.col("doc_id"), 5, 1)).select("text")
-    parts = known.mapInArrow(learn, "token int, " + ", ".join(f"{c} double" for c in _LEARNED[1:]))
+    return _averaged(docs.select("text", held_out(F.col("doc_id"), 5, 1).alias("held_out")).mapInArrow(learn, _LEARNED_SCHEMA))
+
+
+def _averaged(parts: DataFrame) -> Attention:
+    """The mean of what the tasks learned."""
     rows = parts.groupBy("token").agg(*(F.sum(c).alias(c) for c in _LEARNED[1:])).toArrow()  # at most a row a subword
     token, n, sink, *rest = (rows.column(c).to_numpy() for c in _LEARNED)
     model = Attention.new()
@@ -486,7 +571,7 @@ def _packed(s: Slice, train: np.ndarray, buckets: int) -> Iterator[tuple]:
         times = whole
     bucket = (mixed(names) % np.uint64(buckets)).astype(np.int64)
     of = pair // n
-    order = np.argsort(bucket[of], kind="stable")
+    order = ordered(bucket[of])
     cuts = np.searchsorted(bucket[of][order], np.arange(buckets + 1))
     flags = np.packbits(train).tobytes()
     for b in range(buckets):
@@ -498,8 +583,9 @@ def _packed(s: Slice, train: np.ndarray, buckets: int) -> Iterator[tuple]:
 
 #: Parts in which rows are dealt out one after another, so that only a part of them is in shuffle files at once.
 ROUNDS = 4
-#: What a packed row is about: words of the base; pairs inside words; first subwords of neighbouring words; last subword and next; a slice's texts.
-BASE, INSIDE, HEADS, LAST, TEXTS = range(5)
+#: What a packed row is about: words of the base; pairs inside words; first subwords of neighbouring words; last subword and next; a slice's texts;
+#: what a task's attention learned.  Pairs inside words that are yet to be counted: ASKED and the following, one for each part.
+BASE, INSIDE, HEADS, LAST, TEXTS, LEARNED, ASKED = range(7)
 
 
 def _zip(x: np.ndarray) -> bytes:
@@ -514,7 +600,7 @@ def _unzip(x: bytes, t: str | type) -> np.ndarray:
 def _dealt(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the keys by bucket, and where each bucket's begin."""
     bucket = (mixed(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = ordered(bucket)
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
@@ -522,13 +608,13 @@ def _asked(s: Slice, train: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Kind, bucket, then by kind: words so far, pairs, training counts; pairs, training counts; pairs; the slice itself."""
     words = np.diff(s.edges)
     times = np.bincount(s.word, np.repeat(train, words), len(s.names))
-    key, sofar, pair, which, word = _inside(s)
+    key, sofar, pair, which, word = s.inside
     n = np.bincount(which, times[word], len(key)).astype("<u4")
     order, cuts = _dealt(sofar, buckets)
     for b in np.flatnonzero(np.diff(cuts)):
         mine = order[cuts[b] : cuts[b + 1]]
-        yield INSIDE, int(b), _zip(sofar[mine]), _zip(pair[mine].astype("<u4")), _zip(n[mine]), None, None
-    heads, at = np.unique(_heads(s), return_inverse=True)
+        yield ASKED + int(b) % ROUNDS, int(b), _zip(sofar[mine]), _zip(pair[mine].astype("<u4")), _zip(n[mine]), None, None
+    heads, _, at = s.heads
     for kind, pairs, n in ((HEADS, heads, np.bincount(at, np.repeat(train, words + 1), len(heads)).astype("<u4")), (LAST, np.unique(pair), None)):
         order, cuts = _dealt(pairs, buckets)
         for b in np.flatnonzero(np.diff(cuts)):
@@ -544,7 +630,7 @@ def _unpacked(row: dict) -> tuple[Slice, np.ndarray]:
     low, high = _unzip(row["a"], "<u2").reshape(2, -1).astype(np.int64)
     s = Slice(np.zeros(0, np.uint64), low + (high << 16), edges, ids.astype(np.int32), cuts)
     if len(ids):
-        s.names = _transitions(s)[0][cuts[1:] - 1]  # a word is all of its subwords
+        s.names = s.transitions[0][cuts[1:] - 1]  # a word is all of its subwords
     return s, np.unpackbits(np.frombuffer(row["e"], np.uint8), count=len(edges) - 1).astype(bool)
 
 
@@ -558,12 +644,10 @@ def _within(rows: pa.Table, buckets: int) -> pa.Table:
     get = lambda c, t: [_unzip(x, t) for x in rows.column(c).to_pylist()]
     sofar, parts = np.concatenate(get("a", np.uint64)), get("b", "<u4")
     pair, n = np.concatenate(parts).astype(np.int64), np.concatenate(get("c", "<u4")).astype(np.int64)
-    _, at, which = np.unique(mixed(sofar * ODD + (pair % _WIDTH).astype(np.uint64)), return_index=True, return_inverse=True)
+    _, at, which = distinct(mixed(sofar * ODD + (pair % _WIDTH).astype(np.uint64)))
     n = np.bincount(which, n, len(at))
-    context, of = np.unique(sofar[at], return_inverse=True)
-    seen, kinds = np.bincount(of, n, len(context)), np.bincount(of, n > 0, len(context))
-    share = (np.maximum(n - DISCOUNT, 0) / np.maximum(seen, 1)[of]).astype("<f4")[which]
-    back = np.where(seen > 0, DISCOUNT * kinds / np.maximum(seen, 1), 1)[of].astype("<f4")[which]
+    context, _, of = distinct(sofar[at])
+    share, back = (x.astype("<f4")[which] for x in _backed(n, of, len(context)))
     out, i = [], 0
     bucket = rows.column("bucket")[0].as_py()
     for slice_, x in zip(rows.column("slice").to_pylist(), parts, strict=True):
@@ -582,7 +666,7 @@ def _pairs(rows: pa.Table) -> pa.Table:
     """One bucket of pairs of one kind: to each slice its pairs' counts; by subword the bucket's part of Sums."""
     parts = [np.cumsum(_unzip(x, "<u4"), dtype=np.int64) for x in rows.column("a").to_pylist()]
     n = np.concatenate([np.zeros(len(x), "<u4") if y is None else _unzip(y, "<u4") for x, y in zip(parts, rows.column("b").to_pylist(), strict=True)])
-    pair, which = np.unique(np.concatenate(parts), return_inverse=True)
+    pair, _, which = distinct(np.concatenate(parts))
     total = np.bincount(which, n, len(pair)).astype(np.int64)
     mine, i, out = total[which].astype("<u4"), 0, []
     kind, bucket = (rows.column(c)[0].as_py() for c in ("kind", "bucket"))
@@ -591,7 +675,7 @@ def _pairs(rows: pa.Table) -> pa.Table:
             out.append((slice_, kind, bucket, _zip(mine[i : i + len(x)]), *[None] * 8))
         i += len(x)
     pair, total = pair[total > 0], total[total > 0]
-    token, at = np.unique(np.concatenate([pair // _WIDTH, pair % _WIDTH]), return_inverse=True)
+    token, _, at = distinct(np.concatenate([pair // _WIDTH, pair % _WIDTH]))
     one, two = at[: len(pair)], at[len(pair) :]
     sums = zip(token.tolist(), *(np.bincount(x, w, len(token)).astype(np.int64).tolist() for x, w in ((one, total), (one, None), (two, total))), strict=True)
     out += [(None, kind, bucket, *[None] * 5, *x) for x in sums]
@@ -616,7 +700,7 @@ def _count(rows: pa.Table) -> pa.Table:
     get = lambda c, t: [np.frombuffer(x, t) for x in rows.column(c).to_pylist()]
     names, pairs, texts, times = get("names", np.uint64), get("pairs", "<u4"), get("texts", "<u2"), get("times", np.uint8)
     train = [np.unpackbits(f).astype(bool) for f in get("flags", np.uint8)]
-    _, word = np.unique(np.concatenate(names), return_inverse=True)
+    word = distinct(np.concatenate(names))[2]
     of = np.repeat(word, np.concatenate(pairs))
     times_all = np.concatenate(times).astype(np.int64)
     trains = np.concatenate([f[t] for f, t in zip(train, texts, strict=True)])
@@ -626,8 +710,8 @@ def _count(rows: pa.Table) -> pa.Table:
     for slice_, t, x in zip(rows.column("slice").to_pylist(), texts, times, strict=True):
         mine = of[at : at + len(t)]
         at += len(t)
-        which, place = np.unique(t, return_inverse=True)
-        out.append((slice_, which.astype("<u2").tobytes(), np.bincount(place, x * log[mine], len(which)).tobytes(), np.bincount(place, x * known[mine], len(which)).astype(np.int64).tobytes(), None, None))
+        which = np.flatnonzero(np.bincount(t))
+        out.append((slice_, which.astype("<u2").tobytes(), np.bincount(t, x * log[mine])[which].tobytes(), np.bincount(t, x * known[mine])[which].astype(np.int64).tobytes(), None, None))
     out.append((None, None, None, None, int(count.sum()), int(known.sum())))
     cols = list(zip(*out, strict=True))
     freed()
@@ -654,8 +738,7 @@ def scores(docs: DataFrame, attention: Attention | None = None) -> DataFrame:
     held out and counts for base and prior; repeated rows stay and count as often; other
     columns are ignored; an empty table stays empty.
     """
-    spark = docs.sparkSession
-    attention = attention or trained(docs)
+    spark, learns = docs.sparkSession, attention is None
     size = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     buckets = max(shuffle_partitions(spark), -(-size // BUCKET))
     columns = [*_PACKED, *_TEXTS]
@@ -664,7 +747,7 @@ def scores(docs: DataFrame, attention: Attention | None = None) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
+        number, learner = TaskContext.get().partitionId() << 32, Learner() if learns else None
         for b in _bounded(batches, 1):
             s = sliced([t or "" for t in b.column(1).to_pylist()])
             out = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
@@ -673,17 +756,34 @@ def scores(docs: DataFrame, attention: Attention | None = None) -> DataFrame:
             rows += [(number, *[None] * (len(_PACKED) - 1), *r) for r in zip(range(b.num_rows), b.column(0).to_pylist(), out.tolist(), tokens, strict=True)]
             number += 1
             yield from _table(rows, columns).to_batches()
-
-    def in_rounds(make: Callable[[Column], DataFrame], by: str, label: str) -> tuple[DataFrame, list[DataFrame]]:
-        """make() of the rows of each part by a column, written one after another."""
-        parts = [written(make(F.pmod(F.xxhash64(by), F.lit(ROUNDS)) == r), label) for r in range(ROUNDS)]
-        return reduce(DataFrame.unionByName, parts), parts
+            del rows
+            if learns:
+                learner.learn(s, ~out)
+        if learns and learner.steps:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, (found := learner.learned()).schema) as w:
+                w.write_batch(found)
+            yield from _table([(None, LEARNED, None, sink.getvalue().to_pybytes(), *[None] * (4 + len(_TEXTS)))], columns).to_batches()
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0):
+                yield from pa.ipc.open_stream(x.as_buffer())
+
+    def in_rounds(make: Callable[[int], DataFrame], label: str, done: Callable[[int], None] = lambda r: None) -> DataFrame:
+        """make() of each part of the rows, written one after another."""
+        parts = []
+        for r in range(ROUNDS):
+            parts.append(written(make(r), label))
+            done(r)
+        return reduce(DataFrame.unionByName, parts)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id"), 5, 1).alias("held_out"))
     found = written(slim.mapInArrow(read, schema), "words", by="kind")
     rows = found.select(*[c for c, _ in _PACKED])
-    inside, _ = in_rounds(lambda part: rows.where((F.col("kind") == INSIDE) & part).groupBy("bucket").applyInArrow(lambda t: _within(t, buckets), _PACKED_SCHEMA), "bucket", "inside")
-    dropped(found, part=f"kind={INSIDE}")
+    if learns:
+        attention = _averaged(rows.where(F.col("kind") == LEARNED).select("a").mapInArrow(learned, _LEARNED_SCHEMA))
+    inside = in_rounds(lambda r: rows.where(F.col("kind") == ASKED + r).groupBy("bucket").applyInArrow(lambda t: _within(t, buckets), _PACKED_SCHEMA), "inside", lambda r: dropped(found, part=f"kind={ASKED + r}"))
     pairs = rows.where(F.col("kind").isin(HEADS, LAST)).unionByName(inside.where(F.col("kind") == LAST))
     pairs = written(pairs.groupBy("kind", "bucket").applyInArrow(_pairs, _PACKED_SCHEMA + ", token int, seen long, kinds long, second long"), "pairs")
     sums = {kind: Sums(*(np.zeros(_WIDTH) for _ in range(3))) for kind in (HEADS, LAST)}
@@ -708,7 +808,7 @@ def scores(docs: DataFrame, attention: Attention | None = None) -> DataFrame:
     none = F.lit(None).cast("binary")
     base_rows = counted.where("slice IS NOT NULL").select("slice", F.lit(BASE).alias("kind"), F.lit(None).cast("int").alias("bucket"), F.col("texts").alias("a"), F.col("logs").alias("b"), F.col("known").alias("c"), none.alias("d"), none.alias("e"))
     all_rows = base_rows.unionByName(whole).unionByName(inside.where(F.col("kind") == INSIDE)).unionByName(pairs.where("slice IS NOT NULL").select(*[c for c, _ in _PACKED]))
-    scored, _ = in_rounds(lambda part: all_rows.where(part).groupBy("slice").applyInArrow(lambda t: _texts(t, *shared.value, buckets), "slice long, text int, logs double, n_known long, score double"), "slice", "scored")
+    scored = in_rounds(lambda r: all_rows.where(F.pmod(F.xxhash64("slice"), F.lit(ROUNDS)) == r).groupBy("slice").applyInArrow(lambda t: _texts(t, *shared.value, buckets), "slice long, text int, logs double, n_known long, score double"), "scored")
     texts = found.where("kind IS NULL AND text IS NOT NULL").select("slice", *[c for c, _ in _TEXTS])
     base = F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(n + 0.5 * (v + 1))))
     return texts.join(scored, ["slice", "text"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -220,6 +220,66 @@ def test_tasks_learn_from_all_training_documents(spark):
     assert (lm_score.trained(table.limit(0)).sink == 4).all()
 
 
+def test_lm_reads_texts_once(spark, monkeypatch):
+    import zlib
+
+    texts = [" ".join(rng.choice("alpha beta gamma delta unbelievable reading re-read x1".split()) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    expected = {r["doc_id"]: r["score"] for r in lm_score.scores(table, lm_score.trained(table)).collect()}
+    monkeypatch.setattr(lm_score, "trained", None)  # attention learns as the texts are packed, not from a second reading
+    found = {r["doc_id"]: r["score"] for r in lm_score.scores(table).collect()}
+    assert np.allclose([found[i] for i in range(40)], [expected[i] for i in range(40)], rtol=1e-5)
+    assert any(zlib.crc32(str(i).encode()) % 5 == 1 for i in range(40))
+
+
+def test_lm_counted_parts_go_at_once(spark, monkeypatch):
+    held, dropped = [], lm_score.dropped
+
+    def seen(table, part=""):
+        dropped(table, part=part)
+        left = spark.read.schema(table.schema).parquet(table._factloom_path)
+        held.append((part, {r["kind"] for r in left.select("kind", "slice").distinct().collect()}))
+
+    monkeypatch.setattr(lm_score, "dropped", seen)
+    lm_score.scores(spark.createDataFrame([(i, f"unbelievable re-reading {i} things") for i in range(50)], "doc_id long, text string"), lm_score.Attention.new()).collect()
+    asked = [f"kind={lm_score.ASKED + r}" for r in range(lm_score.ROUNDS)]
+    assert [part for part, _ in held][: lm_score.ROUNDS] == asked
+    for r, (_, kinds) in enumerate(held[: lm_score.ROUNDS]):  # those of later parts are still there
+        assert not kinds & set(range(lm_score.ASKED, lm_score.ASKED + r + 1)) and len([k for k in kinds if k and k > lm_score.ASKED + r]) == lm_score.ROUNDS - 1 - r
+
+
+def test_halves_learn_from_each_other():
+    texts = ["the cat sat on the mat unbelievable", "the dog sat", "a cat unbelievably re-read", "", "on a dog", "left out entirely dog"] * 2
+    half = np.array([0, 1, 0, 1, 0, 2] * 2)
+    s = lm_score.sliced(texts)
+    prior = lm_score.Halves(s, half)
+    _, chance, begin = lm_score.stream(prior.twice(), prior)
+    for own in (0, 1):
+        other = lm_score.Prior(iter([lm_score.sliced([t for t, h in zip(texts, half, strict=True) if h == 1 - own])]))
+        _, expected, edges = lm_score.stream(lm_score.sliced([t for t, h in zip(texts, half, strict=True) if h == own]), other)
+        mine = np.concatenate([chance[begin[i] : begin[i + 1]] for i in np.flatnonzero(half == own)])
+        assert np.allclose(mine, expected, rtol=1e-5)
+
+
+def test_attention_far_from_its_sink():
+    s = lm_score.sliced(["the cat sat on the mat and the cat sat on the mat again"])
+    model = lm_score.fit(["the cat sat on the mat", "a dog"], epochs=0)
+    for shift in (0, 300, -300):  # one softmax: a shift of all of its terms changes nothing
+        model.attention.distance[:], model.attention.sink[:] = shift, 4 + shift
+        found = model.score(s)[0]
+        expected = found if shift == 0 else expected  # noqa: F821
+        assert np.isfinite(found) and abs(found - expected) < 1e-3
+
+
+def test_distinct_is_numpys():
+    rows = np.random.default_rng(1)
+    top = rows.integers(1 << 40, 1 << 63, 200, dtype=np.uint64)
+    for x in (np.zeros(0, np.int64), np.array([5]), rows.integers(0, 50, 1000), rows.integers(0, 1 << 62, 1000).astype(np.uint64), top[rows.integers(0, 200, 5000)], np.concatenate([top, top + np.uint64(1), top[::-1]])):
+        for found, expected in zip(hashing.distinct(x), np.unique(x, return_index=True, return_inverse=True), strict=True):
+            assert (found == expected).all() and len(found) == len(expected)
+        assert (hashing.ordered(x) == np.argsort(x, kind="stable")).all()
+
+
 def test_articles_win_over_names_of_classes():
     for page in (
         "<article class='post comments-open'>kept</article>",
