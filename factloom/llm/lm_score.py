@@ -44,6 +44,8 @@ BUCKET = 1 << 25
 SLICE, CHARACTERS = 1024, 1 << 22
 #: Blocks of one step of learning.
 BATCH = 1024
+#: Blocks whose attention is worked out at once: their numbers stay in a core's cache.
+NEAR = 128
 #: The end of a text as a word of the base.
 END_WORD = mixed(np.array([END], np.uint64))[0]
 
@@ -103,12 +105,15 @@ def sliced(texts: list[str]) -> Slice:
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
     edges = np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))
     names, first, word = distinct(spans(masses(data), starts, ends))
-    a, b = starts[first].tolist(), ends[first].tolist()
-    text = b"".join([b" " + raw[i:j] for i, j in zip(a, b, strict=True)]).decode("utf-8", "replace")
-    ids = np.frombuffer(encoder()(text), "<u4").astype(np.int32)
+    a, b = starts[first], ends[first]
+    size = b - a + 1
+    begins = np.cumsum(size) - size
+    text = data.take(np.arange(size.sum()) + np.repeat(a - 1 - begins, size))  # every word behind one byte, which becomes a space
+    text[begins] = 32
+    ids = np.frombuffer(encoder()(text.tobytes().decode("utf-8", "replace")), "<u4").astype(np.int32)
     cuts = np.flatnonzero(_starts_word()[ids])
     if len(cuts) != len(names):  # a word holds white space that only Unicode knows: one by one
-        each = [np.frombuffer(encoder()(" " + raw[i:j].decode("utf-8", "replace")), "<u4").astype(np.int32) for i, j in zip(a, b, strict=True)]
+        each = [np.frombuffer(encoder()(" " + raw[i:j].decode("utf-8", "replace")), "<u4").astype(np.int32) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
         ids, cuts = np.concatenate([np.zeros(0, np.int32), *each]), np.cumsum([0] + [len(x) for x in each])[:-1]
     return Slice(names, word, edges, ids, np.append(cuts, len(ids)))
 
@@ -419,12 +424,12 @@ class Model:
         """log10 probability of each text, its end included."""
         ids, chance, begin = stream(s, self.prior)
         token, before, filled, starts, text, prior = _blocks(ids, chance, begin)
-        out = np.zeros(len(begin) - 1)
-        for i in range(0, len(token), 2048):
-            j = min(len(token), i + 2048)
+        logs = np.empty(len(token))
+        for i in range(0, len(token), NEAR):
+            j = min(len(token), i + NEAR)
             p = _attend(self.attention, _windows(before, i, j), _windows(token, i, j), ~starts[i:j], prior[i:j])[0]
-            out += np.bincount(text[i:j], np.where(filled[i:j], np.log10(np.maximum(p, 1e-30)), 0).sum(axis=1), len(out))
-        return out
+            logs[i:j] = np.where(filled[i:j], np.log10(np.maximum(p, 1e-30)), 0).sum(axis=1)
+        return np.bincount(text, logs, len(begin) - 1)
 
 
 def _slices(texts: list[str]) -> Iterator[Slice]:
@@ -473,18 +478,25 @@ class Learner:
                         self._step(b, x, ~starts[at], filled[at], guess[at])
 
     def _step(self, b: np.ndarray, x: np.ndarray, valid: np.ndarray, filled: np.ndarray, guess: np.ndarray) -> None:
-        chance, z, rest, total, dz, q, k = _attend(self.model, b, x, valid, guess)
-        weight = filled / (np.maximum(chance, 1e-30) * total) / len(b)
-        z *= chance[:, :, None]
-        dz -= z
-        dz *= weight[:, :, None]
         asks = b[:, BLOCK:].ravel()
+        dq, dk, dsink, near = np.empty((len(b), BLOCK, DIM), np.float32), np.empty((*b.shape, DIM), np.float32), np.empty((len(b), BLOCK), np.float32), 0
+        for i in range(0, len(b), NEAR):
+            part = slice(i, i + NEAR)
+            chance, z, rest, total, dz, q, k = _attend(self.model, b[part], x[part], valid[part], guess[part])
+            weight = filled[part] / (np.maximum(chance, 1e-30) * total) / len(b)
+            z *= chance[:, :, None]
+            dz -= z
+            dz *= weight[:, :, None]
+            np.matmul(dz, k, out=dq[part])
+            np.matmul(dz.transpose(0, 2, 1), q, out=dk[part])
+            dsink[part] = rest * (guess[part] - chance) * weight
+            near = near + dz.sum(axis=0)
         self.steps += 1
-        rows, g = _row_sums(asks, (dz @ k).reshape(-1, DIM))
+        rows, g = _row_sums(asks, dq.reshape(-1, DIM))
         self._move(0, rows, g)
-        self._move(3, rows, np.bincount(asks, (rest * (guess - chance) * weight).ravel())[rows])
-        self._move(1, *_row_sums(b.ravel(), (dz.transpose(0, 2, 1) @ q).reshape(-1, DIM)))
-        self._move(2, slice(None), np.bincount(_DISTANCE.ravel(), dz.sum(axis=0).ravel(), 2 * BLOCK))
+        self._move(3, rows, np.bincount(asks, dsink.ravel())[rows])
+        self._move(1, *_row_sums(b.ravel(), dk.reshape(-1, DIM)))
+        self._move(2, slice(None), np.bincount(_DISTANCE.ravel(), near.ravel(), 2 * BLOCK))
 
     def _move(self, part: int, rows: np.ndarray | slice, g: np.ndarray) -> None:
         y, (m, v) = self.model.parts()[part], self.moments[part]
