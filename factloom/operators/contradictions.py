@@ -12,7 +12,7 @@ from factloom.operators import chains as ch
 
 def url_years(found: DataFrame, spread: int = 3) -> DataFrame:
     """Dated edges whose source URLs name years that lie at least `spread` apart; over 10 is high."""
-    years = F.filter(F.array_distinct(F.transform("sources", fn.url_year)), lambda y: y.isNotNull())
+    years = F.col("years") if "years" in found.columns else F.filter(F.array_distinct(F.transform("sources", fn.url_year)), lambda y: y.isNotNull())
     dated = found.where("date IS NOT NULL").select("subject", "rel", "object", "date", F.array_sort(years).alias("years"))
     wide = dated.where(F.size("years") > 1).withColumn("spread", F.array_max("years") - F.array_min("years")).where(F.col("spread") >= spread)
     return wide.withColumn("severity", F.when(F.col("spread") > 10, "high").otherwise("medium"))

@@ -186,3 +186,35 @@ def test_whole_enrichment_takes_every_edge(spark):
     released = urls.where("rel = 'RELEASED'").select("subject", "object", "urls").collect()
     assert sorted(map(tuple, released)) == sorted(map(tuple, catalog.QUERIES["pick_url"](spark, sf).collect()))
     assert set(catalog.QUERIES["enrich_all"](spark, sf).columns) == {"subject", "rel", "object", "source_url", "domain"}
+
+
+def test_outlines_are_edges_without_sources(spark):
+    import random
+
+    rng = random.Random(7)
+    names = ["AA", "BB", "CC", "D"]
+    rows = [(rng.randrange(40), rng.choice(names), rng.choice(["LED_TO", "ACQUIRED"]), rng.choice(names), rng.choice([None, "CEO", "CHAIR"]), rng.choice([None, "X", "Y"]), rng.choice([None, "1990", "1880s"]), f"http://{rng.choice('abc')}.org/{rng.choice([1950, 2001, 'p'])}/{k}") for k in range(400)]
+    evidence = spark.createDataFrame([(*r, r[-1].split("/")[2]) for r in rows], EVIDENCE)
+    from factloom.functions import scalars as fn
+
+    whole = ed.edges(evidence)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan  # structs as minima would be sorted: a spill of all evidence
+    first = {r["seq"]: r for r in evidence.groupBy("seq", "domain").agg(F.min("source_url").alias("u")).collect()}
+    lean = ed.outlines(evidence.withColumn("url_year", fn.url_year(F.col("source_url"))), years=True)
+    key = ["subject", "rel", "object", "role"]
+    same = key + ["domains", "occurrences", "context", "date"]
+    assert sorted(map(str, whole.select(*same).collect())) == sorted(map(str, lean.select(*same).collect())) and first
+    years = lambda e: sorted(map(str, contra.url_years(e).select("subject", "rel", "object", "years", "spread").collect()))
+    assert years(whole) == years(lean) != []
+
+
+def test_edges_keep_the_first_url_of_each_domain(spark):
+    from factloom.functions import scalars as fn
+    from factloom.plans import catalog
+
+    sf, key = "/root/testdata/sf0.001", ["subject", "rel", "object", "role"]
+    found = catalog._edges(spark, sf)
+    assert "sources" not in found.columns  # a chain, a gate or a count needs none of them
+    whole = catalog._sourced(spark, sf).select(*key, "domains", "occurrences", "context", "date", fn.first_url_per_domain(F.col("sources")).alias("firsts"))
+    assert sorted(map(str, found.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
