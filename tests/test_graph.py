@@ -218,3 +218,38 @@ def test_edges_keep_the_first_url_of_each_domain(spark):
     assert "sources" not in found.columns  # a chain, a gate or a count needs none of them
     whole = catalog._sourced(spark, sf).select(*key, "domains", "occurrences", "context", "date", fn.first_url_per_domain(F.col("sources")).alias("firsts"))
     assert sorted(map(str, found.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_confirmations_equal_brute_force_and_carry_no_sources(spark):
+    import random
+
+    from factloom.operators import verify
+
+    rng = random.Random(3)
+    words = ["rail", "railway", "customer#000000012", "customer#000000013", "mill", "x-mill", "abc", "north", "counterrevolutionary-and-other-things-of-length"]
+    name = lambda: " ".join(rng.sample(words, rng.randint(1, 2))).upper()
+    pages = [(f"http://{i % 25}.org/x", " ".join(rng.choice(["re", "", "\t"]) + rng.choice([*words, "zzzz"]) + rng.choice(["s", ",", ""]) for _ in range(rng.randint(0, 4))) if i else None) for i in range(40)]
+    pages.append(pages[-1])  # the same page twice
+    rows = {(name(), "R", name()): rng.sample(sorted({u for u, _ in pages}), 4) for _ in range(25)}
+    work = spark.createDataFrame([(*k, s) for k, s in rows.items()], "subject string, rel string, object string, sources array<string>")
+    texts = spark.createDataFrame(pages, "url string, text string")
+    for strict in (False, True):
+        hit = lambda end, text: any(len(w) >= 4 and w in (text or "").lower() for w in end.lower().split())
+        both = all if strict else any
+        expected = sorted((s, r, o, u) for (s, r, o), old in rows.items() for u, t in pages if u not in old and both((hit(s, t), hit(o, t))))
+        found = verify.confirmations(work, texts, strict)
+        assert "first(sources" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r)[:4] for r in found.collect()) == expected != []
+        cited = lambda wanted: work.join(wanted, ["subject", "rel", "object"], "left_semi").select("subject", "rel", "object", F.explode("sources").alias("url"))
+        assert sorted(tuple(r)[:4] for r in verify.confirmations(work.drop("sources"), texts, strict, cited).collect()) == expected
+
+
+def test_gains_count_by_role(spark):
+    from factloom.operators import verify
+
+    roles = {None: [], "CEO": ["http://1.org"], "CHAIR": ["http://1.org", "http://2.org"], "X": ["http://9.org"]}
+    work = spark.createDataFrame([("RAILWAY", "R", "AB", r) for r in roles] + [("CD", "R", "AB", None)], "subject string, rel string, object string, role string")
+    old = spark.createDataFrame([("RAILWAY", "R", "AB", r, u) for r, urls in roles.items() for u in urls], "subject string, rel string, object string, role string, url string")
+    pages = spark.createDataFrame([(f"http://{i}.org", "the railways") for i in (1, 2, 3, 3)] + [("http://4.org", "rail way")], "url string, text string")
+    found = verify.gains(work, pages, lambda wanted: old.join(wanted, ["subject", "rel", "object"], "left_semi"))
+    assert {(r["subject"], r["role"]): r["n_new"] for r in found.collect()} == {("RAILWAY", None): 3, ("RAILWAY", "CEO"): 2, ("RAILWAY", "CHAIR"): 1, ("RAILWAY", "X"): 3, ("CD", None): 0}
