@@ -253,3 +253,18 @@ def test_gains_count_by_role(spark):
     pages = spark.createDataFrame([(f"http://{i}.org", "the railways") for i in (1, 2, 3, 3)] + [("http://4.org", "rail way")], "url string, text string")
     found = verify.gains(work, pages, lambda wanted: old.join(wanted, ["subject", "rel", "object"], "left_semi"))
     assert {(r["subject"], r["role"]): r["n_new"] for r in found.collect()} == {("RAILWAY", None): 3, ("RAILWAY", "CEO"): 2, ("RAILWAY", "CHAIR"): 1, ("RAILWAY", "X"): 3, ("CD", None): 0}
+
+
+def test_greedy_merge_by_blocks_is_one_pass_over_all_pairs(spark):
+    import random
+
+    rng = random.Random(11)
+    names = {f"Customer#{i:09}" for i in rng.sample(range(400), 60)} | {"ACME RAIL" + "X" * rng.randint(0, 4) + rng.choice(["", "S", " Inc"]) for _ in range(20)} | {f"{rng.choice('AB')}{'O' * rng.randint(5, 12)}{rng.choice('CD')}" for _ in range(40)}
+    rows = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    pairs = resolve.fuzzy_pairs(rows)
+    assert pairs.count() == pairs.select("a", "b").distinct().count()  # each met once, before any is made distinct
+    expected = {r["old"]: r["canonical"] for r in resolve.greedy_aliases(pairs).collect()}
+    assert len(expected) > 60 and any(len(o) != len(c) for o, c in expected.items())
+    for first in (1, 4, 30, 500):
+        found = resolve.greedy_merge(rows, first=first).collect()
+        assert len(found) == len(expected) and {r["old"]: r["canonical"] for r in found} == expected
