@@ -268,3 +268,18 @@ def test_greedy_merge_by_blocks_is_one_pass_over_all_pairs(spark):
     for first in (1, 4, 30, 500):
         found = resolve.greedy_merge(rows, first=first).collect()
         assert len(found) == len(expected) and {r["old"]: r["canonical"] for r in found} == expected
+
+
+def test_ranking_and_wording_take_no_more_than_they_need(spark, monkeypatch):
+    edge = lambda a, r, b, site, n, role=None: [(a, r, b, role, "X", "1887", f"http://{site}{i:02}.org/1") for i in range(n)]
+    rows = [x for k in range(6) for x in edge(f"RED MILL {k}", "WAS_ROLE_OF", "NORTH MILL", f"a{k}", 4, "CEO") + edge(f"RED MILL {k}", "WAS_ROLE_OF", "NORTH MILL", f"z{k}", 5, "CHAIR")]
+    e = ed.edges(ev(spark, rows + edge("NORTH MILL", "RELEASED", "BLUE LINE", "b", 4) + edge("NORTH MILL", "RELEASED", "HIS", "c", 4)))
+    seen = []
+    ranked = qs.run_of
+    monkeypatch.setattr(qs, "run_of", lambda tagged, most: seen.append(tagged.columns) or ranked(tagged, most))
+    columns = ["entity_a", "chain_hash", "prompt", "answer", "explanation", "sources", "role_1"]
+    few = sorted(map(str, qs.generate(e, 3).select(*columns).collect()))
+    assert "title_a" not in seen[0] and "prompt" not in seen[0]
+    assert few == sorted(map(str, qs.generate(e).select(*columns).collect()))[:3] and len(few) == 3
+    tagged = qs.candidates(e).collect()
+    assert {r["prompt"] is None for r in tagged if r["reject_reason"]} == {True} and {r["prompt"] is None for r in tagged if not r["reject_reason"]} == {False}
